@@ -43,9 +43,7 @@ def embed_index(rows: DataFrame, embedder: Embedder) -> DataFrame:
 
 def write_batch(rows: DataFrame, root: str, batch: int) -> None:
     """Write change rows as batch ``batch``; writing the same batch again replaces it."""
-    rows.select(*[f.strip().split(" ")[0] for f in SCHEMA.split(", ")[:-1]]).write.mode("overwrite").parquet(
-        f"{root}/batch={batch}"
-    )
+    rows.select("op", *ROW, "embedding").write.mode("overwrite").parquet(f"{root}/batch={batch}")
 
 
 def build_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
@@ -66,14 +64,16 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(root)
 
 
-def current_index(spark: SparkSession, root: str) -> DataFrame:
+def current_index(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """Live rows: per key the change of its latest batch, without deletes.
 
     The first batch is the bulk. It is only filtered against the keys of later batches; when those
-    are few, Spark broadcasts them and the bulk is not shuffled. Batches are found by reading the
-    partition values, so an index with a single batch is a plain scan.
+    are few, Spark broadcasts them at run time and the bulk is not shuffled. ``before`` gives the
+    state ahead of that batch, so that a repeated batch sees the same input as the first try.
     """
     log = read_log(spark, root)
+    if before is not None:
+        log = log.filter(F.col("batch") < before)
     later = log.filter("batch > 0")
     newest = later.groupBy(KEY).agg(F.max("batch").alias("batch"))
     changed = later.join(newest, [KEY, "batch"], "left_semi").filter("op = 'upsert'")
@@ -108,7 +108,7 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
     Only inserted texts are embedded. An updated row keeps its vector, since equal id means equal
     text.
     """
-    current = _before(spark, root, batch)
+    current = current_index(spark, root, before=batch)
     changes = chunk_changes(current, index_rows(chunks))
     inserted = embed_index(changes.filter("change = 'insert'"), embedder)
     updated = changes.filter("change = 'update'").join(current.select(KEY, "embedding"), KEY)
@@ -121,20 +121,11 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
 
 def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embedder, batch: int) -> None:
     """Add the chunks whose id the index does not hold yet; for append-only chunk streams."""
-    known = _before(spark, root, batch).select(KEY)
+    known = current_index(spark, root, before=batch).select(KEY)
     fresh = index_rows(chunks).join(known, KEY, "left_anti")
     write_batch(embed_index(fresh, embedder).withColumn("op", F.lit("upsert")), root, batch)
 
 
-def _before(spark: SparkSession, root: str, batch: int) -> DataFrame:
-    """Live rows as of the batches before ``batch``, so that a repeated batch sees the same input."""
-    log = read_log(spark, root).filter(F.col("batch") < batch)
-    newest = log.groupBy(KEY).agg(F.max("batch").alias("batch"))
-    return (
-        log.join(newest, [KEY, "batch"], "left_semi").filter("op = 'upsert'").select(*ROW, "embedding")
-    )
-
-
 def index_stats(index: DataFrame) -> DataFrame:
     """Row count, distinct keys and the range of vector sizes, in one pass."""
     return index.agg(
