@@ -22,7 +22,8 @@ DEFAULT_SECTION = "Introduction"
 NULL_TEXT = "None"
 
 RENDERED_TYPE = "array<struct<kind:string,text:string>>"
-TYPED_ELEMENT = "struct<type:string,content:string,description:string>"
+ELEMENT_FIELDS = ("type", "content", "description")
+TYPED_ELEMENT = "struct<" + ",".join(f"{f}:string" for f in ELEMENT_FIELDS) + ">"
 
 
 def _quoted(names: tuple[str, ...]) -> str:

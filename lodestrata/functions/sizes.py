@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # Whitespace as a Unicode-aware ``strip`` sees it: the White_Space property plus the four
 # ASCII separators that the property leaves out.
@@ -49,4 +50,34 @@ def tokenizer_sizes(load_tokenizer: Callable[[], Callable[[str], int]]) -> Calla
             ]
             yield pa.array(out, pa.list_(pa.int64()))
 
-    return F.arrow_udf(sizes, "array<bigint>")
+    return F.arrow_udf(sizes, T.ArrayType(T.LongType()))
+
+
+# Embedding models with a tokenizer of their own, and that tokenizer's name.
+MODEL_TOKENIZERS = {
+    "gte-large-en-v1.5": "Alibaba-NLP/gte-large-en-v1.5",
+    "bge-large-en-v1.5": "BAAI/bge-large-en-v1.5",
+    "bge_large_en_v1_5": "BAAI/bge-large-en-v1.5",
+}
+
+
+def model_sizes(model: str, folder: str) -> Callable[[Column], Column] | None:
+    """Size measure for an embedding model; None stands for the default measure.
+
+    The tokenizer file is ``<folder>/<tokenizer name>/tokenizer.json`` on every executor. A model
+    without an entry, or whose file cannot be loaded, is measured by characters.
+    """
+    if model not in MODEL_TOKENIZERS:
+        return None
+    path = f"{folder}/{MODEL_TOKENIZERS[model]}/tokenizer.json"
+
+    def load_tokenizer() -> Callable[[str], int]:
+        try:
+            from tokenizers import Tokenizer
+
+            tokenizer = Tokenizer.from_file(path)
+        except Exception:  # the library raises a bare Exception for a missing or damaged file
+            return lambda text: len(text) // 4
+        return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
+
+    return tokenizer_sizes(load_tokenizer)

@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lodestrata.functions.text import tokens
 
@@ -36,7 +37,7 @@ def hashing_embedder(dim: int = 256) -> Embedder:
             offsets = np.arange(0, (len(lists) + 1) * dim, dim, dtype=np.int32)
             yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(vectors))
 
-    as_column = F.arrow_udf(count_tokens, "array<float>")
+    as_column = F.arrow_udf(count_tokens, T.ArrayType(T.FloatType()))
     return lambda text: as_column(F.coalesce(tokens(text), F.array().cast("array<string>")))
 
 

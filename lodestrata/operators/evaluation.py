@@ -60,9 +60,15 @@ def token_f1(runs: DataFrame, keys: list[str], response: str = "response", expec
     Tokens are counted per key and token, partly in the map tasks; the second aggregate adds the
     common counts. Texts of any length spread over tasks.
     """
-    made = runs.select(*keys, F.explode_outer(tokens(F.col(response))).alias("t"), F.lit(1).alias("a"), F.lit(0).alias("b"))
-    want = runs.select(*keys, F.explode_outer(tokens(F.col(expected))).alias("t"), F.lit(0).alias("a"), F.lit(1).alias("b"))
-    counted = made.unionByName(want).groupBy(*keys, "t").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+    def tagged(text: str, a: int, b: int) -> Column:
+        return F.transform(
+            F.coalesce(tokens(F.col(text)), F.array().cast("array<string>")),
+            lambda t: F.struct(t.alias("t"), F.lit(a).alias("a"), F.lit(b).alias("b")),
+        )
+
+    bag = F.concat(tagged(response, 1, 0), tagged(expected, 0, 1))
+    rows = runs.select(*keys, F.explode_outer(bag).alias("w")).select(*keys, "w.t", "w.a", "w.b")
+    counted = rows.groupBy(*keys, "t").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     known = F.col("t").isNotNull()
     sums = counted.groupBy(*keys).agg(
         F.sum(F.when(known, F.least("a", "b")).otherwise(0)).alias("both"),
@@ -125,7 +131,12 @@ def mean_scores(scores: DataFrame, keys: list[str], score: str = "score") -> Dat
 
 
 def select_demos(
-    scores: DataFrame, train: DataFrame, threshold: float, bootstrapped: int = 2, labelled: int = 2
+    scores: DataFrame,
+    train: DataFrame,
+    programs: list[str],
+    threshold: float,
+    bootstrapped: int = 2,
+    labelled: int = 2,
 ) -> DataFrame:
     """``program, kind, rank, example_id``: per program the first passing and the first labelled examples.
 
@@ -138,13 +149,11 @@ def select_demos(
         [F.asc("position")],
         bootstrapped,
     ).select("program", F.lit("bootstrapped").alias("kind"), "rank", "example_id")
-    first = train.select("example_id", "position").orderBy("position").limit(labelled)
-    programs = scores.select("program").distinct()
-    given = F.array_sort(F.collect_list(F.struct("position", "example_id")))  # at most ``labelled`` rows
-    picked = first.agg(given.alias("g"))
-    labels = programs.withColumn("one", F.lit(1)).join(picked.withColumn("one", F.lit(1)), "one").select(
-        "program", F.posexplode("g").alias("p", "e")
-    )
-    return passing.unionByName(
-        labels.select("program", F.lit("labelled").alias("kind"), (F.col("p") + 1).alias("rank"), "e.example_id")
+    # positions of the train part start at 0, so the first ones need no sort
+    first = train.filter(F.col("position") < labelled).select(
+        F.explode(F.array(*[F.lit(p) for p in programs])).alias("program"),
+        F.lit("labelled").alias("kind"),
+        (F.col("position") + 1).cast("int").alias("rank"),
+        "example_id",
     )
+    return passing.unionByName(first)

@@ -7,10 +7,12 @@ so repeating a batch after a failure overwrites that directory and changes nothi
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators.embedding import Embedder, embed
+from lodestrata.sources.workspace import materialise
 
 KEY = "chunk_id"
 PLACE = ["path", "chunk_pos", "chunk_section", "chunk_type"]
@@ -109,7 +111,8 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
     text.
     """
     current = current_index(spark, root, before=batch)
-    changes = chunk_changes(current, index_rows(chunks))
+    # written once, since three branches read it
+    changes = materialise(chunk_changes(current, index_rows(chunks)), "changes")
     inserted = embed_index(changes.filter("change = 'insert'"), embedder)
     updated = changes.filter("change = 'update'").join(current.select(KEY, "embedding"), KEY)
     deleted = changes.filter("change = 'delete'").withColumn("embedding", F.lit(None).cast("array<float>"))
@@ -126,6 +129,25 @@ def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Em
     write_batch(embed_index(fresh, embedder).withColumn("op", F.lit("upsert")), root, batch)
 
 
+def refresh_index(
+    spark: SparkSession, root: str, chunks: DataFrame, embedder: Embedder, force: bool = False
+) -> DataFrame:
+    """Create the index if there is none, rebuild it with ``force``, otherwise sync; returns the live rows."""
+    last = last_batch(spark, root)
+    if last is None or force:
+        rebuild_index(chunks, embedder, root)
+        return current_index(spark, root)
+    return sync_index(spark, root, chunks, embedder, last + 1)
+
+
+def last_batch(spark: SparkSession, root: str) -> int | None:
+    """Number of the latest batch, None where there is no index."""
+    try:
+        return read_log(spark, root).agg(F.max("batch")).first()[0]
+    except AnalysisException:
+        return None
+
+
 def index_stats(index: DataFrame) -> DataFrame:
     """Row count, distinct keys and the range of vector sizes, in one pass."""
     return index.agg(
@@ -138,8 +160,6 @@ def index_stats(index: DataFrame) -> DataFrame:
 
 def index_row_count(spark: SparkSession, root: str) -> int | None:
     """Number of live rows, None where no index can be read."""
-    from pyspark.errors import AnalysisException
-
     try:
         return current_index(spark, root).count()
     except AnalysisException:

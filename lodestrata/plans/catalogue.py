@@ -33,7 +33,8 @@ TOP_K = 5
 TOOL_K = 3
 OVERSAMPLE = 4
 HISTORY_PAIRS = 2
-JUDGE = evaluation.overlap_judge(0.5)
+JUDGE_SHARE = 0.3
+JUDGE = evaluation.overlap_judge(JUDGE_SHARE)
 PROGRAMS = {
     "leading_sentence": answers.leading_sentence,
     "top_passage": answers.top_passage,
@@ -220,22 +221,21 @@ def atomic_overflow(spark, sf):
 
 
 def _payloads(spark, sf):
-    """Documents as parser output, damaged by their labels: toxic ones are cut JSON, low-quality ones
-    hold a null element, unlabelled ones come as an object, the rest as a list."""
+    """Documents as parser output, in another shape per language: French ones are cut JSON, Spanish
+    ones hold a null element, German ones come as an object, the rest as a list."""
     typed = parsers.text_elements(F.col("text"))
-    docs = load(spark, sf, "documents").select("doc_id", "lang", typed.alias("typed"))
     payload = (
-        F.when(F.col("toxic") == 1, F.concat(F.lit("{"), F.to_json("typed")))
-        .when(F.col("quality") == 0, F.lit('[{"type":"text","content":null}]'))
-        .when(F.col("quality").isNull(), F.to_json(F.struct(F.col("typed").alias("elements"))))
-        .otherwise(F.to_json("typed"))
+        F.when(F.col("lang") == "fr", F.concat(F.lit("{"), F.to_json(typed)))
+        .when(F.col("lang") == "es", F.lit('[{"type":"text","content":null}]'))
+        .when(F.col("lang") == "de", F.to_json(F.struct(typed.alias("elements"))))
+        .otherwise(F.to_json(typed))
     )
-    return docs.join(load(spark, sf, "labels"), "doc_id", "left").select("doc_id", "lang", payload.alias("payload"))
+    return load(spark, sf, "documents").select("doc_id", "source", payload.alias("payload"))
 
 
 def docs_without_chunks(spark, sf):
-    made = _payloads(spark, sf).select("lang", F.size(chunking.json_chunks("payload", OPTIONS)).alias("n"))
-    return made.groupBy("lang").agg(
+    made = _payloads(spark, sf).select("source", F.size(chunking.json_chunks("payload", OPTIONS)).alias("n"))
+    return made.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"),
         F.count_if(F.col("n") == 0).alias("n_without_chunks"),
         F.sum("n").cast("bigint").alias("n_chunks"),
@@ -437,9 +437,9 @@ def plain_questions(spark, sf):
 
 
 def validate_requests(spark, sf):
-    """Every document id as a request; most have no conversation. Messages keep only their letters
-    and digits, so that some are blank."""
-    messages = load(spark, sf, "conversations").withColumn("text", F.regexp_replace("text", "[^a-z ]", ""))
+    """Every document id as a request; most have no conversation. Messages keep only their commas, so
+    that one without any is blank."""
+    messages = load(spark, sf, "conversations").withColumn("text", F.regexp_replace("text", "[^,]", " "))
     requests = load(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"))
     return dialog.validate_requests(requests, messages)
 
@@ -504,7 +504,7 @@ def judge_score(spark, sf):
 
 
 def token_f1(spark, sf):
-    runs = materialise(_program_runs(spark, sf, _examples(spark, sf)), "runs")
+    runs = _program_runs(spark, sf, _examples(spark, sf))
     return evaluation.token_f1(runs, ["program", "example_id"])
 
 
@@ -535,10 +535,9 @@ def champion_challenger(spark, sf):
 def demo_select(spark, sf):
     train = materialise(evaluation.split_examples(_examples(spark, sf)).filter("split = 'train'"), "train")
     runs = evaluation.judge_score(_program_runs(spark, sf, train), JUDGE)
-    scored = materialise(
-        runs.select("program", "example_id", "score").join(train.select("example_id", "position"), "example_id"), "scored"
-    )
-    return evaluation.select_demos(scored, train, threshold=1.0).withColumn("rank", F.col("rank").cast("bigint"))
+    scored = runs.select("program", "example_id", "score").join(train.select("example_id", "position"), "example_id")
+    demos = evaluation.select_demos(scored, train, list(PROGRAMS), threshold=1.0)
+    return demos.withColumn("rank", F.col("rank").cast("bigint"))
 
 
 def leaderboard(spark, sf):

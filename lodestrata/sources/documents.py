@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lodestrata.functions.elements import TYPED_ELEMENT
+from lodestrata.functions.elements import ELEMENT_FIELDS
 
 Parser = Callable[[DataFrame], DataFrame]
 
@@ -97,10 +97,10 @@ def batch_parser(
     settings = dict(options or {})
 
     def parser(df: DataFrame) -> DataFrame:
-        elements = T.ArrayType(T._parse_datatype_string(TYPED_ELEMENT))
+        elements = T.ArrayType(T.StructType([T.StructField(f, T.StringType()) for f in ELEMENT_FIELDS]))
         schema = T.StructType([*df.schema.fields, T.StructField("elements", elements)])
         arrow_type = pa.list_(
-            pa.struct([(f, pa.string()) for f in ("type", "content", "description")])
+            pa.struct([(f, pa.string()) for f in ELEMENT_FIELDS])
         )
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

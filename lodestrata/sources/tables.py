@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,3 +32,29 @@ def save_table(
         if wanted:
             pairs = ", ".join(f"'{k}' = '{v}'" for k, v in wanted.items())
             spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Append to a parquet folder; the sink of run metrics and other logs."""
+    df.write.mode("append").parquet(path)
+
+
+def write_state(df: DataFrame, root: str) -> None:
+    """Write ``df`` as the next full state of a small table such as the alias registry.
+
+    States lie side by side as ``<root>/state=<n>``, so ``df`` may be derived from the last one.
+    """
+    last = _last_state(df.sparkSession, root)
+    df.write.mode("overwrite").parquet(f"{root}/state={0 if last is None else last + 1}")
+
+
+def read_state(spark: SparkSession, root: str) -> DataFrame:
+    """The latest state written by :func:`write_state`."""
+    return spark.read.parquet(f"{root}/state={_last_state(spark, root)}")
+
+
+def _last_state(spark: SparkSession, root: str) -> int | None:
+    try:
+        return spark.read.parquet(root).agg(F.max("state")).first()[0]
+    except AnalysisException:
+        return None
