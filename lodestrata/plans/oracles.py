@@ -307,7 +307,7 @@ SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY rerank_score DE
        first_rank, chunk_id, rerank_score, score
 FROM overlap QUALIFY rank <= 3""",
     "format_hits": f"""{INDEX},
-asked AS (SELECT conv_id, coalesce(min(text) FILTER (role = 'system'), '') AS question FROM conversations GROUP BY conv_id),
+asked AS (SELECT conv_id, coalesce(arg_min(text, turn) FILTER (role = 'system'), '') AS question FROM conversations GROUP BY conv_id),
 {slots('q', 'asked', 'conv_id', 'question')}, {hits('hit', 'q', 3)},
 told AS (
   SELECT id, string_agg('Result ' || rank || ':' || chr(10) || '  Content: ' || chunk_content || chr(10) || '  Source: ' || path

@@ -30,11 +30,14 @@ BLOCK_MARK = "\u0001"
 
 def line_type(line: Column, position: Column) -> Column:
     """Element type of one line of plain text."""
-    cells = (F.length(line) - F.length(F.replace(line, F.lit(CELL_MARK), F.lit("")))) / len(CELL_MARK)
+    mark = F.lit(CELL_MARK)
+    first = F.position(mark, line)
+    cells = (first > 0) & (F.position(mark, line, first + len(CELL_MARK)) > 0)
+    heading = line.startswith("#") & line.rlike("^#{1,6} ")
     return (
-        F.when(cells >= 2, "table")
+        F.when(cells, "table")
         .when((position == 0) & (F.length(line) <= TITLE_MAX_CHARS), "title")
-        .when(line.rlike("^#{1,6} ") | (F.length(line) <= HEADER_MAX_CHARS), "section_header")
+        .when(heading | (F.length(line) <= HEADER_MAX_CHARS), "section_header")
         .otherwise("text")
     )
 

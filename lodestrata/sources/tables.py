@@ -12,26 +12,39 @@ def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The same table as a file stream; each file is taken once."""
-    schema = load(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parquet*")
+def stream(spark: SparkSession, sf_dir: str, name: str, max_files: int | None = None) -> DataFrame:
+    """The same table as a file stream; each file is taken once, ``max_files`` per micro-batch."""
+    reader = spark.readStream.schema(load(spark, sf_dir, name).schema)
+    if max_files is not None:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    return reader.parquet(f"{sf_dir}/{name}.parquet*")
 
 
 def save_table(
-    df: DataFrame, name: str, comment: str = "", properties: dict[str, str] | None = None, mode: str = "append"
+    df: DataFrame, name: str, comment: str = "", properties: dict[str, str] | None = None
 ) -> None:
     """Append to a managed table; on creation set its comment and properties (such as quality)."""
-    spark = df.sparkSession
-    fresh = not spark.catalog.tableExists(name)
-    df.write.mode(mode).format("parquet").saveAsTable(name)
+    fresh = not df.sparkSession.catalog.tableExists(name)
+    df.write.mode("append").format("parquet").saveAsTable(name)
     if fresh:
-        wanted = dict(properties or {})
-        if comment:
-            wanted["comment"] = comment
-        if wanted:
-            pairs = ", ".join(f"'{k}' = '{v}'" for k, v in wanted.items())
-            spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
+        _describe(df.sparkSession, name, comment, properties)
+
+
+def publish_table(
+    spark: SparkSession, name: str, path: str, comment: str = "", properties: dict[str, str] | None = None
+) -> None:
+    """Make a folder that a stream writes known as a table; new rows show after a refresh."""
+    if not spark.catalog.tableExists(name):
+        spark.catalog.createTable(name, path=path, source="parquet", schema=spark.read.parquet(path).schema)
+        _describe(spark, name, comment, properties)
+    spark.catalog.refreshTable(name)
+
+
+def _describe(spark: SparkSession, name: str, comment: str, properties: dict[str, str] | None) -> None:
+    wanted = {**(properties or {}), **({"comment": comment} if comment else {})}
+    if wanted:
+        pairs = ", ".join(f"'{k}' = '{v}'" for k, v in wanted.items())
+        spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
 def append_rows(df: DataFrame, path: str) -> None:

@@ -17,6 +17,7 @@ from lodestrata.functions.elements import render_variant
 from lodestrata.functions.text import file_name
 from lodestrata.operators.quality import VALID_CHUNK, VALID_CHUNK_ID, VALID_CONTENT, VALID_PATH, Expectation, expect
 from lodestrata.sources.documents import Parser, parse_documents
+from lodestrata.sources.tables import publish_table
 
 SILVER_SCHEMA = (
     "path string, document_name string, processed_at timestamp, elements variant, error_status variant, metadata variant"
@@ -26,6 +27,12 @@ GOLD_SCHEMA = (
     "chunk_section string, chunk_type string, chunk_id string"
 )
 
+COMMENTS = {
+    "bronze": "raw files as they arrived",
+    "silver": "documents parsed into elements",
+    "gold": "chunks with content ids",
+}
+
 
 def parsed_documents(raw: DataFrame, parser: Parser, strict: bool = True) -> DataFrame:
     """Raw rows ``path, content`` -> parsed documents. Malformed parser output raises, or with
@@ -89,5 +96,10 @@ class Medallion:
         chunks = chunk_table(silver, self.options)
         self._land(expect(chunks, list(self.chunk_rules), self.mode, "chunked_docs"), "gold")
 
+    def publish(self, spark: SparkSession, names: dict[str, str]) -> None:
+        """Register the tables in the catalog; ``names`` maps bronze, silver and gold to table names."""
+        for table, comment in COMMENTS.items():
+            publish_table(spark, names[table], self.folder(table), comment, {"quality": table})
+
     def chunks(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(GOLD_SCHEMA).parquet(self.folder("gold"))

@@ -45,6 +45,16 @@ def test_stream_equals_batch_and_reruns_add_nothing(spark, tmp_path):
     assert stamps == 0
     assert run().count() == second.count()
 
+    names = {t: f"{t}_docs" for t in ("bronze", "silver", "gold")}
+    flow.publish(spark, names)
+    flow.publish(spark, names)
+    assert spark.table("gold_docs").count() == second.count()
+    assert spark.table("silver_docs").selectExpr("to_json(elements)").count() == 4
+    shown = {r["key"]: r["value"] for r in spark.sql("SHOW TBLPROPERTIES silver_docs").collect()}
+    assert shown["quality"] == "silver"
+    for name in names.values():
+        spark.sql(f"DROP TABLE {name}")
+
     chunks = index_sync.stream_chunk_rows(spark, flow.folder("gold"), max_files=1)
     live = index_sync.sync_stream(chunks, flow.folder("index"), embedding.hashing_embedder(8), flow.folder("ck"))
     assert live.count() == second.select("chunk_id").distinct().count() < second.count()
