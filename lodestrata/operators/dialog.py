@@ -1,13 +1,15 @@
 """Conversations: history pairs, current question, request checks.
 
 Messages are rows ``conv_id, turn, role, text``; ``turn`` is the place in the message list, from 0
-without gaps. Pairs are found by joins on ``(conv_id, turn)``, not by a window over a conversation,
-so one conversation that holds much of the table spreads over all tasks.
+without gaps (:func:`dense_turns` numbers other tables). Pairs are found by joins on
+``(conv_id, turn)``, not by a window over a conversation, so one conversation that holds much of the
+table spreads over all tasks.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestrata.functions.text import is_blank
@@ -18,6 +20,28 @@ NO_MESSAGES = "Messages list cannot be empty"
 EMPTY_MESSAGE = "I received an empty message. Could you please rephrase your question?"
 
 
+TURN_SPAN = 4096  # turns per slice when numbering
+
+
+def dense_turns(messages: DataFrame) -> DataFrame:
+    """Renumber ``turn`` from 0 without gaps, in the order of the old numbers.
+
+    A conversation is cut into slices of ``TURN_SPAN`` old numbers. Rows are counted within slices,
+    and only the slice sizes are added up along a conversation.
+    """
+    sliced = messages.withColumn("_slice", F.floor(F.col("turn") / TURN_SPAN))
+    sizes = sliced.groupBy("conv_id", "_slice").agg(F.count(F.lit(1)).alias("_n"))
+    before = W.partitionBy("conv_id").orderBy("_slice").rowsBetween(W.unboundedPreceding, -1)
+    offsets = sizes.select("conv_id", "_slice", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_offset"))
+    inside = W.partitionBy("conv_id", "_slice").orderBy("turn")
+    return (
+        sliced.withColumn("_at", F.row_number().over(inside) - 1)
+        .join(offsets, ["conv_id", "_slice"])
+        .withColumn("turn", F.col("_offset") + F.col("_at"))
+        .select(messages.columns)
+    )
+
+
 def history_pairs(messages: DataFrame, enabled: bool = True) -> DataFrame:
     """``conv_id, turn, question, response``: a non-empty user turn directly followed by a non-empty
     assistant turn, neither of them the last message. ``turn`` is the question's.

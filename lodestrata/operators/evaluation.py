@@ -91,6 +91,12 @@ def f1_columns(both: Column, made: Column, want: Column) -> list[Column]:
     ]
 
 
+def f1_score(precision: Column, recall: Column) -> Column:
+    """F1 of a precision and a recall that a caller supplies, such as a model-based metric."""
+    total = precision + recall
+    return F.round(F.when(total > 0, 2.0 * precision * recall / total).otherwise(F.lit(0.0)), DIGITS)
+
+
 Judge = Callable[[Column, Column, Column], Column]
 
 

@@ -1,8 +1,9 @@
 """Document parsers: raw content -> typed elements, as native expressions or a supplied function.
 
 A parser is ``DataFrame -> DataFrame`` and adds the column ``elements`` of type
-``array<struct<type,content,description>>``. The text and HTML parsers stay inside the JVM. Other
-formats come in as a batch function through :func:`batch_parser`.
+``array<struct<type,content,description>>``, or, when it has JSON output already, the text column
+``parsed``. The text and HTML parsers stay inside the JVM. Other formats come in as a batch function
+through :func:`batch_parser`.
 """
 
 from __future__ import annotations
@@ -93,6 +94,11 @@ def html_parser(df: DataFrame) -> DataFrame:
     return df.withColumn("elements", html_elements(F.col("content").cast("string")))
 
 
+def json_parser(df: DataFrame) -> DataFrame:
+    """For content that is parser output already: ``{"document": {"elements": ...}, ...}``."""
+    return df.withColumn("parsed", F.col("content").cast("string"))
+
+
 def batch_parser(
     parse: Callable[[bytes, dict[str, str]], list[dict]], options: dict[str, str] | None = None
 ) -> Parser:
@@ -127,6 +133,8 @@ def parse_documents(df: DataFrame, parser: Parser) -> DataFrame:
     ``content`` is dropped here; it is the widest column and nothing later reads it.
     """
     parsed = parser(df)
+    if "parsed" in parsed.columns:
+        return parsed.drop("content")
     out = F.to_json(
         F.struct(
             F.struct(F.col("elements")).alias("document"),

@@ -61,6 +61,14 @@ def test_pairs_plan_has_no_window_over_a_conversation(spark):
     assert recent.count("WindowGroupLimit") == 2
 
 
+def test_turns_with_gaps(spark, monkeypatch):
+    monkeypatch.setattr(dialog, "TURN_SPAN", 5)
+    talks, df = conversations(spark, 4)
+    gaps = df.withColumn("turn", F.col("turn") * F.col("turn") * 3 + 7)
+    fixed = dialog.dense_turns(gaps)
+    assert fixed.columns == gaps.columns and fixed.exceptAll(df).count() == 0 and fixed.count() == df.count()
+
+
 def test_four_question_history(spark):
     rows = []
     for i in range(3):

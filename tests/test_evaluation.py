@@ -48,6 +48,11 @@ def test_token_f1(spark):
         assert got[i] == (round(p, 6), round(r, 6), round(2 * p * r / (p + r), 6) if n else 0.0)
 
 
+def test_supplied_precision_and_recall(spark):
+    df = spark.createDataFrame([(0.5, 1.0), (0.0, 0.0)], "p double, r double")
+    assert [r["f"] for r in df.select(evaluation.f1_score(F.col("p"), F.col("r")).alias("f")).collect()] == [0.666667, 0.0]
+
+
 def test_judge(spark):
     df = spark.createDataFrame(
         [(1, "q", "a b c d", "a b"), (2, "q", "x", "a b"), (3, "q", "", ""), (4, "q", " ", "a"), (5, "q", None, "a")],

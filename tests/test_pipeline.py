@@ -77,6 +77,18 @@ def test_strict_and_lenient_parsing(spark):
     assert (row["e"], row["n"], row["document_name"]) == ("[]", False, "x.txt")
 
 
+def test_json_parser_strict_and_lenient(spark):
+    good, bad = b'{"document":{"elements":[{"type":"title","content":"A"}]},"error_status":"late"}', b"{oops"
+    raw = spark.createDataFrame([("g", bytearray(good)), ("b", bytearray(bad))], "path string, content binary")
+    lenient = medallion.parsed_documents(raw, documents.json_parser, strict=False)
+    rows = {r["path"]: (r["e"], r["s"]) for r in lenient.selectExpr("path", "to_json(elements) AS e", "to_json(error_status) AS s").collect()}
+    assert rows == {"g": ('[{"content":"A","type":"title"}]', '"late"'), "b": (None, None)}
+    with pytest.raises(Exception, match="MALFORMED"):
+        medallion.parsed_documents(raw, documents.json_parser).collect()
+    chunks = medallion.chunk_table(lenient, ChunkOptions(10, 0)).collect()  # the bad document has no chunk
+    assert [(c["path"], c["chunk_content"], c["chunk_section"]) for c in chunks] == [("g", "[TITLE] A", "A")]
+
+
 def test_batch_parser_with_options(spark):
     raw = spark.createDataFrame([("p", bytearray(b"one,two")), ("q", None)], "path string, content binary")
 
