@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.operators.embedding import Embedder, embed
+from lodestrata.operators.layout import cluster
 from lodestrata.sources.workspace import materialise
 
 KEY = "chunk_id"
@@ -148,6 +149,13 @@ def last_batch(spark: SparkSession, root: str) -> int | None:
         return None
 
 
+def compact_index(spark: SparkSession, root: str, target: str) -> DataFrame:
+    """Write the live rows as batch 0 of a new index, clustered by key; for a log with many changes."""
+    live = current_index(spark, root).select(F.lit("upsert").alias("op"), *ROW, "embedding")
+    cluster(live).write.mode("error").parquet(f"{target}/batch=0")
+    return current_index(spark, target)
+
+
 def index_stats(index: DataFrame) -> DataFrame:
     """Row count, distinct keys and the range of vector sizes, in one pass."""
     return index.agg(

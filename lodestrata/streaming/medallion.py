@@ -33,6 +33,8 @@ COMMENTS = {
     "gold": "chunks with content ids",
 }
 
+HAS_CHUNKS = Expectation("has_chunks", "size(chunks) > 0")
+
 
 def parsed_documents(raw: DataFrame, parser: Parser, strict: bool = True) -> DataFrame:
     """Raw rows ``path, content`` -> parsed documents. Malformed parser output raises, or with
@@ -49,23 +51,40 @@ def parsed_documents(raw: DataFrame, parser: Parser, strict: bool = True) -> Dat
     )
 
 
+def chunk_arrays(parsed: DataFrame, options: ChunkOptions) -> DataFrame:
+    """Parsed documents -> one row per document with its array of chunks, empty for a failed document."""
+    rows = parsed.select(
+        "path", F.col("document_name").alias("file_name"), "processed_at", render_variant("elements").alias("elements")
+    )
+    return with_chunks(rows, "elements", options).drop("elements")
+
+
 def chunk_table(parsed: DataFrame, options: ChunkOptions) -> DataFrame:
     """Parsed documents -> one row per chunk."""
-    rows = parsed.select("path", F.col("document_name").alias("file_name"), "processed_at", render_variant("elements").alias("elements"))
-    return explode_chunks(with_chunks(rows, "elements", options).drop("elements"))
+    return explode_chunks(chunk_arrays(parsed, options))
+
 
+def run_available(stream: DataFrame, path: str, checkpoint: str) -> dict[str, dict[str, int]]:
+    """Write all new input of ``stream`` to a parquet table exactly once, then stop.
 
-def run_available(stream: DataFrame, path: str, checkpoint: str) -> None:
-    """Write all new input of ``stream`` to a parquet table exactly once, then stop."""
-    (
+    Returns what the stream's observations counted, added up over the micro-batches.
+    """
+    query = (
         stream.writeStream.format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
         .start()
-        .awaitTermination()
     )
+    query.awaitTermination()
+    seen: dict[str, dict[str, int]] = {}
+    for progress in query.recentProgress:
+        for name, row in progress.observedMetrics.items():
+            counts = seen.setdefault(name, {})
+            for rule, n in row.asDict().items():
+                counts[rule] = counts.get(rule, 0) + (n or 0)
+    return seen
 
 
 @dataclass(frozen=True)
@@ -76,25 +95,31 @@ class Medallion:
     parser: Parser
     options: ChunkOptions = field(default_factory=ChunkOptions)
     mode: str = "warn"
+    strict: bool = True
     parsed_rules: tuple[Expectation, ...] = (VALID_CONTENT, VALID_PATH)
     chunk_rules: tuple[Expectation, ...] = (VALID_CHUNK, VALID_CHUNK_ID)
 
     def folder(self, table: str) -> str:
         return f"{self.root}/{table}"
 
-    def _land(self, stream: DataFrame, table: str) -> None:
-        run_available(stream, self.folder(table), self.folder(f"_checkpoints/{table}"))
+    def _land(self, stream: DataFrame, table: str) -> dict[str, dict[str, int]]:
+        return run_available(stream, self.folder(table), self.folder(f"_checkpoints/{table}"))
+
+    def run(self, source: DataFrame) -> dict[str, dict[str, int]]:
+        """Take everything new from ``source`` (stream of ``path, content, ...``) through all hops.
 
-    def run(self, source: DataFrame) -> None:
-        """Take everything new from ``source`` (stream of ``path, content, ...``) through all hops."""
+        Returns the violations per expectation of this run: ``parsed_docs`` and ``chunked_docs``, and under
+        ``documents`` how many of them gave no chunk.
+        """
         spark = source.sparkSession
         self._land(source, "bronze")
         bronze = spark.readStream.schema(source.schema).parquet(self.folder("bronze"))
-        parsed = parsed_documents(bronze, self.parser)
-        self._land(expect(parsed, list(self.parsed_rules), self.mode, "parsed_docs"), "silver")
+        parsed = parsed_documents(bronze, self.parser, self.strict)
+        seen = self._land(expect(parsed, list(self.parsed_rules), self.mode, "parsed_docs"), "silver")
         silver = spark.readStream.schema(SILVER_SCHEMA).parquet(self.folder("silver"))
-        chunks = chunk_table(silver, self.options)
-        self._land(expect(chunks, list(self.chunk_rules), self.mode, "chunked_docs"), "gold")
+        arrays = expect(chunk_arrays(silver, self.options), [HAS_CHUNKS], "warn", "documents")
+        chunks = expect(explode_chunks(arrays), list(self.chunk_rules), self.mode, "chunked_docs")
+        return seen | self._land(chunks, "gold")
 
     def publish(self, spark: SparkSession, names: dict[str, str]) -> None:
         """Register the tables in the catalog; ``names`` maps bronze, silver and gold to table names."""

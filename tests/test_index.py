@@ -50,6 +50,14 @@ def test_sync_equals_rebuild_and_repeats_safely(spark, tmp_path):
     assert index.read_log(spark, root).filter("batch = 1").count() == 3
 
 
+def test_compaction_keeps_the_live_rows(spark, tmp_path):
+    root, target = str(tmp_path / "a"), str(tmp_path / "b")
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    live = content(index.sync_index(spark, root, chunk_df(spark, NEW), EMBED, 1))
+    assert content(index.compact_index(spark, root, target)) == live
+    assert index.last_batch(spark, target) == 0
+
+
 def test_refresh_build_force_and_count(spark, tmp_path):
     root = str(tmp_path / "r")
     assert index.index_row_count(spark, root) is None

@@ -62,6 +62,21 @@ def test_stream_equals_batch_and_reruns_add_nothing(spark, tmp_path):
     assert again.count() == live.count()
 
 
+def test_pipeline_counts_violations(spark, tmp_path):
+    texts = {
+        "good.json": '{"document":{"elements":[{"content":"abc"}]}}',
+        "null.json": '{"document":{"elements":[{"content":null}]}}',
+        "none.json": "{}",
+        "bad.json": "{oops",
+    }
+    write_files(tmp_path / "in", texts)
+    flow = medallion.Medallion(str(tmp_path / "flow"), documents.json_parser, ChunkOptions(10, 0), strict=False)
+    seen = flow.run(files.stream_raw_files(spark, str(tmp_path / "in"), "*.json", max_files=2))
+    assert seen["parsed_docs"] == {"valid_content": 2, "valid_path": 0, "rows": 4}
+    assert seen["documents"] == {"has_chunks": 3, "rows": 4}
+    assert seen["chunked_docs"] == {"valid_chunk": 0, "valid_chunk_id": 0, "rows": 1}
+
+
 def test_raw_stream_columns(spark, tmp_path):
     write_files(tmp_path / "in", FIRST)
     assert files.stream_raw_files(spark, str(tmp_path / "in")).columns == ["path", "modificationTime", "length", "content", "processing_timestamp"]
