@@ -120,29 +120,17 @@ def sized_sql(elements: str) -> str:
     )
 
 
-def chunk_column(elements: str, options: ChunkOptions) -> Column:
-    """Chunks of the rendered-element column named ``elements``."""
-    if options.measure is None:
-        return F.expr(fold_sql(sized_sql(elements), options))
-    sized = F.arrays_zip(
-        F.col(elements), options.measure(F.transform(F.col(elements), lambda e: e["text"])).alias("size")
-    )
-    flat = F.transform(
-        sized,
-        lambda z: F.struct(
-            z[elements]["kind"].alias("kind"), z[elements]["text"].alias("text"), z["size"].alias("size")
-        ),
-    )
-    # one projection for the sizes, then the fold reads them as a column
-    return F.transform(F.array(flat), lambda x: x)[0]
-
-
 def with_chunks(df: DataFrame, elements: str, options: ChunkOptions, into: str = "chunks") -> DataFrame:
     """Add the array of chunks of the rendered-element column ``elements``."""
     if options.measure is None:
-        return df.withColumn(into, chunk_column(elements, options))
-    sized = df.withColumn("_sized", chunk_column(elements, options))
-    return sized.withColumn(into, F.expr(fold_sql("_sized", options))).drop("_sized")
+        return df.withColumn(into, F.expr(fold_sql(sized_sql(elements), options)))
+    # a measure of the caller's runs over the texts of a document first, then the fold reads its sizes
+    sizes = options.measure(F.transform(elements, lambda e: e["text"]))
+    sized = df.withColumn("_sizes", sizes).withColumn(
+        "_sized",
+        F.expr(f"transform({elements}, (e, i) -> named_struct('kind', e.kind, 'text', e.text, 'size', _sizes[i]))"),
+    )
+    return sized.withColumn(into, F.expr(fold_sql("_sized", options))).drop("_sizes", "_sized")
 
 
 def json_chunks(json: str, options: ChunkOptions) -> Column:

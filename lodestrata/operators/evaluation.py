@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from lodestrata.functions.text import is_blank, tokens
 from lodestrata.operators.answers import Predictor, answer
-from lodestrata.operators.ordering import best_per_group, hash_positions
+from lodestrata.operators.ordering import best_per_group, hash_positions, seeded_hash
 
 TRAIN_SHARE = 0.7
 TEST_MODE_ROWS = 3
@@ -35,9 +36,14 @@ def split_examples(examples: DataFrame, seed: int = 0, share: float = TRAIN_SHAR
 
 
 def split_test_mode(examples: DataFrame, seed: int = 0, rows: int = TEST_MODE_ROWS) -> DataFrame:
-    """The quick split: the first ``rows`` examples train, the next ``rows`` test, the rest unused."""
-    placed = hash_positions(examples, "example_id", seed).filter(F.col("position") < 2 * rows)
-    return placed.withColumn("split", F.when(F.col("position") < rows, "train").otherwise("test")).drop("total")
+    """The quick split: the first ``rows`` examples train, the next ``rows`` test, the rest unused.
+
+    Each task keeps its first ``2 * rows`` examples; only that many are ranked.
+    """
+    order = [seeded_hash("example_id", seed), F.col("example_id")]
+    first = examples.orderBy(*order).limit(2 * rows)
+    placed = first.withColumn("position", F.row_number().over(W.orderBy(*order)).cast("bigint") - 1)
+    return placed.withColumn("split", F.when(F.col("position") < rows, "train").otherwise("test"))
 
 
 def eval_grid(inputs: DataFrame, programs: Mapping[str, Predictor]) -> DataFrame:

@@ -9,13 +9,17 @@ from pyspark.sql import functions as F
 BUCKET_DIGITS = 4  # hex digits of the hash that name a bucket: at most 65 536 buckets
 
 
+def seeded_hash(key: str, seed: int) -> Column:
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary"))
+
+
 def hash_positions(df: DataFrame, key: str, seed: int = 0) -> DataFrame:
     """Add ``position`` (from 0) in the order of ``md5(seed:key)`` and ``total`` (row count).
 
     A seeded shuffle that every engine can repeat. Rows are bucketed by the first hash digits, which
     spreads unique keys evenly; the bucket sizes, at most 65 536 rows, give each bucket's offset.
     """
-    hashed = df.withColumn("_hash", F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")).cast("binary")))
+    hashed = df.withColumn("_hash", seeded_hash(key, seed))
     hashed = hashed.withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
     sizes = hashed.groupBy("_bucket").agg(F.count("*").alias("_n"))
     before = W.orderBy("_bucket").rowsBetween(W.unboundedPreceding, -1)

@@ -94,7 +94,7 @@ def _examples(spark: SparkSession, sf: str) -> DataFrame:
 
 def _program_runs(spark: SparkSession, sf: str, examples: DataFrame) -> DataFrame:
     """Every program's response to every example: ``program, example_id, question, expected, response``."""
-    asked = examples.select("example_id", "question", F.col("response").alias("expected"))
+    asked = materialise(examples.select("example_id", "question", F.col("response").alias("expected")), "asked")
     hits = search.retrieve(asked, _index(spark, sf), _embedder(), TOP_K, query_id="example_id", columns=("chunk_content",))
     context = answers.assemble_context(hits, "example_id")
     inputs = asked.join(context, "example_id", "left").select(
