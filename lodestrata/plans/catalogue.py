@@ -20,6 +20,7 @@ from lodestrata.operators import (
     selection,
 )
 from lodestrata.operators.ordering import best_per_group
+from lodestrata.plans import jobs
 from lodestrata.sources import documents as parsers
 from lodestrata.sources import files
 from lodestrata.sources.tables import load, stream
@@ -93,30 +94,11 @@ def _examples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _program_runs(spark: SparkSession, sf: str, examples: DataFrame) -> DataFrame:
-    """Every program's response to every example: ``program, example_id, question, expected, response``."""
-    asked = materialise(examples.select("example_id", "question", F.col("response").alias("expected")), "asked")
-    hits = search.retrieve(asked, _index(spark, sf), _embedder(), TOP_K, query_id="example_id", columns=("chunk_content",))
-    context = answers.assemble_context(hits, "example_id")
-    inputs = asked.join(context, "example_id", "left").select(
-        "example_id",
-        "question",
-        "expected",
-        F.coalesce("passages", F.array().cast("array<string>")).alias("passages"),
-        F.lit("").alias("history"),
-    )
-    return evaluation.eval_grid(inputs, PROGRAMS).select("program", "example_id", "question", "expected", "response")
+    return jobs.program_runs(examples, _index(spark, sf), _embedder(), PROGRAMS, TOP_K)
 
 
 def _scored_runs(spark: SparkSession, sf: str, examples: DataFrame) -> DataFrame:
-    """``program, example_id, metric_name, score`` for the judge and for token F1."""
-    runs = materialise(_program_runs(spark, sf, examples), "runs")
-    judged = evaluation.judge_score(runs, JUDGE).select(
-        "program", "example_id", F.lit("judge_correctness").alias("metric_name"), F.col("score").cast("double").alias("score")
-    )
-    f1 = evaluation.token_f1(runs, ["program", "example_id"]).select(
-        "program", "example_id", F.lit("token_f1").alias("metric_name"), F.col("f1").alias("score")
-    )
-    return judged.unionByName(f1)
+    return jobs.score_runs(_program_runs(spark, sf, examples), JUDGE)
 
 
 def _label_runs(spark: SparkSession, sf: str) -> DataFrame:
