@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 CLUSTER = ["chunk_id", "path", "chunk_pos"]
@@ -28,3 +29,14 @@ def layout_stats(table: DataFrame, key: str = "chunk_id") -> DataFrame:
     return table.groupBy(F.col("_metadata.file_name").alias("file")).agg(
         F.count(F.lit(1)).alias("n_rows"), F.min(key).alias("min_key"), F.max(key).alias("max_key")
     )
+
+
+def layout_report(stats: DataFrame) -> DataFrame:
+    """``n_rows, overlaps``: rows in all files, and files that reach into the key range of the next one.
+
+    Works on one row per file.
+    """
+    following = F.lead("min_key").over(W.orderBy("min_key", "max_key"))
+    return stats.withColumn("_reaches", F.col("max_key") > following).agg(
+        F.sum("n_rows").alias("n_rows"), F.count_if("_reaches").alias("overlaps")
+    )

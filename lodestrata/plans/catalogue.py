@@ -330,8 +330,9 @@ def rerank_topk(spark, sf):
 def format_hits(spark, sf):
     """The search tool over each conversation's system message; without one the query is empty."""
     messages = load(spark, sf, "conversations")
+    told = F.col("role") == "system"  # other texts are not carried along
     asked = messages.groupBy("conv_id").agg(
-        F.min_by("text", F.when(F.col("role") == "system", F.col("turn"))).alias("q")
+        F.min_by(F.when(told, F.col("text")), F.when(told, F.col("turn"))).alias("q")
     ).select("conv_id", F.coalesce("q", F.lit("")).alias("question"))
     asked = materialise(asked, "asked")
     found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K, query_id="conv_id")
@@ -377,10 +378,10 @@ def ingest_files(spark, sf):
 
 
 def layout_stats(spark, sf):
-    """Key range per file of the clustered chunk table."""
+    """Rows of the clustered chunk table, and files whose key ranges overlap."""
     path = work_dir(spark, "clustered")
     layout.cluster(_chunk_rows(spark, sf)).write.parquet(path)
-    return layout.layout_stats(spark.read.parquet(path))
+    return layout.layout_report(layout.layout_stats(spark.read.parquet(path)))
 
 
 # --- conversations and answers -------------------------------------------------------------------

@@ -162,7 +162,10 @@ def test_layout_ranges_and_compaction(spark, tmp_path):
     hot.repartition(20).write.parquet(source)
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        stats = layout.layout_stats(layout.compact(spark, source, target)).orderBy("min_key", "max_key").collect()
+        files_ = layout.layout_stats(layout.compact(spark, source, target))
+        stats = files_.orderBy("min_key", "max_key").collect()
+        assert tuple(layout.layout_report(files_).first()) == (4000, 0)
+        assert layout.layout_report(layout.layout_stats(spark.read.parquet(source))).first()["overlaps"] > 0
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert sum(r["n_rows"] for r in stats) == 4000 and 2 <= len(stats) <= 8
