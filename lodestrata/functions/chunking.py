@@ -41,6 +41,8 @@ class ChunkOptions:
             raise ValueError(f"need 0 <= min_size <= max_size, got {self.min_size}, {self.max_size}")
 
 
+MIN_BLOCK = 64  # elements per inner fold of a short document
+
 _SPAN = "struct<first:int,n:int,label:int,kind:string>"
 _STATE = f"struct<done:array<{_SPAN}>,last:{_SPAN},first:int,n:int,label:int,size:bigint>"
 
@@ -69,7 +71,12 @@ def _close(keep: str, small: str, min_size: int) -> str:
 
 
 def fold_sql(elements: str, options: ChunkOptions) -> str:
-    """SQL over rendered elements with sizes (``kind, text, size``) -> array of chunk structs."""
+    """SQL over rendered elements with sizes (``kind, text, size``) -> array of chunk structs.
+
+    Two levels: an inner fold over a block of about sqrt(n) elements, an outer one over the blocks
+    that carries the state along. Adding to an array copies it, so a single fold over a document of
+    very many elements would copy its long list of spans at every step.
+    """
     start = (
         f"CAST(named_struct('done', array(), 'last', NULL, 'first', 0, 'n', 0, 'label', -1, "
         f"'size', 0L) AS {_STATE})"
@@ -77,36 +84,43 @@ def fold_sql(elements: str, options: ChunkOptions) -> str:
     at = "s.first + s.n"
     by_section = (
         f"named_struct({_close('section_based', 'small_section', options.min_size)}, "
-        f"'first', {at}, 'n', 1, 'label', {at}, 'size', e.size)"
+        f"'first', {at}, 'n', 1, 'label', {at}, 'size', x[i].size)"
     )
     by_size = (
         f"named_struct({_close('size_limited', 'small_size', options.min_size)}, "
-        f"'first', {at}, 'n', 1, 'label', s.label, 'size', e.size)"
+        f"'first', {at}, 'n', 1, 'label', s.label, 'size', x[i].size)"
     )
     grown = (
         "named_struct('done', s.done, 'last', s.last, 'first', s.first, 'n', s.n + 1, "
-        "'label', s.label, 'size', s.size + e.size)"
+        "'label', s.label, 'size', s.size + x[i].size)"
     )
     step = (
-        f"CASE WHEN e.kind IN ({BREAK_LIST}) THEN {by_section} "
-        f"WHEN s.size + e.size > {options.max_size} AND s.n > 0 AND e.kind NOT IN ({ATOMIC_LIST}) "
+        f"CASE WHEN x[i].kind IN ({BREAK_LIST}) THEN {by_section} "
+        f"WHEN s.size + x[i].size > {options.max_size} AND s.n > 0 AND x[i].kind NOT IN ({ATOMIC_LIST}) "
         f"THEN {by_size} ELSE {grown} END"
     )
+    rest = ", ".join(f"'{f}', {{0}}.{f}" for f in ("last", "first", "n", "label", "size"))
+    opened = f"CAST(named_struct('done', array(), {rest.format('o')}) AS {_STATE})"
+    block = "sequence(k * b, least((k + 1) * b, size(x)) - 1)"
+    joined = f"named_struct('done', concat(o.done, t.done), {rest.format('t')})"
+    outer = f"transform(array(aggregate({block}, {opened}, (s, i) -> {step}, s -> s)), t -> {joined})[0]"
     finish = f"named_struct({_close('final', 'small_final', options.min_size)})"
+    folded = (
+        f"transform(array(greatest({MIN_BLOCK}, CAST(sqrt(size(x)) AS INT))), b -> "
+        f"aggregate(sequence(0, (size(x) - 1) div b), {start}, (o, k) -> {outer}, s -> {finish}))[0]"
+    )
     # after the last close every span is in ``done`` or ``last``
     spans = "IF(c.last IS NULL, c.done, concat(c.done, array(c.last)))"
     label = section_label_sql("x[p.label].kind", "x[p.label].text")
+    texts = "transform(sequence(p.first, p.first + p.n - 1), i -> x[i].text)"
     chunk = (
-        "named_struct('content', array_join(transform(slice(x, p.first + 1, p.n), e -> e.text), '\\n\\n'), "
+        f"named_struct('content', array_join({texts}, '\\n\\n'), "
         f"'section', IF(p.label < 0, '{DEFAULT_SECTION}', {label}), 'chunk_type', p.kind)"
     )
     # transform(array(...))[0] binds a value once instead of repeating its expression
-    body = (
-        f"transform(transform(array(aggregate(x, {start}, (s, e) -> {step}, s -> {finish})), "
-        f"c -> {spans})[0], p -> {chunk})"
-    )
+    body = f"transform(transform(array({folded}), c -> {spans})[0], p -> {chunk})"
     checked = (
-        f"IF(exists(x, e -> e.text IS NULL), CAST(array() AS {CHUNK_TYPE}), "
+        f"IF(size(x) = 0 OR exists(x, e -> e.text IS NULL), CAST(array() AS {CHUNK_TYPE}), "
         f"CAST({body} AS {CHUNK_TYPE}))"
     )
     return f"transform(array({elements}), x -> {checked})[0]"
