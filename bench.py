@@ -16,10 +16,21 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import SparkSession  # noqa: E402
 
 from lodestrata.plans.catalogue import QUERIES  # noqa: E402
+from lodestrata.sources.tables import load  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
 
+# headline queries and the table whose rows they work through
+RATES = {
+    "chunks": "documents",
+    "stream_chunks": "documents",
+    "index_sync": "documents",
+    "html_elements": "pages",
+    "topk_cosine": "embeddings",
+    "history_pairs": "conversations",
+}
+
 
 def session() -> SparkSession:
     spark = (
@@ -48,6 +59,7 @@ def main() -> None:
     run(spark, "embed_chunks")  # JVM and Python workers up
     wanted = sys.argv[1:] or list(QUERIES)
     times = {name: round(run(spark, name), 3) for name in wanted}
+    rows = {t: load(spark, SF_DIR, t).count() for t in RATES.values()}
     print(
         json.dumps(
             {
@@ -55,6 +67,7 @@ def main() -> None:
                 "value": round(sum(times.values()), 3),
                 "unit": "sec",
                 "queries": times,
+                "rows_per_sec": {q: round(rows[t] / times[q]) for q, t in RATES.items() if q in times},
                 "sf": os.path.basename(SF_DIR.rstrip("/")).removeprefix("sf"),
                 "cpus": CPUS,
             }

@@ -58,6 +58,15 @@ def test_compaction_keeps_the_live_rows(spark, tmp_path):
     assert index.last_batch(spark, target) == 0
 
 
+def test_append_repeats_safely(spark, tmp_path):
+    root = str(tmp_path / "a")
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    for _ in range(2):  # the second time is the retry of a failed micro-batch
+        index.append_index(spark, root, chunk_df(spark, NEW), EMBED, 1)
+        assert index.index_row_count(spark, root) == 4
+    assert [r["chunk_content"] for r in index.read_log(spark, root).filter("batch = 1").collect()] == ["delta"]
+
+
 def test_refresh_build_force_and_count(spark, tmp_path):
     root = str(tmp_path / "r")
     assert index.index_row_count(spark, root) is None
