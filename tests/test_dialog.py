@@ -8,15 +8,12 @@ SCHEMA = "conv_id bigint, turn bigint, role string, text string"
 
 
 def model_pairs(messages):
-    """Walk the messages before the last one and pair user with the assistant right behind."""
-    out, before, i = [], messages[:-1], 0
-    while i + 1 < len(before):
-        (r1, t1), (r2, t2) = before[i], before[i + 1]
-        if r1 == "user" and t1 and r2 == "assistant" and t2:
-            out.append((t1, t2))
-            i += 1
-        i += 1
-    return out
+    """Neighbours user, assistant, both with text, among the messages before the last one."""
+    return [
+        (question, reply)
+        for (asker, question), (replier, reply) in zip(messages[:-1], messages[1:-1])
+        if (asker, replier) == ("user", "assistant") and question and reply
+    ]
 
 
 def conversations(spark, seed=1, n=60):
