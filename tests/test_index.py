@@ -3,7 +3,6 @@ from pyspark.sql import functions as F
 
 from lodestrata.operators import embedding, index
 
-CHUNK = "path string, chunk_pos int, chunk_content string, chunk_section string, chunk_type string, chunk_id string"
 EMBED = embedding.hashing_embedder(32)
 
 
