@@ -209,6 +209,22 @@ def test_managed_table_properties(spark):
 
 
 def test_work_dir_follows_the_session(spark):
-    base = spark.conf.get("spark.checkpoint.dir")
-    assert workspace.work_dir(spark, "x").startswith(base) and workspace.work_dir(spark, "x") != workspace.work_dir(spark, "x")
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    first, second = workspace.work_dir(spark, "x"), workspace.work_dir(spark, "x")
+    assert first != second and (base is None or first.startswith(base))
     assert workspace.materialise(spark.range(5), "m").count() == 5
+
+
+def test_a_cluster_without_a_shared_folder_is_an_error():
+    class Conf:
+        def get(self, key, default):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        workspace.work_dir(Session(), "x")
