@@ -1,8 +1,9 @@
 """Keyed vector index over a chunk table: build, diff, sync, statistics.
 
-An index is a folder of parquet batches, ``<root>/batch=<n>``, each an append-only set of changes
-(``op`` is ``upsert`` or ``delete``). A sync writes only what changed, in one directory of its own,
-so repeating a batch after a failure overwrites that directory and changes nothing else.
+An index is a folder of parquet change rows, ``<root>/batch=<n>/op=<op>``; ``op`` is ``insert`` (a key that
+was not live), ``update`` or ``delete``. A batch writes only what changed, in a directory of its own, so
+repeating it after a failure overwrites that directory and changes nothing else. A row is live unless
+a later batch updates or deletes its key; an index that only grew is read without any join.
 """
 
 from __future__ import annotations
@@ -19,8 +20,8 @@ KEY = "chunk_id"
 PLACE = ["path", "chunk_pos", "chunk_section", "chunk_type"]
 ROW = [KEY, *PLACE, "chunk_content"]
 SCHEMA = (
-    "op string, chunk_id string, path string, chunk_pos int, chunk_section string, "
-    "chunk_type string, chunk_content string, embedding array<float>, batch int"
+    "chunk_id string, path string, chunk_pos int, chunk_section string, chunk_type string, "
+    "chunk_content string, embedding array<float>, batch int, op string"
 )
 
 
@@ -44,23 +45,21 @@ def embed_index(rows: DataFrame, embedder: Embedder) -> DataFrame:
     return embed(rows, "chunk_content", embedder)
 
 
-def write_batch(rows: DataFrame, root: str, batch: int) -> None:
-    """Write change rows as batch ``batch``; writing the same batch again replaces it."""
-    rows.select("op", *ROW, "embedding").write.mode("overwrite").parquet(f"{root}/batch={batch}")
+def write_inserts(rows: DataFrame, root: str, batch: int, mode: str = "overwrite") -> None:
+    """Write embedded rows with new keys as batch ``batch``; writing the same batch again replaces it."""
+    rows.select(*ROW, "embedding").write.mode(mode).parquet(f"{root}/batch={batch}/op=insert")
 
 
 def build_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
     """Create the index as batch 0; fails if it exists (see :func:`rebuild_index`)."""
-    rows = embed_index(index_rows(chunks), embedder).withColumn("op", F.lit("upsert"))
-    rows.select("op", *ROW, "embedding").write.mode("error").parquet(f"{root}/batch=0")
+    write_inserts(embed_index(index_rows(chunks), embedder), root, 0, mode="error")
 
 
 def rebuild_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
     """Drop whatever index is at ``root`` and build it again."""
-    rows = embed_index(index_rows(chunks), embedder).select(
-        F.lit(0).alias("batch"), F.lit("upsert").alias("op"), *ROW, "embedding"
-    )
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch").parquet(root)
+    nothing = chunks.sparkSession.createDataFrame([], SCHEMA)
+    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch", "op").parquet(root)
+    build_index(chunks, embedder, root)
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
@@ -68,20 +67,19 @@ def read_log(spark: SparkSession, root: str) -> DataFrame:
 
 
 def current_index(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
-    """Live rows: per key the change of its latest batch, without deletes.
+    """Live rows. ``before`` gives the state ahead of that batch, so that a repeated batch sees the
+    same input as the first try.
 
-    The first batch is the bulk. It is only filtered against the keys of later batches; when those
-    are few, Spark broadcasts them at run time and the bulk is not shuffled. ``before`` gives the
-    state ahead of that batch, so that a repeated batch sees the same input as the first try.
+    Only keys and batch numbers of updates and deletes are gathered; they are picked by folder, so
+    Spark knows their size and broadcasts them while they are few. See :func:`compact_index`.
     """
     log = read_log(spark, root)
     if before is not None:
         log = log.filter(F.col("batch") < before)
-    later = log.filter("batch > 0")
-    newest = later.groupBy(KEY).agg(F.max("batch").alias("batch"))
-    changed = later.join(newest, [KEY, "batch"], "left_semi").filter("op = 'upsert'")
-    kept = log.filter("batch = 0").join(newest, KEY, "left_anti")
-    return kept.unionByName(changed).select(*ROW, "embedding")
+    replaced = log.filter("op IN ('update', 'delete')").groupBy(KEY).agg(F.max("batch").alias("_replaced"))
+    rows = log.filter("op <> 'delete'").join(replaced, KEY, "left")
+    live = rows.filter(F.col("_replaced").isNull() | (F.col("batch") >= F.col("_replaced")))
+    return live.select(*ROW, "embedding")
 
 
 def chunk_changes(old: DataFrame, new: DataFrame) -> DataFrame:
@@ -117,9 +115,10 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
     inserted = embed_index(changes.filter("change = 'insert'"), embedder)
     updated = changes.filter("change = 'update'").join(current.select(KEY, "embedding"), KEY)
     deleted = changes.filter("change = 'delete'").withColumn("embedding", F.lit(None).cast("array<float>"))
-    delta = inserted.unionByName(updated).unionByName(deleted)
-    op = F.when(F.col("change") == "delete", "delete").otherwise("upsert")
-    write_batch(delta.withColumn("op", op), root, batch)
+    delta = inserted.unionByName(updated).unionByName(deleted).withColumnRenamed("change", "op")
+    delta.select(*ROW, "embedding", "op").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+        "op"
+    ).parquet(f"{root}/batch={batch}")
     return current_index(spark, root)
 
 
@@ -127,7 +126,7 @@ def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Em
     """Add the chunks whose id the index does not hold yet; for append-only chunk streams."""
     known = current_index(spark, root, before=batch).select(KEY)
     fresh = index_rows(chunks).join(known, KEY, "left_anti")
-    write_batch(embed_index(fresh, embedder).withColumn("op", F.lit("upsert")), root, batch)
+    write_inserts(embed_index(fresh, embedder), root, batch)
 
 
 def refresh_index(
@@ -150,9 +149,8 @@ def last_batch(spark: SparkSession, root: str) -> int | None:
 
 
 def compact_index(spark: SparkSession, root: str, target: str) -> DataFrame:
-    """Write the live rows as batch 0 of a new index, clustered by key; for a log with many changes."""
-    live = current_index(spark, root).select(F.lit("upsert").alias("op"), *ROW, "embedding")
-    cluster(live).write.mode("error").parquet(f"{target}/batch=0")
+    """Write the live rows as batch 0 of a new index, clustered by key; for a log with many updates."""
+    write_inserts(cluster(current_index(spark, root)), target, 0, mode="error")
     return current_index(spark, target)
 
 

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from lodestrata.operators.embedding import Embedder
-from lodestrata.operators.index import append_index, current_index, embed_index, index_rows, write_batch
+from lodestrata.operators.index import append_index, current_index, embed_index, index_rows, write_inserts
 from lodestrata.streaming.medallion import GOLD_SCHEMA
 
 
@@ -27,7 +26,7 @@ def sync_stream(chunks: DataFrame, root: str, embedder: Embedder, checkpoint: st
     def add(rows: DataFrame, micro_batch: int) -> None:
         batch = micro_batch + first_batch
         if batch == 0:
-            write_batch(embed_index(index_rows(rows), embedder).withColumn("op", F.lit("upsert")), root, 0)
+            write_inserts(embed_index(index_rows(rows), embedder), root, 0)
         else:
             append_index(rows.sparkSession, root, rows, embedder, batch)
 

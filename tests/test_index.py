@@ -85,9 +85,28 @@ def test_stats(spark, tmp_path):
     assert tuple(row) == (3, 3, 32, 32)
 
 
-def test_single_batch_index_is_read_without_shuffling_the_bulk(spark, tmp_path):
+def test_reading_does_not_shuffle_the_bulk(spark, tmp_path):
     root = str(tmp_path / "p")
     index.build_index(chunk_df(spark, OLD), EMBED, root)
-    live = index.current_index(spark, root)
-    live.collect()
-    assert "SortMergeJoin" not in live._jdf.queryExecution().executedPlan().toString()
+    index.append_index(spark, root, chunk_df(spark, NEW), EMBED, 1)
+    grown = index.current_index(spark, root)
+    assert grown.count() == 4 and "hashpartitioning" not in executed(grown.select("embedding"))
+    index.sync_index(spark, root, chunk_df(spark, NEW), EMBED, 2)
+    plan = executed(index.current_index(spark, root).select("embedding"))
+    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" in plan
+
+
+def executed(df):
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+
+
+def test_a_deleted_text_can_come_back(spark, tmp_path):
+    root = str(tmp_path / "d")
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    steps = [NEW, OLD, [], OLD[:1], [("p9", 9, "alpha")], NEW]
+    for batch, rows in enumerate(steps, 1):
+        chunks = chunk_df(spark, rows) if rows else chunk_df(spark, OLD).limit(0)
+        live = index.sync_index(spark, root, chunks, EMBED, batch)
+        assert content(live) == content(index.embed_index(index.index_rows(chunks), EMBED))
+        assert content(index.current_index(spark, root, before=1)) == content(index.embed_index(index.index_rows(chunk_df(spark, OLD)), EMBED))
