@@ -62,6 +62,35 @@ def test_stream_equals_batch_and_reruns_add_nothing(spark, tmp_path):
     assert again.count() == live.count()
 
 
+def test_index_stream_survives_a_failure_between_write_and_commit(spark, tmp_path, monkeypatch):
+    rows = spark.range(12).select(
+        F.concat(F.lit("p"), "id").alias("path"), F.lit("f").alias("file_name"), F.current_timestamp().alias("processed_at"),
+        F.lit(0).alias("chunk_pos"), F.concat(F.lit("text "), F.col("id") % 5).alias("chunk_content"), F.lit("S").alias("chunk_section"),
+        F.lit("final").alias("chunk_type"), F.md5(F.concat(F.lit("text "), F.col("id") % 5).cast("binary")).alias("chunk_id"),
+    )
+    gold, root, checkpoint = (str(tmp_path / x) for x in ("gold", "index", "ck"))
+    rows.repartition(4).write.parquet(gold)
+
+    def run():
+        chunks = index_sync.stream_chunk_rows(spark, gold, max_files=1)
+        return index_sync.sync_stream(chunks, root, embedding.hashing_embedder(8), checkpoint)
+
+    real, calls = index_sync.append_index, []
+
+    def failing(*args):
+        real(*args)
+        calls.append(args[-1])
+        if len(calls) == 2:
+            raise RuntimeError("executor lost")
+
+    monkeypatch.setattr(index_sync, "append_index", failing)
+    with pytest.raises(Exception, match="executor lost"):
+        run()
+    live = run()
+    assert calls == [1, 2, 2, 3]  # the failed batch ran again
+    assert sorted(r["chunk_content"] for r in live.collect()) == [f"text {i}" for i in range(5)]
+
+
 def test_pipeline_counts_violations(spark, tmp_path):
     texts = {
         "good.json": '{"document":{"elements":[{"content":"abc"}]}}',
