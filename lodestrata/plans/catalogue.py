@@ -34,6 +34,7 @@ TOP_K = 5
 TOOL_K = 3
 OVERSAMPLE = 4
 HISTORY_PAIRS = 2
+PAGES_PER_FILE = 500  # keeps the content of one file small
 JUDGE_SHARE = 0.3
 JUDGE = evaluation.overlap_judge(JUDGE_SHARE)
 PROGRAMS = {
@@ -369,12 +370,14 @@ def stream_index(spark, sf):
 
 
 def ingest_files(spark, sf):
-    """The files of the given folder through the binary-file stream, each once."""
+    """Pages written to text files of bounded size, taken in by the binary-file stream, each file once;
+    then every line of the landed contents."""
     root = work_dir(spark, "ingest")
-    raw = files.stream_raw_files(spark, sf, "*.parquet")
-    medallion.run_available(raw, f"{root}/raw", f"{root}/_checkpoint")
+    load(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", PAGES_PER_FILE).text(f"{root}/inbox")
+    medallion.run_available(files.stream_raw_files(spark, f"{root}/inbox", "*.txt"), f"{root}/raw", f"{root}/_checkpoint")
     landed = spark.read.schema(files.FILE_SCHEMA).parquet(f"{root}/raw")
-    return landed.select(text.file_name(F.col("path")).alias("file_name"), "length")
+    lines = landed.select(F.explode(F.split(F.decode("content", F.lit("UTF-8")), "\n")).alias("line")).filter("line <> ''")
+    return lines.select(F.length("line").cast("bigint").alias("n_chars"), F.md5(F.col("line").cast("binary")).alias("line_md5"))
 
 
 def layout_stats(spark, sf):

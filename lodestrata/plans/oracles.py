@@ -319,6 +319,9 @@ FROM asked LEFT JOIN told ON id = conv_id""",
     "stream_chunks": f"""{CHUNKS}
 SELECT path, regexp_extract(path, '[^/]+$') AS file_name, chunk_pos, chunk_id, chunk_section, chunk_type FROM chunk""",
     "stream_index": f"{CHUNKS} SELECT chunk_id, any_value(length(chunk_content)) AS n_chars FROM chunk GROUP BY chunk_id",
+    "ingest_files": """
+WITH lines AS (SELECT unnest(string_split(html, chr(10))) AS line FROM pages)
+SELECT length(line) AS n_chars, md5(line) AS line_md5 FROM lines WHERE line <> ''""",
     "layout_stats": f"{CHUNKS} SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps FROM chunk",
     "history_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
     "history_recent": f"WITH {PAIRS} SELECT * FROM recent",

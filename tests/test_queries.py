@@ -10,7 +10,7 @@ from lodestrata.plans.oracles import ORACLES
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-ROWS_ONLY = {"ann_recall", "ingest_files"}
+ROWS_ONLY = {"ann_recall"}
 
 
 @pytest.fixture(scope="module")
