@@ -376,7 +376,7 @@ def ingest_files(spark, sf):
     load(spark, sf, "pages").select("html").write.option("maxRecordsPerFile", PAGES_PER_FILE).text(f"{root}/inbox")
     medallion.run_available(files.stream_raw_files(spark, f"{root}/inbox", "*.txt"), f"{root}/raw", f"{root}/_checkpoint")
     landed = spark.read.schema(files.FILE_SCHEMA).parquet(f"{root}/raw")
-    lines = landed.select(F.explode(F.split(F.decode("content", F.lit("UTF-8")), "\n")).alias("line")).filter("line <> ''")
+    lines = landed.select(F.explode(F.split(F.decode("content", "UTF-8"), "\n")).alias("line")).filter("line <> ''")
     return lines.select(F.length("line").cast("bigint").alias("n_chars"), F.md5(F.col("line").cast("binary")).alias("line_md5"))
 
 
