@@ -382,9 +382,9 @@ def ingest_files(spark, sf):
 
 def layout_stats(spark, sf):
     """Rows of the clustered chunk table, and files whose key ranges overlap."""
-    path = work_dir(spark, "clustered")
-    layout.cluster(_chunk_rows(spark, sf)).write.parquet(path)
-    return layout.layout_report(layout.layout_stats(spark.read.parquet(path)))
+    written, path = work_dir(spark, "chunks"), work_dir(spark, "clustered")
+    _chunk_rows(spark, sf).write.parquet(written)  # range partitioning reads its input twice
+    return layout.layout_report(layout.layout_stats(layout.compact(spark, written, path)))
 
 
 # --- conversations and answers -------------------------------------------------------------------

@@ -104,6 +104,12 @@ def test_pipeline_counts_violations(spark, tmp_path):
     assert seen["parsed_docs"] == {"valid_content": 2, "valid_path": 0, "rows": 4}
     assert seen["documents"] == {"has_chunks": 3, "rows": 4}
     assert seen["chunked_docs"] == {"valid_chunk": 0, "valid_chunk_id": 0, "rows": 1}
+    strict_rows = medallion.Medallion(str(tmp_path / "drop"), documents.json_parser, ChunkOptions(10, 0), "drop", strict=False)
+    strict_rows.run(files.stream_raw_files(spark, str(tmp_path / "in"), "*.json"))
+    assert spark.read.schema(medallion.SILVER_SCHEMA).parquet(strict_rows.folder("silver")).count() == 2
+    failing = medallion.Medallion(str(tmp_path / "fail"), documents.json_parser, ChunkOptions(10, 0), "fail", strict=False)
+    with pytest.raises(Exception, match="valid_content"):
+        failing.run(files.stream_raw_files(spark, str(tmp_path / "in"), "*.json"))
 
 
 def test_raw_stream_columns(spark, tmp_path):
