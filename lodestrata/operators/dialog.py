@@ -69,14 +69,20 @@ def recent_history(pairs: DataFrame, max_pairs: int | None) -> DataFrame:
     return best_per_group(pairs, ["conv_id"], [F.desc("turn")], max_pairs, into="_back").drop("_back")
 
 
-def nested_history(messages: DataFrame, max_pairs: int, enabled: bool = True) -> DataFrame:
+NESTED_LIMIT = 10_000  # pairs that one row may hold
+
+
+def nested_history(messages: DataFrame, max_pairs: int | None = None, enabled: bool = True) -> DataFrame:
     """``conv_id, history``: one row per conversation with its last pairs in order, maybe none.
 
-    ``max_pairs`` bounds the list. For all pairs of unbounded conversations use the long form.
+    Without ``max_pairs`` (or with a number below 1) all pairs are kept, after a check that the longest
+    conversation stays within ``NESTED_LIMIT``. :func:`history_pairs` has no limit.
     """
-    if max_pairs < 1:
-        raise ValueError("a nested history needs a bound; use history_pairs for all pairs")
     recent = recent_history(history_pairs(messages, enabled), max_pairs)
+    if max_pairs is None or max_pairs <= 0:
+        longest = recent.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
+        if longest is not None and longest > NESTED_LIMIT:
+            raise ValueError(f"a conversation has {longest} pairs; set max_pairs or use history_pairs")
     nested = recent.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "question", "response"))).alias("history")
     )

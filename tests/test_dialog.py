@@ -1,5 +1,6 @@
 import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from lodestrata.operators import answers, dialog
@@ -39,10 +40,20 @@ def test_nested_history(spark):
     for n in (1, 3):
         got = {r["conv_id"]: [tuple(p) for p in r["history"]] for r in dialog.nested_history(df, n).collect()}
         assert got == {c: model_pairs(m)[-n:] for c, m in talks.items()}
+    for everything in (None, 0, -2):
+        got = {r["conv_id"]: [tuple(p) for p in r["history"]] for r in dialog.nested_history(df, everything).collect()}
+        assert got == {c: model_pairs(m) for c, m in talks.items()}
     off = dialog.nested_history(df, 3, enabled=False).collect()
     assert len(off) == len(talks) and all(r["history"] == [] for r in off)
 
 
+def test_unbounded_nesting_is_checked(spark, monkeypatch):
+    monkeypatch.setattr(dialog, "NESTED_LIMIT", 1)
+    _, df = conversations(spark, 2)
+    with pytest.raises(ValueError, match="history_pairs"):
+        dialog.nested_history(df)
+
+
 def test_all_pairs_for_no_bound(spark):
     _, df = conversations(spark, 3)
     pairs = dialog.history_pairs(df)
