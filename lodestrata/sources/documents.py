@@ -32,17 +32,23 @@ BLOCK_MARK = "\u0001"
 def line_type(line: Column, position: Column) -> Column:
     """Element type of one line of plain text."""
     mark = F.lit(CELL_MARK)
-    first = F.position(mark, line)
-    cells = (first > 0) & (F.position(mark, line, first + len(CELL_MARK)) > 0)
+    after = F.position(mark, line) + len(CELL_MARK)
+    cells = line.contains(CELL_MARK) & (F.position(mark, line, after) > 0)
     heading = line.startswith("#") & line.rlike("^#{1,6} ")
     return (
         F.when(cells, "table")
-        .when((position == 0) & (F.length(line) <= TITLE_MAX_CHARS), "title")
-        .when(heading | (F.length(line) <= HEADER_MAX_CHARS), "section_header")
+        .when((position == 0) & _at_most(line, TITLE_MAX_CHARS), "title")
+        .when(heading | _at_most(line, HEADER_MAX_CHARS), "section_header")
         .otherwise("text")
     )
 
 
+def _at_most(text: Column, chars: int) -> Column:
+    """Length check that counts characters only where the number of bytes leaves it open."""
+    size = F.octet_length(text)
+    return (size <= chars) | ((size <= 4 * chars) & (F.length(text) <= chars))
+
+
 def text_elements(text: Column) -> Column:
     """Plain text -> one element per line."""
     return F.transform(
