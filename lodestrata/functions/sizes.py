@@ -14,21 +14,26 @@ from pyspark.sql import types as T
 BLANK_PATTERN = r"(?U)^[\s\x1c-\x1f]*$"
 
 
+def blank_sql(text: str) -> str:
+    """SQL test for blank text; a visible ASCII character at the start settles it without the pattern."""
+    return f"(({text} < '!' OR {text} >= '\\u007f') AND {text} RLIKE r'{BLANK_PATTERN}')"
+
+
 def chars_div_4_sql(text: str) -> str:
     """SQL for the default measure: 0 for NULL or blank text, else characters div 4.
 
     Text of under four bytes measures 0 either way, so nothing is counted or matched for it.
     """
     return (
-        f"CASE WHEN {text} IS NULL OR octet_length({text}) < 4 OR {text} RLIKE r'{BLANK_PATTERN}' "
+        f"CASE WHEN {text} IS NULL OR octet_length({text}) < 4 OR {blank_sql(text)} "
         f"THEN 0L ELSE length({text}) div 4 END"
     )
 
 
 def chars_div_4(text: Column) -> Column:
     """Column form of :func:`chars_div_4_sql`."""
-    blank = text.isNull() | (F.octet_length(text) < 4) | text.rlike(BLANK_PATTERN)
-    return F.when(blank, F.lit(0).cast("bigint")).otherwise(
+    blank = ((text < "!") | (text >= "\x7f")) & text.rlike(BLANK_PATTERN)
+    return F.when(text.isNull() | (F.octet_length(text) < 4) | blank, F.lit(0).cast("bigint")).otherwise(
         F.floor(F.length(text) / 4).cast("bigint")
     )
 
