@@ -84,26 +84,26 @@ def fold_sql(elements: str, options: ChunkOptions) -> str:
     at = "s.first + s.n"
     by_section = (
         f"named_struct({_close('section_based', 'small_section', options.min_size)}, "
-        f"'first', {at}, 'n', 1, 'label', {at}, 'size', x[i].size)"
+        f"'first', {at}, 'n', 1, 'label', {at}, 'size', e.size)"
     )
     by_size = (
         f"named_struct({_close('size_limited', 'small_size', options.min_size)}, "
-        f"'first', {at}, 'n', 1, 'label', s.label, 'size', x[i].size)"
+        f"'first', {at}, 'n', 1, 'label', s.label, 'size', e.size)"
     )
     grown = (
         "named_struct('done', s.done, 'last', s.last, 'first', s.first, 'n', s.n + 1, "
-        "'label', s.label, 'size', s.size + x[i].size)"
+        "'label', s.label, 'size', s.size + e.size)"
     )
     step = (
-        f"CASE WHEN x[i].kind IN ({BREAK_LIST}) THEN {by_section} "
-        f"WHEN s.size + x[i].size > {options.max_size} AND s.n > 0 AND x[i].kind NOT IN ({ATOMIC_LIST}) "
+        f"CASE WHEN e.kind IN ({BREAK_LIST}) THEN {by_section} "
+        f"WHEN s.size + e.size > {options.max_size} AND s.n > 0 AND e.kind NOT IN ({ATOMIC_LIST}) "
         f"THEN {by_size} ELSE {grown} END"
     )
     rest = ", ".join(f"'{f}', {{0}}.{f}" for f in ("last", "first", "n", "label", "size"))
     opened = f"CAST(named_struct('done', array(), {rest.format('o')}) AS {_STATE})"
-    block = "sequence(k * b, least((k + 1) * b, size(x)) - 1)"
+    block = "IF(size(x) <= b, x, slice(x, k * b + 1, b))"
     joined = f"named_struct('done', concat(o.done, t.done), {rest.format('t')})"
-    outer = f"transform(array(aggregate({block}, {opened}, (s, i) -> {step}, s -> s)), t -> {joined})[0]"
+    outer = f"transform(array(aggregate({block}, {opened}, (s, e) -> {step}, s -> s)), t -> {joined})[0]"
     finish = f"named_struct({_close('final', 'small_final', options.min_size)})"
     folded = (
         f"transform(array(greatest({MIN_BLOCK}, CAST(sqrt(size(x)) AS INT))), b -> "
