@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lodestrata.functions import chunking, elements, sizes, text
@@ -47,7 +47,7 @@ PROGRAMS = {
 # --- shared inputs -------------------------------------------------------------------------------
 
 
-def _document_path():
+def _document_path() -> Column:
     return F.concat(F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), F.lit(".txt"))
 
 
@@ -114,19 +114,19 @@ def _label_runs(spark: SparkSession, sf: str) -> DataFrame:
 # --- elements and chunks -------------------------------------------------------------------------
 
 
-def text_elements(spark, sf):
+def text_elements(spark: SparkSession, sf: str) -> DataFrame:
     return _typed(spark, sf).select("doc_id", F.posexplode_outer("elements").alias("pos", "e")).select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), "e.type", "e.content"
     )
 
 
-def html_elements(spark, sf):
+def html_elements(spark: SparkSession, sf: str) -> DataFrame:
     pages = load(spark, sf, "pages").select("page_id", parsers.html_elements(F.col("html")).alias("elements"))
     rows = pages.select("page_id", F.posexplode_outer("elements").alias("pos", "e")).filter("pos IS NOT NULL")
     return rows.select("page_id", F.col("pos").cast("bigint").alias("pos"), "e.type", "e.content")
 
 
-def normalize_elements(spark, sf):
+def normalize_elements(spark: SparkSession, sf: str) -> DataFrame:
     """Messages as JSON in the three container shapes, by role, and back to elements."""
     typed = F.transform(F.split("text", "\n"), lambda t: F.struct(F.lit("text").alias("type"), t.alias("content")))
     shaped = (
@@ -140,33 +140,33 @@ def normalize_elements(spark, sf):
     return rows.select("conv_id", "turn", F.col("pos").cast("bigint").alias("pos"), "e.kind", "e.text")
 
 
-def element_text(spark, sf):
+def element_text(spark: SparkSession, sf: str) -> DataFrame:
     return _element_rows(spark, sf)
 
 
-def section_breaks(spark, sf):
+def section_breaks(spark: SparkSession, sf: str) -> DataFrame:
     return _element_rows(spark, sf).filter(elements.is_section_break(F.col("kind"))).select("doc_id", "pos", "kind")
 
 
-def element_sections(spark, sf):
+def element_sections(spark: SparkSession, sf: str) -> DataFrame:
     labels = _rendered(spark, sf).select("doc_id", chunking.section_labels("elements").alias("labels"))
     return labels.select("doc_id", F.posexplode_outer("labels").alias("pos", "section")).select(
         "doc_id", F.col("pos").cast("bigint").alias("pos"), "section"
     )
 
 
-def token_counts(spark, sf):
+def token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return _element_rows(spark, sf).select("doc_id", "pos", sizes.chars_div_4(F.col("text")).alias("size"))
 
 
-def chunks(spark, sf):
+def chunks(spark: SparkSession, sf: str) -> DataFrame:
     return _chunk_rows(spark, sf).select(
         "doc_id", "path", F.col("chunk_pos").cast("bigint").alias("chunk_pos"),
         "chunk_id", "chunk_content", "chunk_section", "chunk_type",
     )
 
 
-def json_chunks(spark, sf):
+def json_chunks(spark: SparkSession, sf: str) -> DataFrame:
     """The chunk function over JSON text, as SQL users call it."""
     chunking.register_chunk_function(spark, OPTIONS)
     payload = load(spark, sf, "documents").select(
@@ -176,11 +176,11 @@ def json_chunks(spark, sf):
     return rows.select("doc_id", F.col("chunk_pos").cast("bigint").alias("chunk_pos"), "chunk_id", "chunk_section", "chunk_type")
 
 
-def chunk_ids(spark, sf):
+def chunk_ids(spark: SparkSession, sf: str) -> DataFrame:
     return _chunk_rows(spark, sf).groupBy("chunk_id").agg(F.count(F.lit(1)).alias("n_chunks"))
 
 
-def chunk_type_stats(spark, sf):
+def chunk_type_stats(spark: SparkSession, sf: str) -> DataFrame:
     rows = _chunk_rows(spark, sf).select("chunk_type", F.length("chunk_content").cast("bigint").alias("n"))
     return (
         rows.rollup("chunk_type")
@@ -194,7 +194,7 @@ def chunk_type_stats(spark, sf):
     )
 
 
-def atomic_overflow(spark, sf):
+def atomic_overflow(spark: SparkSession, sf: str) -> DataFrame:
     """Chunks over the size limit that hold a table: tables never start a chunk of their own."""
     size = sizes.chars_div_4(F.col("chunk_content"))
     holds = F.concat(F.lit("\n\n"), "chunk_content").contains("\n\n" + elements.PREFIXES["table"])
@@ -203,7 +203,7 @@ def atomic_overflow(spark, sf):
     )
 
 
-def _payloads(spark, sf):
+def _payloads(spark: SparkSession, sf: str) -> DataFrame:
     """Documents as parser output, in another shape per language: French ones are cut JSON, Spanish
     ones hold a null element, German ones come as an object, the rest as a list."""
     typed = parsers.text_elements(F.col("text"))
@@ -216,7 +216,7 @@ def _payloads(spark, sf):
     return load(spark, sf, "documents").select("doc_id", "source", payload.alias("payload"))
 
 
-def docs_without_chunks(spark, sf):
+def docs_without_chunks(spark: SparkSession, sf: str) -> DataFrame:
     made = _payloads(spark, sf).select("source", F.size(chunking.json_chunks("payload", OPTIONS)).alias("n"))
     return made.groupBy("source").agg(
         F.count(F.lit(1)).alias("n_docs"),
@@ -228,7 +228,7 @@ def docs_without_chunks(spark, sf):
 # --- projections and checks ----------------------------------------------------------------------
 
 
-def variant_paths(spark, sf):
+def variant_paths(spark: SparkSession, sf: str) -> DataFrame:
     parsed = load(spark, sf, "events").select("event_id", F.parse_json("props").alias("doc"))
     return parsed.select(
         "event_id",
@@ -238,11 +238,11 @@ def variant_paths(spark, sf):
     )
 
 
-def file_name(spark, sf):
+def file_name(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "pages").select("page_id", text.file_name(F.col("url")).alias("file_name"))
 
 
-def expectation_report(spark, sf):
+def expectation_report(spark: SparkSession, sf: str) -> DataFrame:
     """The four rules, counted over damaged parser output, page names and chunk rows."""
     parsed = _payloads(spark, sf).select(F.expr("try_parse_json(payload):elements").alias("elements"))
     pages = load(spark, sf, "pages").select(F.nullif(text.file_name(F.col("url")), F.lit("")).alias("path"))
@@ -257,11 +257,11 @@ def expectation_report(spark, sf):
 # --- index and search ----------------------------------------------------------------------------
 
 
-def _vectors(spark, sf):
+def _vectors(spark: SparkSession, sf: str) -> DataFrame:
     return load(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
-def topk_cosine(spark, sf):
+def topk_cosine(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest other vectors of every vector."""
     vectors = _vectors(spark, sf)
     return search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True).select(
@@ -269,14 +269,14 @@ def topk_cosine(spark, sf):
     )
 
 
-def ann_recall(spark, sf):
+def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
     vectors = _vectors(spark, sf)
     exact = search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True)
     found = search.approximate_top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True)
     return search.recall(found, exact, "vec_id", "hit_vec_id")
 
 
-def embed_chunks(spark, sf):
+def embed_chunks(spark: SparkSession, sf: str) -> DataFrame:
     rows = embedding.embed(index.index_rows(_chunk_rows(spark, sf)), "chunk_content", _embedder())
     filled = F.filter("embedding", lambda x: x > 0)
     weighted = F.transform("embedding", lambda x, i: x.cast("bigint") * i)
@@ -296,28 +296,28 @@ def _placed(rows: DataFrame) -> DataFrame:
     )
 
 
-def index_snapshot(spark, sf):
+def index_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(_index(spark, sf))
 
 
-def index_stats(spark, sf):
+def index_stats(spark: SparkSession, sf: str) -> DataFrame:
     return index.index_stats(_index(spark, sf))
 
 
-def chunk_changes(spark, sf):
+def chunk_changes(spark: SparkSession, sf: str) -> DataFrame:
     """What changes in the keyed chunk table when all documents are cut with a wider limit."""
     old, new = index.index_rows(_chunk_rows(spark, sf)), index.index_rows(_chunk_rows(spark, sf, WIDER))
     return index.chunk_changes(old, new).select("chunk_id", "change")
 
 
-def index_sync(spark, sf):
+def index_sync(spark: SparkSession, sf: str) -> DataFrame:
     """Index over the old chunks, brought in step with the wider chunks."""
     root = work_dir(spark, "index")
     index.build_index(_chunk_rows(spark, sf), _embedder(), root)
     return _placed(index.sync_index(spark, root, _chunk_rows(spark, sf, WIDER), _embedder(), batch=1))
 
 
-def rerank_topk(spark, sf):
+def rerank_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark texts as queries; twelve candidates each, reranked to three by shared tokens."""
     asked = load(spark, sf, "benchmark").select("item_id", F.col("text").alias("question"))
     found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K * OVERSAMPLE, query_id="item_id")
@@ -328,7 +328,7 @@ def rerank_topk(spark, sf):
     )
 
 
-def format_hits(spark, sf):
+def format_hits(spark: SparkSession, sf: str) -> DataFrame:
     """The search tool over each conversation's system message; without one the query is empty."""
     messages = load(spark, sf, "conversations")
     told = F.col("role") == "system"  # other texts are not carried along
@@ -343,7 +343,7 @@ def format_hits(spark, sf):
 # --- streams -------------------------------------------------------------------------------------
 
 
-def _pipeline(spark, sf):
+def _pipeline(spark: SparkSession, sf: str) -> medallion.Medallion:
     """Documents as a file stream through bronze, silver and gold."""
     source = stream(spark, sf, "documents").select(
         _document_path().alias("path"),
@@ -355,13 +355,13 @@ def _pipeline(spark, sf):
     return flow
 
 
-def stream_chunks(spark, sf):
+def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
     return _pipeline(spark, sf).chunks(spark).select(
         "path", "file_name", F.col("chunk_pos").cast("bigint").alias("chunk_pos"), "chunk_id", "chunk_section", "chunk_type"
     )
 
 
-def stream_index(spark, sf):
+def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     """The gold table streamed into an index, a few files per micro-batch."""
     flow = _pipeline(spark, sf)
     rows = index_stream.stream_chunk_rows(spark, flow.folder("gold"), max_files=64)
@@ -369,7 +369,7 @@ def stream_index(spark, sf):
     return live.select("chunk_id", F.length("chunk_content").cast("bigint").alias("n_chars"))
 
 
-def ingest_files(spark, sf):
+def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to text files of bounded size, taken in by the binary-file stream, each file once;
     then every line of the landed contents."""
     root = work_dir(spark, "ingest")
@@ -380,7 +380,7 @@ def ingest_files(spark, sf):
     return lines.select(F.length("line").cast("bigint").alias("n_chars"), F.md5(F.col("line").cast("binary")).alias("line_md5"))
 
 
-def layout_stats(spark, sf):
+def layout_stats(spark: SparkSession, sf: str) -> DataFrame:
     """Rows of the clustered chunk table, and files whose key ranges overlap."""
     written, path = work_dir(spark, "chunks"), work_dir(spark, "clustered")
     _chunk_rows(spark, sf).write.parquet(written)  # range partitioning reads its input twice
@@ -390,15 +390,15 @@ def layout_stats(spark, sf):
 # --- conversations and answers -------------------------------------------------------------------
 
 
-def history_pairs(spark, sf):
+def history_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return dialog.history_pairs(load(spark, sf, "conversations"))
 
 
-def history_recent(spark, sf):
+def history_recent(spark: SparkSession, sf: str) -> DataFrame:
     return dialog.recent_history(dialog.history_pairs(load(spark, sf, "conversations")), HISTORY_PAIRS)
 
 
-def history_nested(spark, sf):
+def history_nested(spark: SparkSession, sf: str) -> DataFrame:
     nested = dialog.nested_history(load(spark, sf, "conversations"), HISTORY_PAIRS)
     return nested.select(
         "conv_id",
@@ -409,11 +409,11 @@ def history_nested(spark, sf):
     )
 
 
-def current_question(spark, sf):
+def current_question(spark: SparkSession, sf: str) -> DataFrame:
     return _questions(spark, sf)
 
 
-def plain_questions(spark, sf):
+def plain_questions(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark texts as one-turn conversations: the text is the question, the history is empty."""
     one_turn = dialog.as_conversations(load(spark, sf, "benchmark"), "item_id", "text")
     pairs = dialog.nested_history(one_turn, HISTORY_PAIRS)
@@ -422,7 +422,7 @@ def plain_questions(spark, sf):
     )
 
 
-def validate_requests(spark, sf):
+def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
     """Every document id as a request; most have no conversation. Messages keep only their commas, so
     that one without any is blank."""
     messages = load(spark, sf, "conversations").withColumn("text", F.regexp_replace("text", "[^,]", " "))
@@ -430,31 +430,31 @@ def validate_requests(spark, sf):
     return dialog.validate_requests(requests, messages)
 
 
-def _conversation_hits(spark, sf):
+def _conversation_hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     asked = materialise(_questions(spark, sf), "questions")
     return asked, search.retrieve(asked, _index(spark, sf), _embedder(), TOP_K, query_id="conv_id")
 
 
-def rag_context(spark, sf):
+def rag_context(spark: SparkSession, sf: str) -> DataFrame:
     _, hits = _conversation_hits(spark, sf)
     return answers.assemble_context(hits, "conv_id").select("conv_id", answers.context_text(F.col("passages")).alias("context"))
 
 
-def _inputs(spark, sf):
+def _inputs(spark: SparkSession, sf: str) -> DataFrame:
     asked, hits = _conversation_hits(spark, sf)
     history = dialog.history_text(dialog.nested_history(load(spark, sf, "conversations"), HISTORY_PAIRS))
     return answers.prompt_inputs(asked, answers.assemble_context(hits, "conv_id"), history)
 
 
-def rag_inputs(spark, sf):
+def rag_inputs(spark: SparkSession, sf: str) -> DataFrame:
     return _inputs(spark, sf).select("conv_id", "question", answers.context_text(F.col("passages")).alias("context"), "history")
 
 
-def rag_answers(spark, sf):
+def rag_answers(spark: SparkSession, sf: str) -> DataFrame:
     return answers.answer(_inputs(spark, sf)).select("conv_id", "response")
 
 
-def coerce_response(spark, sf):
+def coerce_response(spark: SparkSession, sf: str) -> DataFrame:
     """Events as raw responses: an object, a JSON string or plain text, by event type."""
     body = F.concat(F.col("event_type"), F.lit(" "), F.col("user_id").cast("string"))
     raw = (
@@ -468,57 +468,57 @@ def coerce_response(spark, sf):
 # --- evaluation and selection --------------------------------------------------------------------
 
 
-def qa_examples(spark, sf):
+def qa_examples(spark: SparkSession, sf: str) -> DataFrame:
     return _examples(spark, sf).select(
         "example_id", "question", "response", F.col("messages")[0]["content"].alias("first_message")
     )
 
 
-def split_full(spark, sf):
+def split_full(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.split_examples(_examples(spark, sf).select("example_id")).select("example_id", "position", "split")
 
 
-def split_test_mode(spark, sf):
+def split_test_mode(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.split_test_mode(_examples(spark, sf).select("example_id")).select("example_id", "position", "split")
 
 
-def judge_score(spark, sf):
+def judge_score(spark: SparkSession, sf: str) -> DataFrame:
     runs = _program_runs(spark, sf, _examples(spark, sf))
     return evaluation.judge_score(runs, JUDGE).select(
         "program", "example_id", F.col("score").cast("bigint").alias("score"), "feedback"
     )
 
 
-def token_f1(spark, sf):
+def token_f1(spark: SparkSession, sf: str) -> DataFrame:
     runs = _program_runs(spark, sf, _examples(spark, sf))
     return evaluation.token_f1(runs, ["program", "example_id"])
 
 
-def mean_accuracy(spark, sf):
+def mean_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return evaluation.mean_scores(_scored_runs(spark, sf, _examples(spark, sf)), ["program", "metric_name"])
 
 
-def _test_means(spark, sf):
+def _test_means(spark: SparkSession, sf: str) -> DataFrame:
     split = evaluation.split_examples(_examples(spark, sf))
     return evaluation.mean_scores(_scored_runs(spark, sf, split.filter("split = 'test'")), ["program", "metric_name"])
 
 
-def eval_grid(spark, sf):
+def eval_grid(spark: SparkSession, sf: str) -> DataFrame:
     """Every program on every test example, averaged per metric."""
     return _test_means(spark, sf)
 
 
-def baseline_gain(spark, sf):
+def baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
     return selection.baseline_gain(
         _test_means(spark, sf), "all_passages", "leading_sentence", "top_passage", by=["metric_name"]
     )
 
 
-def champion_challenger(spark, sf):
+def champion_challenger(spark: SparkSession, sf: str) -> DataFrame:
     return selection.champion_challenger(_test_means(spark, sf), "top_passage", "all_passages", by=["metric_name"])
 
 
-def demo_select(spark, sf):
+def demo_select(spark: SparkSession, sf: str) -> DataFrame:
     train = materialise(evaluation.split_examples(_examples(spark, sf)).filter("split = 'train'"), "train")
     runs = evaluation.judge_score(_program_runs(spark, sf, train), JUDGE)
     scored = runs.select("program", "example_id", "score").join(train.select("example_id", "position"), "example_id")
@@ -526,7 +526,7 @@ def demo_select(spark, sf):
     return demos.withColumn("rank", F.col("rank").cast("bigint"))
 
 
-def leaderboard(spark, sf):
+def leaderboard(spark: SparkSession, sf: str) -> DataFrame:
     """Document sources ranked by label quality within each language."""
     return selection.leaderboard(_label_runs(spark, sf), ["lang"]).select(
         "lang", "program", "accuracy", "n_examples", F.col("rank").cast("bigint").alias("rank"),
@@ -534,16 +534,16 @@ def leaderboard(spark, sf):
     )
 
 
-def leaderboard_summary(spark, sf):
+def leaderboard_summary(spark: SparkSession, sf: str) -> DataFrame:
     return selection.leaderboard_summary(_label_runs(spark, sf), ["lang"])
 
 
-def run_metrics(spark, sf):
+def run_metrics(spark: SparkSession, sf: str) -> DataFrame:
     runs = _label_runs(spark, sf)
     return selection.run_metrics(runs, F.col("run_id"), ["accuracy"], ["n_examples", "metric_name"], ["lang"])
 
 
-def _registry(spark, sf):
+def _registry(spark: SparkSession, sf: str) -> DataFrame:
     """A model per document language, with a champion (version 1) and a challenger (version 2)."""
     models = load(spark, sf, "documents").select(F.concat(F.lit("retriever_"), "lang").alias("model")).distinct()
     aliases = F.explode(F.array(
@@ -553,7 +553,7 @@ def _registry(spark, sf):
     return models.select("model", aliases.alias("a")).select("model", "a.alias", "a.version")
 
 
-def _label_gate(spark, sf):
+def _label_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Per model: the champion is scored by the quality label, the challenger by absence of toxicity."""
     labelled = load(spark, sf, "labels").join(load(spark, sf, "documents").select("doc_id", "lang"), "doc_id")
     both = F.explode(F.array(
@@ -565,19 +565,19 @@ def _label_gate(spark, sf):
     return selection.champion_challenger(means, "champion", "challenger", by=["model"])
 
 
-def promote_alias(spark, sf):
+def promote_alias(spark: SparkSession, sf: str) -> DataFrame:
     promoted = selection.promote(_registry(spark, sf), _label_gate(spark, sf))
     return promoted.withColumn("version", F.col("version").cast("bigint"))
 
 
-def alias_lookup(spark, sf):
+def alias_lookup(spark: SparkSession, sf: str) -> DataFrame:
     """The version behind the champion alias of every model, after promotion."""
     registry = selection.promote(_registry(spark, sf), _label_gate(spark, sf))
     wanted = _registry(spark, sf).filter("alias = 'champion'").select("model", "alias")
     return selection.version_by_alias(registry, wanted).withColumn("version", F.col("version").cast("bigint"))
 
 
-def register_best(spark, sf):
+def register_best(spark: SparkSession, sf: str) -> DataFrame:
     """The best run of each language registered as the next version of its model."""
     best = best_per_group(_label_runs(spark, sf), ["lang"], [F.desc("accuracy"), F.asc("position")], 1)
     best = best.select(F.concat(F.lit("retriever_"), "lang").alias("model"), "run_id")
