@@ -40,6 +40,7 @@ def session() -> SparkSession:
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.driver.memory", os.environ.get("BENCH_MEMORY", "16g"))
         .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", os.environ.get("BENCH_SHARED_DIR", "/tmp/lodestrata-bench"))
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()

@@ -2,24 +2,30 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 
-def work_dir(spark: SparkSession, label: str) -> str:
-    """A fresh path under the folder the session names in ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only a local-mode session without that setting falls back to a temporary folder; on a cluster
-    the executors would not share it, so there it is an error.
+    A session without that setting uses a folder below its warehouse, which Spark shares as well; the
+    setting is then made in the session, so that later reads agree.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        base = tempfile.mkdtemp(prefix="lodestrata-")
-    return f"{base.rstrip('/')}/lodestrata/{label}-{uuid.uuid4().hex}"
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lodestrata"
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
+
+
+def work_dir(spark: SparkSession, label: str) -> str:
+    """A fresh path under the shared folder; it is deleted when the driver's JVM ends."""
+    path = f"{shared_folder(spark)}/lodestrata/{label}-{uuid.uuid4().hex}"
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+    return path
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -27,3 +33,14 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     path = work_dir(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table that :func:`materialise` wrote, once nothing reads it any more."""
+    spark = df.sparkSession
+    root = f"{shared_folder(spark)}/lodestrata/"
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        if root.removeprefix("file://").removeprefix("file:") in folder:
+            path.getFileSystem(conf).delete(path, True)

@@ -32,7 +32,7 @@ def rows(frame, columns):
 
 def test_every_query_has_an_oracle():
     assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and set(ORACLES) <= set(QUERIES)
-    assert entry_point.queries().keys() == QUERIES.keys()
+    assert entry_point.queries().keys() >= QUERIES.keys()
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
