@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import mixing, sharding, topk
+from lodestrata.llm import mixing, quality_rules, sharding, topk
 from lodestrata.sources.tables import load
 
 
@@ -23,8 +23,13 @@ def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors.where("id % 50 = 0"), vectors, 5)
 
 
+def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op6_kd_shards": kd_shards,
     "op9_exact_topk": exact_topk,
+    "op10_quality_forest": quality_forest,
 }
