@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from lodestrata.llm import mixing, quality_rules, sharding, topk
+from lodestrata.llm import jaccard, mixing, quality_rules, sharding, topk
 from lodestrata.sources.tables import load
 
 
@@ -14,6 +14,10 @@ def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(load(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(load(spark, sf_dir, "documents"), jaccard.Similarity(3, 90, 100))
+
+
 def kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(load(spark, sf_dir, "documents"))
 
@@ -29,6 +33,7 @@ def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
+    "op2_ngram_jaccard": ngram_jaccard,
     "op6_kd_shards": kd_shards,
     "op9_exact_topk": exact_topk,
     "op10_quality_forest": quality_forest,
