@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from lodestrata.llm import jaccard, mixing, quality_rules, sharding, topk
+from lodestrata.llm import jaccard, mixing, quality_rules, sharding, substring, topk
 from lodestrata.sources.tables import load
 
 
@@ -18,6 +19,11 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(load(spark, sf_dir, "documents"), jaccard.Similarity(3, 90, 100))
 
 
+def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = substring.without_repeats(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.kd_shards(load(spark, sf_dir, "documents"))
 
@@ -34,6 +40,7 @@ def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op2_ngram_jaccard": ngram_jaccard,
+    "op5_substring_dedup": substring_dedup,
     "op6_kd_shards": kd_shards,
     "op9_exact_topk": exact_topk,
     "op10_quality_forest": quality_forest,

@@ -51,6 +51,22 @@ e AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
 r AS (SELECT doc_id, doc_id AS other FROM documents UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.component_id
 FROM documents d LEFT JOIN n USING (doc_id) JOIN (SELECT doc_id, min(other) AS component_id FROM r GROUP BY doc_id) m USING (doc_id)
+""",
+    "op5_substring_dedup": r"""
+WITH w AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS t FROM documents),
+s AS (
+  SELECT doc_id, i, md5(array_to_string(t[i + 1 : i + 20], ' ')) AS h
+  FROM (SELECT doc_id, t, unnest(range(0, len(t) - 19)) AS i FROM w)),
+e AS (SELECT doc_id, i, min((doc_id, i)) OVER (PARTITION BY h) < (doc_id, i) AS again FROM s),
+c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 20)) AS i FROM e WHERE again),
+k AS (
+  SELECT w.doc_id, count(*) AS n_words, count(c.i) AS n_removed,
+    string_agg(p.word, ' ' ORDER BY p.i) FILTER (WHERE c.i IS NULL) AS kept
+  FROM w, (SELECT doc_id, unnest(t) AS word, unnest(range(0, len(t))) AS i FROM w) p
+  LEFT JOIN c ON c.doc_id = p.doc_id AND c.i = p.i
+  WHERE w.doc_id = p.doc_id GROUP BY w.doc_id)
+SELECT w.doc_id, coalesce(k.n_words, 0)::BIGINT AS n_words, coalesce(k.n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(k.kept, '')) AS kept_sha256
+FROM w LEFT JOIN k USING (doc_id)
 """,
     "op9_exact_topk": """
 WITH v AS (
