@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import jaccard, mixing, quality_rules, sharding, substring, topk
+from lodestrata.llm import jaccard, mixing, quality_rules, sharding, substring, topk, toxicity
 from lodestrata.sources.tables import load
 
 
@@ -33,6 +33,10 @@ def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors.where("id % 50 = 0"), vectors, 5)
 
 
+def toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
 def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -42,6 +46,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_jaccard": ngram_jaccard,
     "op5_substring_dedup": substring_dedup,
     "op6_kd_shards": kd_shards,
+    "op8_toxicity_knn": toxicity_knn,
     "op9_exact_topk": exact_topk,
     "op10_quality_forest": quality_forest,
 }
