@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import jaccard, mixing, quality_rules, sharding, substring, topk, toxicity
+from lodestrata.llm import jaccard, mixing, pii, quality_rules, sharding, substring, topk, toxicity
 from lodestrata.sources.tables import load
 
 
@@ -19,6 +19,10 @@ def ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_components(load(spark, sf_dir, "documents"), jaccard.Similarity(3, 90, 100))
 
 
+def pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(load(spark, sf_dir, "documents"))
+
+
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.without_repeats(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -44,6 +48,7 @@ def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op2_ngram_jaccard": ngram_jaccard,
+    "op3_pii_crf": pii_crf,
     "op5_substring_dedup": substring_dedup,
     "op6_kd_shards": kd_shards,
     "op8_toxicity_knn": toxicity_knn,
