@@ -10,13 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    A session without that setting uses a folder below its warehouse, which Spark shares as well; the
-    setting is then made in the session, so that later reads agree.
+    A session without that setting uses a folder below its warehouse, which is shared as well.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_lodestrata"
-        spark.conf.set("spark.checkpoint.dir", base)
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return base.rstrip("/")
 
 
