@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import jaccard, mixing, pii, quality_rules, sharding, substring, topk, toxicity
+from lodestrata.llm import bpe, jaccard, mixing, pii, quality_rules, sharding, substring, topk, toxicity
 from lodestrata.sources.tables import load
 
 
@@ -23,6 +24,11 @@ def pii_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(load(spark, sf_dir, "documents"))
 
 
+def byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return bpe.digests(load(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
+
+
 def substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring.without_repeats(load(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
@@ -49,6 +55,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op2_ngram_jaccard": ngram_jaccard,
     "op3_pii_crf": pii_crf,
+    "op4_byte_bpe": byte_bpe,
     "op5_substring_dedup": substring_dedup,
     "op6_kd_shards": kd_shards,
     "op8_toxicity_knn": toxicity_knn,
