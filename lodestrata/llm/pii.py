@@ -29,6 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.spread import lowest_hashes
 from lodestrata.sources.workspace import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -309,7 +310,9 @@ def variants(stretch: Stretch, labels: list[int]) -> Iterator[tuple[Stretch, lis
 def fit(docs: DataFrame) -> Field | None:
     own = docs.select("doc_id", "text")
     hinted = own.where(F.col("text").rlike(r"[0-9@+]")).select("doc_id").distinct()
-    chosen = materialise(hinted.orderBy(F.xxhash64("doc_id"), "doc_id").limit(FIT_DOCS).withColumnRenamed("doc_id", "_doc"), "chosen")
+    hinted = materialise(hinted, "hinted")
+    chosen = lowest_hashes(hinted, hinted.count(), FIT_DOCS, "doc_id")
+    chosen = materialise(chosen.withColumnRenamed("doc_id", "_doc"), "chosen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -328,8 +331,8 @@ def fit(docs: DataFrame) -> Field | None:
 
     texts_ = own.join(F.broadcast(chosen), F.col("doc_id").eqNullSafe(F.col("_doc")), "left_semi").select("text")  # FIT_DOCS ids
     table = texts_.mapInArrow(run, "words array<string>, labels array<int>, before string, after string")
-    order = F.xxhash64(F.to_json(F.struct("words", "before", "after")))
-    rows = table.orderBy(order, "before", "after").limit(FIT_STRETCHES).collect()
+    table = materialise(table.withColumn("key", F.to_json(F.struct("words", "before", "after"))), "stretches")
+    rows = lowest_hashes(table, table.count(), FIT_STRETCHES, "key").collect()
     examples = []
     for r in rows:
         examples += variants(Stretch([(0, 0)] * len(r["words"]), list(r["words"]), r["before"], r["after"]), list(r["labels"]))

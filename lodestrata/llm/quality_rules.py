@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.spread import lowest_hashes
 from lodestrata.llm.words import WordHashes, covered, texts, windows
 from lodestrata.sources.workspace import materialise
 
@@ -184,7 +185,7 @@ def judge(measured: DataFrame, rules: Rules) -> DataFrame:
 
 def fit(measured: DataFrame, labels: DataFrame) -> Rules:
     """Forest from a bounded sample of ``measured`` (a written table), threshold from all labelled rows."""
-    sample = measured.orderBy(F.xxhash64("doc_id"), *FEATURES).select(*FEATURES).limit(FIT_ROWS).toArrow()
+    sample = lowest_hashes(measured, measured.count(), FIT_ROWS, "doc_id", *FEATURES).select(*FEATURES).toArrow()
     if sample.num_rows < 2:
         return Rules(None, 2.0)
     forest = grow_forest(np.column_stack([sample.column(n).to_numpy() for n in FEATURES]))

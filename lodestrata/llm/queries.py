@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, jaccard, mixing, pii, quality_rules, sharding, substring, topk, toxicity
+from lodestrata.llm import bpe, jaccard, licences, mixing, pii, quality_rules, sharding, substring, topk, toxicity
 from lodestrata.sources.tables import load
 
 
@@ -43,6 +43,10 @@ def exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.exact_top_k(vectors.where("id % 50 = 0"), vectors, 5)
 
 
+def licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.licences(load(spark, sf_dir, "documents"))
+
+
 def toxicity_knn(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
@@ -58,6 +62,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": byte_bpe,
     "op5_substring_dedup": substring_dedup,
     "op6_kd_shards": kd_shards,
+    "op7_licence_scan": licence_scan,
     "op8_toxicity_knn": toxicity_knn,
     "op9_exact_topk": exact_topk,
     "op10_quality_forest": quality_forest,

@@ -41,3 +41,15 @@ def prefix_sums(df: DataFrame, group: str, order: list[Column], value: str, rows
         .withColumn("before", F.col("_inside") + F.col("_offset"))
         .drop("_range", "_inside", "_group", "_of", "_offset")
     )
+
+
+def lowest_hashes(df: DataFrame, rows: int, limit: int, *keys: str) -> DataFrame:
+    """The ``limit`` rows of ``df`` (of ``rows`` rows) with the lowest hash of ``keys``: a bounded, stable sample.
+
+    Rows far above the expected bound are left out before the sort, so what reaches the last task does not
+    grow with the number of tasks.
+    """
+    value = F.xxhash64(*keys)
+    if rows > 4 * limit:
+        df = df.where(value < F.lit(int(-(2**63) + 2**64 * (2 * limit / rows))))
+    return df.orderBy(value, *keys).limit(limit)

@@ -31,6 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.spread import lowest_hashes
 from lodestrata.llm.words import texts
 from lodestrata.sources.workspace import materialise
 
@@ -138,8 +139,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Examples | None:
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")).where(remainder(F.col("doc_id")) != 2)
     texts_ = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    chosen = known.join(texts_.select("doc_id"), "doc_id", "left_semi").orderBy(F.xxhash64("doc_id"), "doc_id").limit(EXAMPLES)
-    chosen = materialise(chosen, "chosen")
+    known = materialise(known.join(texts_.select("doc_id"), "doc_id", "left_semi"), "known")
+    chosen = materialise(lowest_hashes(known, known.count(), EXAMPLES, "doc_id"), "chosen")
     labelled = materialise(texts_.join(F.broadcast(chosen), "doc_id"), "examples")  # at most EXAMPLES ids
     sizes = chosen.agg(F.count("*"), F.sum("toxic")).first()
     total, positive = sizes[0], sizes[1] or 0
