@@ -108,7 +108,7 @@ def _signature(tokens: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
-    """``doc_id, n, set_id, bands, prefix`` per document; the prefix holds its rarest tokens first."""
+    """``doc_id, text_md5, n, set_id, bands, prefix`` per document; the prefix holds its rarest tokens first."""
     session = docs.sparkSession.sparkContext
     sketch = session.broadcast(frequency_sketch(docs, like.words))
 
@@ -127,6 +127,7 @@ def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
             yield pa.record_batch(
                 {
                     "doc_id": batch.column(0),
+                    "text_md5": batch.column(2),
                     "n": pa.array(sizes, pa.int64()),
                     "set_id": pa.array(ids, pa.binary()),
                     "bands": long_array(bands),
@@ -134,7 +135,8 @@ def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
                 }
             )
 
-    return _own(docs).mapInArrow(run, "doc_id long, n long, set_id binary, bands array<long>, prefix array<long>")
+    own = _own(docs).withColumn("text_md5", F.md5("text"))
+    return own.mapInArrow(run, "doc_id long, text_md5 string, n long, set_id binary, bands array<long>, prefix array<long>")
 
 
 def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
@@ -242,6 +244,11 @@ def _member_pairs(led: DataFrame, compared: DataFrame, found: DataFrame, like: S
 
 def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
     """``doc_id, n_shingles, component_id`` per row of ``docs``."""
+    return _grouped(docs, like).select("doc_id", "n_shingles", "component_id")
+
+
+def _grouped(docs: DataFrame, like: Similarity) -> DataFrame:
+    """``doc_id, text_md5, n_shingles, component, component_id``; ``component`` is null for empty sets."""
     signed = materialise(signatures(docs, like), "signatures")
     nodes = signed.where("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("prefix").alias("prefix")
@@ -269,9 +276,32 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
 
     labelled = nodes.select("set_id", "node", "label").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("label").alias("component_id"))
-    named = materialise(labelled.join(least, "component").select("set_id", "component_id"), "named")
-    return joined(signed.select("doc_id", "n", "set_id"), named, "set_id", "left", 48).select(
+    named = materialise(labelled.join(least, "component").select("set_id", "component", "component_id"), "named")
+    return joined(signed.select("doc_id", "text_md5", "n", "set_id"), named, "set_id", "left", 56).select(
         "doc_id",
+        "text_md5",
         F.col("n").alias("n_shingles"),
+        "component",
         F.when(F.col("n") > 0, F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def distinct_documents(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
+    """One row of every component, with the columns of ``documents``.
+
+    The row is that of the smallest doc_id (null last), of several texts with this id the one with the
+    smallest MD5, of equal rows one. Documents without words are all kept.
+    """
+    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars")
+    rows = materialise(_grouped(own, like).where("component IS NOT NULL").groupBy("component", "doc_id", "text_md5").agg(F.count("*").alias("rows")), "rows")
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_md5")
+    first = rows.groupBy(F.col("component").alias("_component")).agg(F.min(place).alias("_first"))
+    same_group = F.col("component") == F.col("_component")
+    dropped = rows.join(first, same_group).where(place != F.col("_first")).select(F.col("doc_id").alias("_doc"), F.col("text_md5").alias("_md5"))
+    dropped = materialise(dropped, "dropped")
+    repeated = materialise(rows.where("rows > 1").select(F.col("doc_id").alias("_doc"), F.col("text_md5").alias("_md5")), "repeated")
+    same = F.col("doc_id").eqNullSafe(F.col("_doc")) & (F.md5("text") == F.col("_md5"))
+    if not repeated.isEmpty():
+        once = joined(own, repeated, same, "left_semi", 56).withColumn("_md5", F.md5("text")).dropDuplicates(["doc_id", "_md5"]).drop("_md5")
+        own = joined(own, repeated, same, "left_anti", 56).unionByName(once)
+    return joined(own, dropped, same, "left_anti", 56)
