@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,7 +35,11 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files of a table that :func:`materialise` wrote, once nothing reads it any more."""
+    """Delete the files of a table that :func:`materialise` wrote, once nothing reads it any more.
+
+    The shuffle files of finished steps go as well: Spark deletes them when the driver's collector has
+    seen that nothing refers to them, which on a large heap would come hours later.
+    """
     spark = df.sparkSession
     root = f"{shared_folder(spark)}/lodestrata/"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
@@ -42,3 +47,5 @@ def discard(df: DataFrame) -> None:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         if root.removeprefix("file://").removeprefix("file:") in folder:
             path.getFileSystem(conf).delete(path, True)
+    gc.collect()
+    jvm.System.gc()
