@@ -3,17 +3,16 @@
 A document's set holds the hashes of its distinct word shingles. Equal sets are one node. Links are found
 exactly, without listing all pairs of a group of near copies:
 
-1. *Leaders.* Nodes that share a band of minimum hashes propose the band's smallest node as their leader;
-   the proposals are verified on the full sets. Each node keeps one verified leader that has none itself,
-   and its overlap with it.
-2. *Block-skip index.* The rarest tokens of each set (a prefix that any linked set must meet, in an order
-   by a frequency sketch, then hash) are the entries of inverted lists. Entries of a list are blocked
-   by leader, with the block's sizes and positions; two blocks meet only where sizes and positions leave
-   room for the required overlap and the components found so far differ. What remains are pairs of
-   leaders, verified on the full sets.
-3. *Derived answers.* For members of two leaders the verified overlap of the leaders, plus or minus what
-   the members add or lack, bounds their own overlap. The bound settles most member pairs; only
-   the open ones, between components that still differ, are verified.
+1. *Leaders.* Nodes that share bands of minimum hashes with a smaller node are compared with it on the full
+   sets; if similar (less than a link is enough) it leads them, and what they lack and add is kept.
+2. *Derived answers.* The overlap of two members of one leader is that of both with the leader, less its
+   size, plus their common changes. Where the first part proves the link, all such members hang together by
+   the best one; the other pairs are found by inverted lists of rare changes and settled on changes alone.
+3. *Block-skip lists.* The rarest tokens of each set (a prefix that any linked set must meet, in an order
+   by a frequency sketch, then hash) are the entries of inverted lists. Blocks of a leader's entries
+   meet a node of a later leader only where sizes and positions leave room for the required overlap and
+   the components found so far differ. The leader is compared with the node on the full sets, and its
+   members' overlaps follow from what they lack and add.
 
 Every link between different components is found, so components are exact (up to 64-bit hash collisions).
 The order by the sketch (2 ** 18 counts over all documents) changes cost only, not results.
@@ -40,7 +39,7 @@ from lodestrata.llm.words import WordHashes, long_array, mixed, running, spans,
 from lodestrata.sources.workspace import discard, materialise
 
 SKETCH_BITS = 18
-BANDS = 4
+BANDS = 6
 BAND_ROWS = 2
 
 
@@ -97,9 +96,12 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
     return sketch
 
 
+_FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)  # odd: bijections
+
+
 def _signature(tokens: np.ndarray) -> np.ndarray:
     """Band keys: minimum hashes of the set under several bijections, two by two."""
-    least = [mixed(tokens ^ np.uint64(0xA0761D6478BD642F * (i + 1) & 0xFFFFFFFFFFFFFFFF)).min() for i in range(BANDS * BAND_ROWS)]
+    least = [(tokens * factor).min() for factor in _FACTORS]
     rows = np.array(least, np.uint64).reshape(BANDS, BAND_ROWS)
     keys = np.zeros(BANDS, np.uint64)
     for i in range(BAND_ROWS):
@@ -139,107 +141,147 @@ def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
     return own.mapInArrow(run, "doc_id long, text_md5 string, n long, set_id binary, bands array<long>, prefix array<long>")
 
 
-def overlaps(docs: DataFrame, nodes: DataFrame, pairs: DataFrame, like: Similarity) -> DataFrame:
-    """``pairs`` (``a, b``, written) with the exact ``overlap`` of their sets and the sizes ``na, nb``."""
-    ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    needed = materialise(nodes.select("node", "set_id", "label", "n").join(ends, "node", "left_semi"), "needed")
+def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -> DataFrame:
+    """``node, n, tokens`` of the nodes ``ids``, from their texts; only these texts are read in full."""
+    needed = materialise(nodes.select("node", "set_id", "label", "n").join(ids.select("node").distinct(), "node", "left_semi"), "needed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
             sets = [shingles(t, like.words, hashes) for t in texts(batch.column(1))]
-            ids = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            yield pa.record_batch({"set_id": pa.array(ids, pa.binary()), "tokens": long_array(sets)})
+            found = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
+            yield pa.record_batch({"set_id": pa.array(found, pa.binary()), "tokens": long_array(sets)})
 
-    own = _own(docs)
-    wanted = own.where("text IS NOT NULL")
+    wanted = _own(docs).where("text IS NOT NULL")
     wanted = joined(wanted, needed.select("label"), wanted["doc_id"].eqNullSafe(F.col("label")), "left_semi", 16)
-    sets = joined(wanted.mapInArrow(run, "set_id binary, tokens array<long>"), needed.drop("label"), "set_id", "inner", 48)
-    sets = materialise(sets.select("node", "n", "tokens"), "sets")
-    left = sets.select(F.col("node").alias("a"), F.col("n").alias("na"), F.col("tokens").alias("_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("n").alias("nb"), F.col("tokens").alias("_b"))
-    both = pairs.select("a", "b").join(left, "a").join(right, "b")
-    out = both.select("a", "b", "na", "nb", F.size(F.array_intersect("_a", "_b")).cast("long").alias("overlap")).distinct()
-    out = materialise(out, "overlaps")
-    discard(sets)
-    discard(needed)
-    return out
-
-
-def _proposals(nodes: DataFrame, like: Similarity) -> DataFrame:
-    """Each node with the smallest node of every band that it shares."""
-    banded = nodes.select("node", "n", F.explode("bands").alias("band"))
-    heads = banded.groupBy("band").agg(F.min(F.struct("node", "n")).alias("head"), F.count("*").alias("size")).where("size > 1")
-    pairs = banded.join(heads, "band").where(F.col("node") != F.col("head.node"))
-    fits = like.sizes_fit(F.least("n", "head.n"), F.greatest("n", "head.n"))
-    return materialise(pairs.where(fits).select(F.col("node").alias("a"), F.col("head.node").alias("b")).distinct(), "proposals")
-
-
-def _led(nodes: DataFrame, links: DataFrame) -> DataFrame:
-    """``node, n, leader, shared``: the overlap with the leader, which is the node itself where it has none."""
-    has_one = links.select(F.col("a").alias("b")).distinct()
-    chosen = links.join(has_one, "b", "left_anti").groupBy(F.col("a").alias("node")).agg(F.min(F.struct("b", "overlap")).alias("to"))
-    return nodes.select("node", "n").join(chosen, "node", "left").select(
-        "node", "n", F.coalesce("to.b", "node").alias("leader"), F.coalesce("to.overlap", "n").alias("shared")
+    sets = wanted.mapInArrow(run, "set_id binary, tokens array<long>")
+    return joined(sets, needed.drop("label"), "set_id", "inner", 48).select("node", "n", "tokens")
+
+
+def _heads(nodes: DataFrame) -> DataFrame:
+    """``node, head``: the node that most bands of a node name as their smallest, followed to its own head."""
+    banded = nodes.select("node", F.explode("bands").alias("band"))
+    least = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
+    votes = banded.join(least, "band").where("node <> head").groupBy("node", "head").agg(F.count("*").alias("votes"))
+    heads = materialise(votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("head")).alias("of"))).alias("top")).select("node", (-F.col("top.of")).alias("head")), "heads")
+    for _ in range(2):
+        onward = heads.select(F.col("node").alias("head"), F.col("head").alias("next"))
+        heads = heads.join(onward, "head", "left").select("node", F.coalesce("next", "head").alias("head"))
+    return materialise(heads, "heads")
+
+
+def _members(docs: DataFrame, nodes: DataFrame, heads: DataFrame, like: Similarity) -> DataFrame:
+    """``leader, node, n, size, shared, lacks, adds``: nodes similar to their head, which leads them, and the
+    leaders. ``size`` is the leader's, ``lacks`` its tokens that the node lacks, ``adds`` the node's own."""
+    own = _sets(docs, nodes, heads, like)
+    own = own.join(heads, "node").select("node", "n", "tokens", F.col("head").alias("leader"))
+    lead = _sets(docs, nodes, heads.select(F.col("head").alias("node")), like)
+    lead = lead.select(F.col("node").alias("leader"), F.col("n").alias("size"), F.col("tokens").alias("_tokens"))
+    both = own.join(lead, "leader").select(
+        "leader", "node", "n", "size", F.array_except("_tokens", "tokens").alias("lacks"), F.array_except("tokens", "_tokens").alias("adds")
     )
-
-
-def _leader_pairs(nodes: DataFrame, led: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs of leaders of different components whose blocks can hold a link, from the inverted lists."""
+    both = both.withColumn("shared", F.col("n") - F.size("adds"))
+    near = 2 * like.share - like.per
+    alike = F.col("shared") * (like.per + near) >= (F.col("n") + F.col("size")) * near
+    led = materialise(both.where(alike).dropDuplicates(["node"]), "led")
+    # a node that is led itself leads no others
+    led = led.join(led.select(F.col("node").alias("leader")), "leader", "left_anti")
+    none = F.array().cast("array<long>")
+    leaders = led.select("leader", "size").distinct()
+    leaders = leaders.select("leader", F.col("leader").alias("node"), F.col("size").alias("n"), "size", none.alias("lacks"), none.alias("adds"), F.col("size").alias("shared"))
+    weight = like.per + like.share
+    spare = 2 * weight * F.col("shared") - 2 * like.share * F.col("n") - weight * F.col("size")
+    return materialise(led.unionByName(leaders).withColumn("spare", spare), "members")
+
+
+def _plain_links(members: DataFrame) -> DataFrame:
+    """Links that the overlaps with the leader prove. Two members link if their ``spare`` sums to 0 or more
+    whatever they have in common beyond the leader, so all such pairs hang together by the best member."""
+    best = members.groupBy("leader").agg(F.max(F.struct("spare", "node")).alias("best"))
+    met = members.join(best, "leader").where((F.col("node") != F.col("best.node")) & (F.col("spare") + F.col("best.spare") >= 0))
+    return met.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+
+
+def _changed_links(members: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
+    """Links of one leader's members that need common changes: tokens that both lack or both add.
+
+    The overlap of two members is ``shared + shared - size`` plus their common changes, so a pair with a
+    negative sum of ``spare`` must meet in the rarest of its changes. Only such pairs of different
+    components are compared, and only their changes.
+    """
+    unit = 2 * (like.per + like.share)
+    best = members.groupBy("leader").agg(F.max("spare").alias("most"))
+    own = members.join(best, "leader").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    own = own.withColumn("changes", F.concat("lacks", "adds")).withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("spare") + F.col("most")) / unit)))
+    own = materialise(own.where(F.size("changes") >= F.col("least")).select("leader", "node", "n", "size", "shared", "spare", "component", "changes", "least"), "changed")
+    each = own.select("leader", "node", "least", F.explode("changes").alias("change"))
+    often = each.groupBy("leader", "change").agg(F.count("*").alias("times")).where("times > 1")
+    # changes of one node alone come first in its order and meet nobody, so they only shorten the prefix
+    ranked = each.join(often, ["leader", "change"]).groupBy("leader", "node", "least").agg(F.sort_array(F.collect_list(F.struct("times", "change"))).alias("met"))
+    prefix = F.expr("slice(met, 1, cast(greatest(size(met) - least + 1, 0) as int))")
+    entries = ranked.select("leader", "node", F.explode(prefix).alias("_c")).select("leader", "node", F.col("_c.change").alias("change"))
+    entries = materialise(entries.join(own.select("node", "spare", "component"), "node"), "changes")
+    a = entries.select("leader", "change", *(F.col(c).alias(f"{c}_a") for c in ("node", "spare", "component")))
+    b = entries.select("leader", "change", *(F.col(c).alias(f"{c}_b") for c in ("node", "spare", "component")))
+    met = a.join(b, ["leader", "change"]).where("node_a < node_b AND component_a <> component_b AND spare_a + spare_b < 0")
+    pairs = met.select("node_a", "node_b").distinct()
+    left = own.select(F.col("node").alias("node_a"), F.col("n").alias("na"), F.col("shared").alias("sa"), "size", F.col("changes").alias("ca"))
+    right = own.select(F.col("node").alias("node_b"), F.col("n").alias("nb"), F.col("shared").alias("sb"), F.col("changes").alias("cb"))
+    both = pairs.join(left, "node_a").join(right, "node_b")
+    overlap = F.col("sa") + F.col("sb") - F.col("size") + F.size(F.array_intersect("ca", "cb"))
+    return both.where(like.linked(overlap, F.col("na") + F.col("nb"))).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+
+def _listed(nodes: DataFrame, members: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
+    """``leader, node``: leaders and nodes of later leaders that inverted lists leave possible.
+
+    Lists hold the prefix tokens that several nodes have. On one side entries are blocked by leader
+    with their sizes and the most room that a position leaves; a block meets a node only where size
+    and position allow the overlap, so whole blocks of a list are skipped.
+    """
     entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    shared = entries.groupBy("token").agg(F.count("*").alias("entries")).where("entries > 1").select("token")
-    entries = entries.join(shared, "token")
-    blocks = (
-        entries.join(led.select("node", "leader"), "node")
-        .join(found, "node", "left")
-        .withColumn("component", F.coalesce("component", "leader"))
-        .groupBy("token", "leader", "component")
-        .agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max(F.col("n") - F.col("pos")).alias("room"))
+    several = entries.groupBy("token").agg(F.count("*").alias("entries")).where("entries > 1").select("token")
+    entries = entries.join(several, "token").withColumn("room", F.col("n") - F.col("pos")).drop("pos")
+    groups = members.select("node", "leader").join(found, "node", "full")
+    entries = entries.join(groups, "node", "left")
+    entries = entries.withColumn("leader", F.coalesce("leader", "node")).withColumn("component", F.coalesce("component", "node"))
+    entries = materialise(entries, "entries")
+    blocks = entries.groupBy("token", "leader", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("space"))
+    a = blocks.withColumnsRenamed({"leader": "first", "component": "group"})
+    met = a.join(entries, "token").where(
+        (F.col("first") < F.col("leader"))
+        & (F.col("group") != F.col("component"))
+        & like.sizes_fit(F.col("most"), F.col("n"))
+        & like.sizes_fit(F.col("n"), F.col("least"))
+        & (F.least("space", "room") >= like.needed(F.col("least") + F.col("n")))
     )
-    blocks = materialise(blocks, "blocks")
-    level = lambda n: F.floor(F.log(n.cast("double")) / F.log(F.lit(like.per / like.share)))
-    # a linked set has at least ``share / per`` of the tokens, and the block with the smaller least size is ``a``
-    a = blocks.select("token", F.explode(F.sequence(level(F.col("least")), level(F.col("most")))).alias("level"), *_named("a"))
-    low = F.ceil(F.col("least") * like.share / like.per)
-    b = blocks.select("token", F.explode(F.sequence(level(low), level(F.col("least")))).alias("level"), *_named("b"))
-    first = F.struct("a_least", "a_leader") < F.struct("b_least", "b_leader")
-    sizes = like.sizes_fit(F.col("a_most"), F.col("b_least")) & like.sizes_fit(F.col("b_most"), F.col("a_least"))
-    room = F.least("a_room", "b_room") >= like.needed(F.col("a_least") + F.col("b_least"))
-    met = a.join(b, ["token", "level"]).where(first & (F.col("a_component") != F.col("b_component")) & sizes & room)
-    pairs = met.select(F.least("a_leader", "b_leader").alias("a"), F.greatest("a_leader", "b_leader").alias("b")).distinct()
-    out = materialise(pairs, "leader-pairs")
-    discard(blocks)
+    out = materialise(met.select(F.col("first").alias("leader"), "node").distinct(), "listed")
+    discard(entries)
     return out
 
 
-def _named(side: str) -> list[Column]:
-    return [F.col(c).alias(f"{side}_{c}") for c in ("leader", "component", "least", "most", "room")]
-
-
-def _member_pairs(led: DataFrame, compared: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
-    """Pairs of members of unlinked leaders that the leaders' overlap leaves possible; ``sure``: it proves the link."""
-    members = led.select("leader", "node", "n", (F.col("n") - F.col("shared")).alias("adds"), F.col("shared"))
-    slack = members.groupBy("leader").agg(F.max("adds").alias("most"), F.min("n").alias("least"))
-    members = materialise(members.join(found, "node", "left").withColumn("component", F.coalesce("component", "leader")), "members")
-    side = lambda s, df: df.select(*(F.col(c).alias(f"{c}_{s}") for c in df.columns))
-    open_pairs = (
-        compared.join(side("a", slack), F.col("a") == F.col("leader_a"))
-        .join(side("b", slack), F.col("b") == F.col("leader_b"))
-        .where(F.col("overlap") + F.col("most_a") + F.col("most_b") >= like.needed(F.col("least_a") + F.col("least_b")))
-        .select("a", "b", "na", "nb", "overlap")
-    )
-    pairs = open_pairs.join(side("a", members), F.col("a") == F.col("leader_a")).join(side("b", members), F.col("b") == F.col("leader_b"))
-    sizes = F.col("n_a") + F.col("n_b")
-    upper = F.least(F.col("overlap") + F.col("adds_a") + F.col("adds_b"), "n_a", "n_b")
-    lower = F.col("overlap") - (F.col("na") - F.col("shared_a")) - (F.col("nb") - F.col("shared_b"))
-    known = (F.col("node_a") == F.col("a")) & (F.col("node_b") == F.col("b"))
-    differ = F.col("component_a") != F.col("component_b")
-    return materialise(
-        pairs.where(~known & differ & (upper >= like.needed(sizes)))
-        .select(F.col("node_a").alias("a"), F.col("node_b").alias("b"), like.linked(lower, sizes).alias("sure"))
-        .distinct(),
-        "member-pairs",
-    )
+def _outer_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, found: DataFrame, listed: DataFrame, like: Similarity) -> DataFrame:
+    """Links between members of different leaders, derived from the overlap of a leader and a node: a member
+    has what its leader has in common with the node, less what it lacks and more what it adds of the node."""
+    ends = listed.select("node").unionByName(listed.select(F.col("leader").alias("node")))
+    sets = materialise(_sets(docs, nodes, ends, like), "sets")
+    lead = sets.select(F.col("node").alias("leader"), F.col("n").alias("size"), F.col("tokens").alias("_tokens"))
+    met = listed.join(lead, "leader").join(sets, "node")
+    met = materialise(met.select("leader", "node", "size", "n", F.size(F.array_intersect("tokens", "_tokens")).alias("common")).distinct(), "compared")
+    direct = met.where(like.linked(F.col("common"), F.col("size") + F.col("n"))).select(F.col("leader").alias("a"), F.col("node").alias("b"))
+    inner = members.where("node <> leader").select("leader", F.col("node").alias("member"), F.col("n").alias("own"), F.col("shared"), "lacks", "adds")
+    held = found.withColumnRenamed("component", "group")
+    inner = inner.join(held.withColumnRenamed("node", "member"), "member", "left").withColumn("group", F.coalesce("group", "member"))
+    outer = met.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    most = F.least(F.col("common") + F.size("adds"), "own", "n")
+    open_ = outer.join(inner, "leader").where((F.col("group") != F.col("component")) & (most >= like.needed(F.col("own") + F.col("n"))))
+    open_ = open_.select("node", "n", "common", "member", "own", "lacks", "adds")
+    derived = open_.join(sets.select("node", "tokens"), "node")
+    common = F.col("common") - F.size(F.array_intersect("lacks", "tokens")) + F.size(F.array_intersect("adds", "tokens"))
+    more = derived.where(like.linked(common, F.col("own") + F.col("n"))).select(F.col("member").alias("a"), F.col("node").alias("b"))
+    out = materialise(direct.unionByName(more).distinct(), "outer")
+    discard(sets)
+    return out
 
 
 def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> DataFrame:
@@ -249,30 +291,24 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
 
 def _grouped(docs: DataFrame, like: Similarity) -> DataFrame:
     """``doc_id, text_md5, n_shingles, component, component_id``; ``component`` is null for empty sets."""
-    signed = materialise(signatures(docs, like), "signatures")
-    nodes = signed.where("n > 0").groupBy("set_id").agg(
+    full = materialise(signatures(docs, like), "signatures")
+    nodes = full.where("n > 0").groupBy("set_id").agg(
         F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("prefix").alias("prefix")
     )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
+    signed = materialise(full.select("doc_id", "text_md5", "n", "set_id"), "signed")
+    discard(full)
     linkable = nodes.where(F.col("n") * like.per >= (F.col("n") + 1) * like.share)  # smaller sets link to equal ones only
-    is_link = like.linked(F.col("overlap"), F.col("na") + F.col("nb"))
-
-    led_by = overlaps(docs, nodes, _proposals(linkable, like), like).where(is_link)
-    found = materialise(components(led_by.select("a", "b")), "components")
-    led = materialise(_led(linkable, led_by.select("a", "b", "overlap")), "led")
 
-    compared = overlaps(docs, nodes, _leader_pairs(linkable, led, found, like), like)
-    links = led_by.select("a", "b").unionByName(compared.where(is_link).select("a", "b"))
+    members = _members(docs, nodes, _heads(linkable), like)
+    links = _plain_links(members)
+    found = materialise(components(links), "components")
+    links = links.unionByName(_changed_links(members, found, like))
+    links = materialise(links, "inner")
+    found = materialise(components(links), "components")
+    listed = _listed(linkable, members, found, like)
+    links = links.unionByName(_outer_links(docs, nodes, members, found, listed, like))
     found = materialise(components(links), "components")
-
-    members = _member_pairs(led, compared.where(~is_link), found, like)
-    sure, unsure = members.where("sure"), members.where("NOT sure")
-    if not members.isEmpty():
-        links = links.unionByName(sure.select("a", "b"))
-        if not unsure.isEmpty():
-            verified = overlaps(docs, nodes, unsure.select("a", "b"), like)
-            links = links.unionByName(verified.where(is_link).select("a", "b"))
-        found = materialise(components(links), "components")
 
     labelled = nodes.select("set_id", "node", "label").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("label").alias("component_id"))
