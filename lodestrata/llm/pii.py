@@ -48,6 +48,7 @@ _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _HINT = re.compile(r"[0-9@+]|[\[(]at[\])]")
+_AT = re.compile(r"[\[(]at[\])]")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _GAP = re.compile(r"[\x20\x09-\x0D]*")
 _BLANKS = frozenset("\x20\x09\x0a\x0b\x0c\x0d")
@@ -320,7 +321,8 @@ def fit(docs: DataFrame) -> Field | None:
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text or "")
                 for s in stretches(text or ""):
-                    if len(s.words) <= FIT_WORDS and max(map(len, s.words)) <= 200:
+                    unsure = any(_AT.search(w) for w in s.words)  # the patterns cannot label these
+                    if not unsure and len(s.words) <= FIT_WORDS and max(map(len, s.words)) <= 200:
                         near = [x for x in spans if x[1] < s.places[-1][1] and s.places[0][0] < x[2]]
                         out["words"].append(s.words)
                         out["labels"].append(word_labels(s, near))
