@@ -21,6 +21,7 @@ not depend on how the rows are spread over files.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.words import WordHashes, covered, mixed, running, spans, texts
+from lodestrata.llm.words import WordHashes, mixed, running, spans, texts
 from lodestrata.sources.workspace import discard, materialise
 
 WINDOW = 20
@@ -118,7 +119,7 @@ def _parsed(found: DataFrame) -> DataFrame:
             for i in range(batch.num_rows):
                 part = slice(ends[i] - ends[0], ends[i + 1] - ends[0])
                 earlier = (doc[part] != batch.column(0)[i].as_py()) | (at[part] < pos[part])
-                met.append(np.unique(pos[part]).astype(np.int32).tobytes())
+                met.append(packed(np.unique(pos[part])))
                 starts, stops = factors(*(x[part][earlier] for x in (pos, doc, tag, at)))
                 long = stops - starts >= WINDOW
                 out.append(np.column_stack([starts[long], stops[long]]).astype(np.int32).tobytes())
@@ -127,6 +128,15 @@ def _parsed(found: DataFrame) -> DataFrame:
     return found.mapInArrow(run, "doc long, tag int, met binary, factors binary")
 
 
+def packed(positions: np.ndarray) -> bytes:
+    """Increasing positions as compressed steps."""
+    return zlib.compress(np.diff(positions, prepend=0).astype(np.int32).tobytes(), 1)
+
+
+def unpacked(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(data), np.int32))
+
+
 def out_binary(values: list[bytes]) -> pa.Array:
     return pa.array(values, pa.binary())
 
@@ -154,7 +164,7 @@ def _open_windows(docs: DataFrame, parsed: DataFrame) -> DataFrame:
                 own = hashes.of(text.split())
                 anchor, _ = anchors_of(own)
                 open_ = np.zeros(len(own) + 1, bool)
-                open_[np.frombuffer(met, np.int32)] = True
+                open_[unpacked(met)] = True
                 open_ = open_[anchor]
                 for start, stop in np.frombuffer(held, np.int32).reshape(-1, 2):
                     open_[start : stop - WINDOW + 1] = False
