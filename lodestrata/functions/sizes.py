@@ -69,20 +69,22 @@ MODEL_TOKENIZERS = {
 def model_sizes(model: str, folder: str) -> Callable[[Column], Column] | None:
     """Size measure for an embedding model; None stands for the default measure.
 
-    The tokenizer file is ``<folder>/<tokenizer name>/tokenizer.json`` on every executor. A model
-    without an entry, or whose file cannot be loaded, is measured by characters.
+    The tokenizer file is ``<folder>/<tokenizer name>/tokenizer.json`` on the driver and every executor. A
+    model without an entry, or whose file the driver cannot load, is measured by characters in the
+    whole job; an executor that cannot load it fails its task, so one table never holds two measures.
     """
     if model not in MODEL_TOKENIZERS:
         return None
     path = f"{folder}/{MODEL_TOKENIZERS[model]}/tokenizer.json"
 
     def load_tokenizer() -> Callable[[str], int]:
-        try:
-            from tokenizers import Tokenizer
+        from tokenizers import Tokenizer
 
-            tokenizer = Tokenizer.from_file(path)
-        except Exception:  # the library raises a bare Exception for a missing or damaged file
-            return lambda text: len(text) // 4
+        tokenizer = Tokenizer.from_file(path)
         return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
 
+    try:
+        load_tokenizer()
+    except Exception:  # the library raises a bare Exception for a missing or damaged file
+        return None
     return tokenizer_sizes(load_tokenizer)

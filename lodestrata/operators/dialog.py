@@ -24,7 +24,12 @@ TURN_SPAN = 4096  # turns per slice when numbering
 
 
 def dense_turns(messages: DataFrame) -> DataFrame:
-    """Renumber ``turn`` from 0 without gaps, in the order of the old numbers.
+    """Renumber ``turn`` from 0 without gaps, in the order of the old numbers."""
+    return numbered(messages).withColumn("turn", F.col("_place")).select(messages.columns)
+
+
+def numbered(messages: DataFrame) -> DataFrame:
+    """The messages with ``_place``: their number in the conversation, from 0 without gaps.
 
     A conversation is cut into slices of ``TURN_SPAN`` old numbers. Rows are counted within slices,
     and only the slice sizes are added up along a conversation.
@@ -37,29 +42,29 @@ def dense_turns(messages: DataFrame) -> DataFrame:
     return (
         sliced.withColumn("_at", F.row_number().over(inside) - 1)
         .join(offsets, ["conv_id", "_slice"])
-        .withColumn("turn", F.col("_offset") + F.col("_at"))
-        .select(messages.columns)
+        .withColumn("_place", F.col("_offset") + F.col("_at"))
+        .select(*messages.columns, "_place")
     )
 
 
 def history_pairs(messages: DataFrame, enabled: bool = True) -> DataFrame:
     """``conv_id, turn, question, response``: a non-empty user turn directly followed by a non-empty
-    assistant turn, neither of them the last message. ``turn`` is the question's.
+    assistant turn, neither of them the last message. ``turn`` is the question's own number.
 
-    All three inputs are keyed by ``(conv_id, turn of the answer)``, so each is shuffled once. That
-    the answer is not the last message means that a message follows it.
+    Turns may have gaps: messages are numbered first, in slices, so no window spans a conversation. All
+    three inputs are keyed by ``(conv_id, place of the answer)``. That the answer is not the last
+    message means that a message follows it.
     """
-    asked = messages.filter("role = 'user' AND text <> ''").select(
-        "conv_id", (F.col("turn") + 1).alias("at"), F.col("text").alias("question")
+    placed = numbered(messages)
+    asked = placed.filter("role = 'user' AND text <> ''").select(
+        "conv_id", (F.col("_place") + 1).alias("at"), "turn", F.col("text").alias("question")
     )
-    replied = messages.filter("role = 'assistant' AND text <> ''").select(
-        "conv_id", F.col("turn").alias("at"), F.col("text").alias("response")
+    replied = placed.filter("role = 'assistant' AND text <> ''").select(
+        "conv_id", F.col("_place").alias("at"), F.col("text").alias("response")
     )
-    followed = messages.select("conv_id", (F.col("turn") - 1).alias("at"))
+    followed = placed.select("conv_id", (F.col("_place") - 1).alias("at"))
     pairs = asked.join(replied, ["conv_id", "at"]).join(followed, ["conv_id", "at"], "left_semi")
-    return pairs.filter(F.lit(enabled)).select(
-        "conv_id", (F.col("at") - 1).alias("turn"), "question", "response"
-    )
+    return pairs.filter(F.lit(enabled)).select("conv_id", "turn", "question", "response")
 
 
 def recent_history(pairs: DataFrame, max_pairs: int | None) -> DataFrame:
@@ -69,20 +74,14 @@ def recent_history(pairs: DataFrame, max_pairs: int | None) -> DataFrame:
     return best_per_group(pairs, ["conv_id"], [F.desc("turn")], max_pairs, into="_back").drop("_back")
 
 
-NESTED_LIMIT = 10_000  # pairs that one row may hold
-
+def nested_history(messages: DataFrame, max_pairs: int, enabled: bool = True) -> DataFrame:
+    """``conv_id, history``: one row per conversation with its last ``max_pairs`` pairs in order, maybe none.
 
-def nested_history(messages: DataFrame, max_pairs: int | None = None, enabled: bool = True) -> DataFrame:
-    """``conv_id, history``: one row per conversation with its last pairs in order, maybe none.
-
-    Without ``max_pairs`` (or with a number below 1) all pairs are kept, after a check that the longest
-    conversation stays within ``NESTED_LIMIT``. :func:`history_pairs` has no limit.
+    A row holds them all, so the caller sets the bound; :func:`history_pairs` gives all pairs as rows.
     """
-    recent = recent_history(history_pairs(messages, enabled), max_pairs)
     if max_pairs is None or max_pairs <= 0:
-        longest = recent.groupBy("conv_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-        if longest is not None and longest > NESTED_LIMIT:
-            raise ValueError(f"a conversation has {longest} pairs; set max_pairs or use history_pairs")
+        raise ValueError("set max_pairs to at least 1, or use history_pairs for all pairs")
+    recent = recent_history(history_pairs(messages, enabled), max_pairs)
     nested = recent.groupBy("conv_id").agg(
         F.array_sort(F.collect_list(F.struct("turn", "question", "response"))).alias("history")
     )

@@ -18,13 +18,15 @@ DIGITS = 6
 
 
 def qa_examples(pairs: DataFrame) -> DataFrame:
-    """First question and answer of each conversation as ``example_id, question, response, messages``."""
-    first = pairs.groupBy("conv_id").agg(F.min_by(F.struct("question", "response"), "turn").alias("p"))
-    return first.select(
-        F.col("conv_id").alias("example_id"),
-        F.col("p.question").alias("question"),
-        F.col("p.response").alias("response"),
-        F.array(F.struct(F.lit("user").alias("role"), F.col("p.question").alias("content"))).alias("messages"),
+    """Every question and answer as ``example_id, question, response, messages``.
+
+    The id is ``conversation:turn`` of the question.
+    """
+    return pairs.select(
+        F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string")).alias("example_id"),
+        "question",
+        "response",
+        F.array(F.struct(F.lit("user").alias("role"), F.col("question").alias("content"))).alias("messages"),
     )
 
 

@@ -95,7 +95,7 @@ def _examples(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _program_runs(spark: SparkSession, sf: str, examples: DataFrame) -> DataFrame:
-    return jobs.program_runs(examples, _index(spark, sf), _embedder(), PROGRAMS, TOP_K)
+    return jobs.program_runs(examples, _index(spark, sf), _embedder(), PROGRAMS, TOP_K, min_score=0.0)
 
 
 def _scored_runs(spark: SparkSession, sf: str, examples: DataFrame) -> DataFrame:
@@ -320,7 +320,7 @@ def index_sync(spark: SparkSession, sf: str) -> DataFrame:
 def rerank_topk(spark: SparkSession, sf: str) -> DataFrame:
     """Benchmark texts as queries; twelve candidates each, reranked to three by shared tokens."""
     asked = load(spark, sf, "benchmark").select("item_id", F.col("text").alias("question"))
-    found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K * OVERSAMPLE, query_id="item_id")
+    found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K * OVERSAMPLE, query_id="item_id", min_score=0.0)
     best = search.rerank(found, asked, TOOL_K, query_id="item_id")
     return best.select(
         "item_id", F.col("rank").cast("bigint").alias("rank"), F.col("first_rank").cast("bigint").alias("first_rank"),
@@ -336,7 +336,7 @@ def format_hits(spark: SparkSession, sf: str) -> DataFrame:
         F.min_by(F.when(told, F.col("text")), F.when(told, F.col("turn"))).alias("q")
     ).select("conv_id", F.coalesce("q", F.lit("")).alias("question"))
     asked = materialise(asked, "asked")
-    found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K, query_id="conv_id")
+    found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K, query_id="conv_id", min_score=0.0)
     return search.format_hits(asked, found, query_id="conv_id")
 
 
@@ -432,7 +432,7 @@ def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
 
 def _conversation_hits(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     asked = materialise(_questions(spark, sf), "questions")
-    return asked, search.retrieve(asked, _index(spark, sf), _embedder(), TOP_K, query_id="conv_id")
+    return asked, search.retrieve(asked, _index(spark, sf), _embedder(), TOP_K, query_id="conv_id", min_score=0.0)
 
 
 def rag_context(spark: SparkSession, sf: str) -> DataFrame:

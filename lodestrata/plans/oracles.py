@@ -147,8 +147,7 @@ ctx AS (
   FROM hit JOIN idx USING (chunk_id) GROUP BY id)"""
 
 EXAMPLES = f"""{PAIRS},
-qa AS (SELECT conv_id AS example_id, arg_min(question, turn) AS question, arg_min(response, turn) AS expected
-       FROM pairs GROUP BY conv_id),
+qa AS (SELECT conv_id || ':' || turn AS example_id, question, response AS expected FROM pairs),
 placed AS (SELECT *, (row_number() OVER (ORDER BY md5('0:' || example_id)) - 1)::BIGINT AS position,
                   count(*) OVER () AS total FROM qa),
 split AS (SELECT *, CASE WHEN position < floor(total * CAST(0.7 AS DOUBLE)) THEN 'train' ELSE 'test' END AS split FROM placed)"""
@@ -219,23 +218,27 @@ promoted AS (
   FROM registry r LEFT JOIN gate g USING (model))"""
 
 _TAGS = "h1|h2|h3|h4|h5|h6|p|li|table|figure|nav|footer|div|script|style"
+_CLEAN = "regexp_replace(html, '(?s)<!--.*?-->', '', 'g')"
+for _tag in ("nav", "footer", "script", "style"):
+    _CLEAN = f"regexp_replace({_CLEAN}, '(?is)<{_tag}[ \\t\\r\\n>].*?</{_tag}[ \\t\\r\\n]*>', ' ', 'g')"
 
 ORACLES: dict[str, str] = {
     "text_elements": f"WITH {LINES} SELECT doc_id, pos::BIGINT AS pos, type, content FROM els",
     "html_elements": f"""
-WITH blocks AS (
-  SELECT page_id, unnest(string_split(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+WITH pages_clean AS (SELECT page_id, {_CLEAN} AS html FROM pages),
+blocks AS (
+  SELECT page_id, unnest(string_split(regexp_replace(html,
            '(?i)<({_TAGS})([ \\t\\r\\n>])', chr(1) || '<\\1\\2', 'g'), chr(1))) AS block,
-         generate_subscripts(string_split(regexp_replace(regexp_replace(html, '(?s)<!--.*?-->', '', 'g'),
+         generate_subscripts(string_split(regexp_replace(html,
            '(?i)<({_TAGS})([ \\t\\r\\n>])', chr(1) || '<\\1\\2', 'g'), chr(1)), 1) AS place
-  FROM pages),
+  FROM pages_clean),
 kept AS (
   SELECT page_id, place, lower(regexp_extract(block, '^<([a-zA-Z0-9]+)', 1)) AS tag,
          trim(regexp_replace(replace(replace(replace(replace(replace(regexp_replace(block, '<[^>]*>', ' ', 'g'),
            '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '[ \\t\\r\\n]+', ' ', 'g')) AS content
-  FROM blocks WHERE regexp_matches(block, '(?i)^<(h[1-6]|p|table|figure)[ \\t\\r\\n>]'))
+  FROM blocks WHERE regexp_matches(block, '(?i)^<(h[1-6]|p|li|div|table|figure)[ \\t\\r\\n>]'))
 SELECT page_id, (row_number() OVER (PARTITION BY page_id ORDER BY place) - 1)::BIGINT AS pos,
-       CASE WHEN tag = 'h1' THEN 'title' WHEN tag LIKE 'h%' THEN 'section_header' WHEN tag = 'p' THEN 'text' ELSE tag END AS type,
+       CASE WHEN tag = 'h1' THEN 'title' WHEN tag LIKE 'h%' THEN 'section_header' WHEN tag IN ('p', 'li', 'div') THEN 'text' ELSE tag END AS type,
        content
 FROM kept WHERE content <> ''""",
     "normalize_elements": """

@@ -24,7 +24,8 @@ TITLE_MAX_CHARS = 200
 HEADER_MAX_CHARS = 60
 CELL_MARK = " | "
 BLOCK_TAGS = "h1|h2|h3|h4|h5|h6|p|li|table|figure|nav|footer|div|script|style"
-KEPT_TAGS = "h1|h2|h3|h4|h5|h6|p|table|figure"
+KEPT_TAGS = "h1|h2|h3|h4|h5|h6|p|li|div|table|figure"
+DROPPED_TAGS = ("nav", "footer", "script", "style")
 ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&amp;", "&"))
 BLOCK_MARK = "\u0001"
 
@@ -62,12 +63,15 @@ def text_elements(text: Column) -> Column:
 
 
 def html_elements(html: Column) -> Column:
-    """HTML -> headings, paragraphs, tables and figures in page order.
+    """HTML -> headings, paragraphs, list items, tables, figures and text of ``div`` in page order.
 
-    The page is cut in front of every block tag, so unclosed tags do no harm; blocks of other
-    tags are dropped, inner tags are stripped and blank results are left out.
+    Navigation, footers, scripts and styles go first, with all they hold. The rest is cut in front
+    of every block tag, so unclosed tags do no harm; blocks of other tags are dropped, inner tags are
+    stripped and blank results are left out.
     """
     clean = F.regexp_replace(html, "(?s)<!--.*?-->", "")
+    for dropped in DROPPED_TAGS:
+        clean = F.regexp_replace(clean, f"(?is)<{dropped}[ \\t\\r\\n>].*?</{dropped}[ \\t\\r\\n]*>", " ")
     marked = F.regexp_replace(clean, f"(?i)<({BLOCK_TAGS})([ \\t\\r\\n>])", f"{BLOCK_MARK}<$1$2")
     pieces = F.filter(
         F.split(marked, BLOCK_MARK), lambda b: b.rlike(f"(?i)^<({KEPT_TAGS})[ \\t\\r\\n>]")
@@ -82,7 +86,7 @@ def html_elements(html: Column) -> Column:
         kind = (
             F.when(tag == "h1", "title")
             .when(tag.startswith("h"), "section_header")
-            .when(tag == "p", "text")
+            .when(tag.isin("p", "li", "div"), "text")
             .otherwise(tag)
         )
         return F.struct(

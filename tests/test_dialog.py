@@ -40,18 +40,24 @@ def test_nested_history(spark):
     for n in (1, 3):
         got = {r["conv_id"]: [tuple(p) for p in r["history"]] for r in dialog.nested_history(df, n).collect()}
         assert got == {c: model_pairs(m)[-n:] for c, m in talks.items()}
-    for everything in (None, 0, -2):
-        got = {r["conv_id"]: [tuple(p) for p in r["history"]] for r in dialog.nested_history(df, everything).collect()}
-        assert got == {c: model_pairs(m) for c, m in talks.items()}
     off = dialog.nested_history(df, 3, enabled=False).collect()
     assert len(off) == len(talks) and all(r["history"] == [] for r in off)
 
 
-def test_unbounded_nesting_is_checked(spark, monkeypatch):
-    monkeypatch.setattr(dialog, "NESTED_LIMIT", 1)
+def test_nesting_asks_for_a_bound(spark):
     _, df = conversations(spark, 2)
-    with pytest.raises(ValueError, match="history_pairs"):
-        dialog.nested_history(df)
+    for bound in (None, 0, -2):
+        with pytest.raises(ValueError, match="history_pairs"):
+            dialog.nested_history(df, bound)
+
+
+def test_pairs_do_not_depend_on_turn_numbers(spark):
+    talks, df = conversations(spark, 5)
+    gaps = df.withColumn("turn", F.col("turn") * F.col("turn") * 3 + 7)
+    got = {}
+    for r in dialog.history_pairs(gaps).orderBy("conv_id", "turn").collect():
+        got.setdefault(r["conv_id"], []).append((r["question"], r["response"]))
+    assert got == {c: p for c, m in talks.items() if (p := model_pairs(m))}
 
 
 def test_all_pairs_for_no_bound(spark):
@@ -64,7 +70,8 @@ def test_all_pairs_for_no_bound(spark):
 def test_pairs_plan_has_no_window_over_a_conversation(spark):
     _, df = conversations(spark)
     plan = dialog.history_pairs(df)._jdf.queryExecution().executedPlan().toString()
-    assert "Window" not in plan
+    sliced = [line for line in plan.splitlines() if "Window [row_number" in line]
+    assert sliced and all("_slice" in line for line in sliced)  # rows are numbered within slices only
     recent = dialog.recent_history(dialog.history_pairs(df), 2)._jdf.queryExecution().executedPlan().toString()
     assert recent.count("WindowGroupLimit") == 2
 

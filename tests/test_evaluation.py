@@ -33,7 +33,7 @@ def test_split_41(spark):
 def test_examples(spark):
     pairs = spark.createDataFrame([(1, 4, "q2", "r2"), (1, 0, "q1", "r1"), (2, 2, "x", "y")], "conv_id int, turn int, question string, response string")
     rows = evaluation.qa_examples(pairs).orderBy("example_id").collect()
-    assert [(r["example_id"], r["question"], r["response"]) for r in rows] == [(1, "q1", "r1"), (2, "x", "y")]
+    assert [(r["example_id"], r["question"], r["response"]) for r in rows] == [("1:0", "q1", "r1"), ("1:4", "q2", "r2"), ("2:2", "x", "y")]
     assert [tuple(m) for m in rows[0]["messages"]] == [("user", "q1")]
 
 
