@@ -4,10 +4,19 @@ An index is a folder of parquet change rows, ``<root>/batch=<n>/op=<op>``; ``op`
 was not live), ``update`` or ``delete``. A batch writes only what changed, in a directory of its own, so
 repeating it after a failure overwrites that directory and changes nothing else. A row is live unless
 a later batch updates or deletes its key; an index that only grew is read without any join.
+
+Batch numbers come from one sequence for all writers. ``<root>/_claims/writer=<w>/step=<s>`` records which
+number a writer's step has, before it writes, so a repeated step finds its own number and no
+writer gets another's. Writers take turns; two at the same moment need a lock outside.
+
+A rebuild writes all rows as ``op=rebuilt`` of a new batch and then a marker, ``op=reset``. Until the marker
+stands, readers see the old index; from then on, nothing before it.
 """
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,20 +61,52 @@ def write_inserts(rows: DataFrame, root: str, batch: int, mode: str = "overwrite
 
 def build_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
     """Create the index as batch 0; fails if it exists (see :func:`rebuild_index`)."""
+    if last_batch(chunks.sparkSession, root) is not None:
+        raise ValueError(f"there is an index at {root}")
     write_inserts(embed_index(index_rows(chunks), embedder), root, 0, mode="error")
 
 
 def rebuild_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
-    """Drop whatever index is at ``root`` and build it again."""
-    nothing = chunks.sparkSession.createDataFrame([], SCHEMA)
-    nothing.write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy("batch", "op").parquet(root)
-    build_index(chunks, embedder, root)
+    """Build the index at ``root`` again; the old one stays readable until the new one is complete."""
+    spark = chunks.sparkSession
+    batch = claim_batch(spark, root, "rebuild", uuid.uuid4().hex)
+    rows = embed_index(index_rows(chunks), embedder).select(*ROW, "embedding")
+    rows.write.mode("overwrite").parquet(f"{root}/batch={batch}/op=rebuilt")
+    marker = spark.createDataFrame([(None,)], "chunk_id string")
+    marker.write.mode("overwrite").parquet(f"{root}/batch={batch}/op=reset")
 
 
 def read_log(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(SCHEMA).parquet(root)
 
 
+def _found(read) -> object | None:
+    """The result of ``read``, None where the path does not exist; other failures are raised."""
+    try:
+        return read()
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def claim_batch(spark: SparkSession, root: str, writer: str, step: str) -> int:
+    """The batch number of a writer's step: the one it has, or the next free one, recorded first."""
+    claims = _found(lambda: spark.read.schema("batch int, writer string, step string").parquet(f"{root}/_claims"))
+    highest = None
+    if claims is not None:
+        own = (F.col("writer") == writer) & (F.col("step") == str(step))
+        known = claims.agg(F.max(F.when(own, F.col("batch"))).alias("own"), F.max("batch").alias("highest")).first()
+        if known["own"] is not None:
+            return known["own"]
+        highest = known["highest"]
+    last = last_batch(spark, root)
+    batch = 1 + max(-1 if n is None else n for n in (highest, last))
+    claim = spark.createDataFrame([(batch,)], "batch int")
+    claim.write.mode("overwrite").parquet(f"{root}/_claims/writer={writer}/step={step}")
+    return batch
+
+
 def current_index(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
     """Live rows. ``before`` gives the state ahead of that batch, so that a repeated batch sees the
     same input as the first try.
@@ -76,6 +117,11 @@ def current_index(spark: SparkSession, root: str, before: int | None = None) ->
     log = read_log(spark, root)
     if before is not None:
         log = log.filter(F.col("batch") < before)
+    reset = log.filter("op = 'reset'").agg(F.max("batch")).first()[0]  # one row per rebuild, picked by folder
+    if reset is None:
+        log = log.filter("op <> 'rebuilt'")
+    else:
+        log = log.filter((F.col("batch") > reset) & (F.col("op") != "rebuilt") | (F.col("batch") == reset) & (F.col("op") == "rebuilt"))
     replaced = log.filter("op IN ('update', 'delete')").groupBy(KEY).agg(F.max("batch").alias("_replaced"))
     rows = log.filter("op <> 'delete'").join(replaced, KEY, "left")
     live = rows.filter(F.col("_replaced").isNull() | (F.col("batch") >= F.col("_replaced")))
@@ -110,42 +156,63 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
     text.
     """
     current = current_index(spark, root, before=batch)
-    # written once, since three branches read it
-    changes = materialise(chunk_changes(current, index_rows(chunks)), "changes")
-    inserted = embed_index(changes.filter("change = 'insert'"), embedder)
-    updated = changes.filter("change = 'update'").join(current.select(KEY, "embedding"), KEY)
-    deleted = changes.filter("change = 'delete'").withColumn("embedding", F.lit(None).cast("array<float>"))
+    # keys and places are compared without texts; written once, since three branches read it
+    changes = materialise(chunk_changes(current, places(chunks).withColumn("chunk_content", F.lit(None).cast("string"))), "changes")
+    _write_changes(changes, chunks, current, embedder, root, batch)
+    return current_index(spark, root)
+
+
+def places(chunks: DataFrame) -> DataFrame:
+    """Key and lowest place of every chunk id, without texts."""
+    least = chunks.groupBy(KEY).agg(F.min(F.struct(*PLACE)).alias("_place"))
+    return least.select(KEY, *[F.col(f"_place.{c}").alias(c) for c in PLACE])
+
+
+def _write_changes(changes: DataFrame, chunks: DataFrame, current: DataFrame, embedder: Embedder, root: str, batch: int) -> None:
+    """Write ``changes`` (key, change, place) as a batch: texts are fetched for inserted keys only."""
+    changes = changes.drop("chunk_content")
+    fresh = changes.filter("change = 'insert'")
+    texts = chunks.select(KEY, "chunk_content").join(fresh.select(KEY), KEY, "left_semi").groupBy(KEY).agg(F.first("chunk_content").alias("chunk_content"))
+    inserted = embed_index(fresh.join(texts, KEY), embedder)
+    updated = changes.filter("change = 'update'").join(current.select(KEY, "chunk_content", "embedding"), KEY)
+    deleted = changes.filter("change = 'delete'").select(
+        "*", F.lit(None).cast("string").alias("chunk_content"), F.lit(None).cast("array<float>").alias("embedding")
+    )
     delta = inserted.unionByName(updated).unionByName(deleted).withColumnRenamed("change", "op")
     delta.select(*ROW, "embedding", "op").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "op"
     ).parquet(f"{root}/batch={batch}")
-    return current_index(spark, root)
 
 
 def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embedder, batch: int) -> None:
-    """Add the chunks whose id the index does not hold yet; for append-only chunk streams."""
-    known = current_index(spark, root, before=batch).select(KEY)
-    fresh = index_rows(chunks).join(known, KEY, "left_anti")
-    write_inserts(embed_index(fresh, embedder), root, batch)
+    """Add the chunks whose id the index does not hold yet, and move a known id to a lower place if it
+    has one now; for append-only chunk streams.
+
+    The index is read for the keys of ``chunks`` only, which are few; while within Spark's bound they are
+    broadcast, so the index is not shuffled.
+    """
+    current = current_index(spark, root, before=batch)
+    rows = materialise(places(chunks), "rows")
+    known = current.join(rows.select(KEY), KEY, "left_semi").select(KEY, F.struct(*PLACE).alias("_known"))
+    lower = F.struct(*PLACE) < F.col("_known")
+    changes = rows.join(known, KEY, "left").withColumn("change", F.when(F.col("_known").isNull(), "insert").when(lower, "update"))
+    changes = materialise(changes.filter("change IS NOT NULL").select(KEY, "change", *PLACE), "changes")
+    _write_changes(changes, chunks, current, embedder, root, batch)
 
 
 def refresh_index(
     spark: SparkSession, root: str, chunks: DataFrame, embedder: Embedder, force: bool = False
 ) -> DataFrame:
     """Create the index if there is none, rebuild it with ``force``, otherwise sync; returns the live rows."""
-    last = last_batch(spark, root)
-    if last is None or force:
+    if last_batch(spark, root) is None or force:
         rebuild_index(chunks, embedder, root)
         return current_index(spark, root)
-    return sync_index(spark, root, chunks, embedder, last + 1)
+    return sync_index(spark, root, chunks, embedder, claim_batch(spark, root, "sync", uuid.uuid4().hex))
 
 
 def last_batch(spark: SparkSession, root: str) -> int | None:
     """Number of the latest batch, None where there is no index."""
-    try:
-        return read_log(spark, root).agg(F.max("batch")).first()[0]
-    except AnalysisException:
-        return None
+    return _found(lambda: read_log(spark, root).agg(F.max("batch")).first()[0])
 
 
 def compact_index(spark: SparkSession, root: str, target: str) -> DataFrame:
@@ -165,8 +232,5 @@ def index_stats(index: DataFrame) -> DataFrame:
 
 
 def index_row_count(spark: SparkSession, root: str) -> int | None:
-    """Number of live rows, None where no index can be read."""
-    try:
-        return current_index(spark, root).count()
-    except AnalysisException:
-        return None
+    """Number of live rows, None where there is no index."""
+    return _found(lambda: current_index(spark, root).count())

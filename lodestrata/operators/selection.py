@@ -99,6 +99,23 @@ def promote(registry: DataFrame, gate: DataFrame) -> DataFrame:
     return upsert_aliases(registry, moved)
 
 
+REGISTRY = "model string, alias string, version int"
+VERSIONS = "model string, version int, run_id string"
+TAGS = "model string, version int, key string, value string"
+
+
+def new_versions(versions: DataFrame, best: DataFrame) -> DataFrame:
+    """``model, version, run_id``: the next version of each model for its run in ``best`` (``model, run_id``)."""
+    latest = versions.groupBy("model").agg(F.max("version").alias("_v"))
+    return best.join(latest, "model", "left").select("model", (F.coalesce("_v", F.lit(0)) + 1).cast("int").alias("version"), "run_id")
+
+
+def version_tags(versions: DataFrame, tags: dict[str, Column]) -> DataFrame:
+    """``model, version, key, value``: a row per tag of each version."""
+    entries = F.array(*[F.struct(F.lit(k).alias("key"), v.cast("string").alias("value")) for k, v in tags.items()])
+    return versions.select("model", "version", F.explode(entries).alias("e")).select("model", "version", "e.key", "e.value")
+
+
 def register_best(registry: DataFrame, best: DataFrame, alias: str = "challenger") -> DataFrame:
     """Give each model's best run the next version and point ``alias`` at it.
 

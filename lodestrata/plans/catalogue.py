@@ -362,11 +362,13 @@ def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_index(spark: SparkSession, sf: str) -> DataFrame:
-    """The gold table streamed into an index, a few files per micro-batch."""
+    """The gold table streamed into an index in about four micro-batches, copies of a text in any of them."""
     flow = _pipeline(spark, sf)
-    rows = index_stream.stream_chunk_rows(spark, flow.folder("gold"), max_files=64)
+    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    flow.chunks(spark).repartition(files, "path").write.parquet(flow.folder("landed"))
+    rows = index_stream.stream_chunk_rows(spark, flow.folder("landed"), max_files=-(-files // 4))
     live = index_stream.sync_stream(rows, flow.folder("index"), _embedder(), flow.folder("_checkpoints/index"))
-    return live.select("chunk_id", F.length("chunk_content").cast("bigint").alias("n_chars"))
+    return _placed(live)
 
 
 def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
@@ -409,6 +411,12 @@ def history_nested(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def history_gapped(spark: SparkSession, sf: str) -> DataFrame:
+    """Pairs of conversations whose turn numbers were doubled and of which some messages are gone."""
+    kept = load(spark, sf, "conversations").filter("(conv_id + turn) % 5 <> 0")
+    return dialog.history_pairs(kept.withColumn("turn", 2 * F.col("turn")))
+
+
 def current_question(spark: SparkSession, sf: str) -> DataFrame:
     return _questions(spark, sf)
 
@@ -577,6 +585,15 @@ def alias_lookup(spark: SparkSession, sf: str) -> DataFrame:
     return selection.version_by_alias(registry, wanted).withColumn("version", F.col("version").cast("bigint"))
 
 
+def version_tags(spark: SparkSession, sf: str) -> DataFrame:
+    """Run and language of the next version of each model, as tags."""
+    best = best_per_group(_label_runs(spark, sf), ["lang"], [F.desc("accuracy"), F.asc("position")], 1)
+    best = best.select(F.concat(F.lit("retriever_"), "lang").alias("model"), "run_id")
+    fresh = selection.new_versions(_registry(spark, sf).select("model", "version"), best)
+    tags = {"training_run_id": F.col("run_id"), "experiment_group": F.regexp_extract("model", "_(.*)$", 1)}
+    return selection.version_tags(fresh, tags).withColumn("version", F.col("version").cast("bigint"))
+
+
 def register_best(spark: SparkSession, sf: str) -> DataFrame:
     """The best run of each language registered as the next version of its model."""
     best = best_per_group(_label_runs(spark, sf), ["lang"], [F.desc("accuracy"), F.asc("position")], 1)
@@ -593,10 +610,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         topk_cosine, ann_recall, embed_chunks, index_snapshot, index_stats, chunk_changes, index_sync,
         rerank_topk, format_hits,
         stream_chunks, stream_index, ingest_files, layout_stats,
-        history_pairs, history_recent, history_nested, current_question, plain_questions, validate_requests,
+        history_pairs, history_recent, history_nested, history_gapped, current_question, plain_questions, validate_requests,
         rag_context, rag_inputs, rag_answers, coerce_response,
         qa_examples, split_full, split_test_mode, judge_score, token_f1, mean_accuracy, eval_grid,
         baseline_gain, champion_challenger, demo_select, leaderboard, leaderboard_summary, run_metrics,
-        promote_alias, alias_lookup, register_best,
+        promote_alias, alias_lookup, register_best, version_tags,
     )
 }

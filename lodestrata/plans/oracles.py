@@ -120,12 +120,14 @@ def _placed(rows: str) -> str:
     return f"SELECT {PLACE}, len({words('chunk_content')})::BIGINT AS n_tokens FROM {rows}"
 
 
-PAIRS = """
+PAIRS_OF = """
 pairs AS (
   SELECT conv_id, turn, text AS question, next_text AS response FROM (
-    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text, max(turn) OVER (PARTITION BY conv_id) AS last
-    FROM conversations WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
-  WHERE role = 'user' AND text <> '' AND next_role = 'assistant' AND next_text <> '' AND turn + 1 < last),
+    SELECT *, lead(role) OVER w AS next_role, lead(text) OVER w AS next_text, lead(turn, 2) OVER w AS followed
+    FROM {messages} m WINDOW w AS (PARTITION BY conv_id ORDER BY turn))
+  WHERE role = 'user' AND text <> '' AND next_role = 'assistant' AND next_text <> '' AND followed IS NOT NULL"""
+
+PAIRS = f"""{PAIRS_OF.format(messages='conversations')}),
 recent AS (SELECT * FROM pairs QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) <= 2),
 nested AS (
   SELECT c.conv_id, count(r.turn)::BIGINT AS n_pairs,
@@ -321,12 +323,13 @@ SELECT conv_id, CASE WHEN trim(question) = '' THEN 'Error: Empty query provided'
 FROM asked LEFT JOIN told ON id = conv_id""",
     "stream_chunks": f"""{CHUNKS}
 SELECT path, regexp_extract(path, '[^/]+$') AS file_name, chunk_pos, chunk_id, chunk_section, chunk_type FROM chunk""",
-    "stream_index": f"{CHUNKS} SELECT chunk_id, any_value(length(chunk_content)) AS n_chars FROM chunk GROUP BY chunk_id",
+    "stream_index": f"{CHUNKS}, {keyed('idx', 'chunk')} {_placed('idx')}",
     "ingest_files": """
 WITH lines AS (SELECT unnest(string_split(html, chr(10))) AS line FROM pages)
 SELECT length(line) AS n_chars, md5(line) AS line_md5 FROM lines WHERE line <> ''""",
     "layout_stats": f"{CHUNKS} SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps FROM chunk",
     "history_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
+    "history_gapped": f"WITH {PAIRS_OF.format(messages='(SELECT conv_id, 2 * turn AS turn, role, text FROM conversations WHERE (conv_id + turn) % 5 <> 0)')}) SELECT * FROM pairs",
     "history_recent": f"WITH {PAIRS} SELECT * FROM recent",
     "history_nested": f"WITH {PAIRS} SELECT * FROM nested",
     "current_question": f"WITH {QUESTION} SELECT * FROM asked",
@@ -386,4 +389,9 @@ UNION ALL SELECT run_id, 'tag', 'lang', lang FROM board""",
     "register_best": f"""{LABEL_RUNS}, {REGISTRY}
 SELECT model, alias, CASE WHEN alias = 'challenger' AND model IN (SELECT 'retriever_' || lang FROM ranked) THEN 3 ELSE version END::BIGINT AS version
 FROM registry""",
+    "version_tags": f"""{LABEL_RUNS}, {REGISTRY},
+best AS (SELECT 'retriever_' || lang AS model, lang, program FROM ranked WHERE rank = 1),
+next AS (SELECT model, max(version) + 1 AS version FROM registry GROUP BY model)
+SELECT model, version::BIGINT AS version, 'training_run_id' AS key, lang || '-' || program AS value FROM best JOIN next USING (model)
+UNION ALL SELECT model, version::BIGINT, 'experiment_group', lang FROM best JOIN next USING (model)""",
 }

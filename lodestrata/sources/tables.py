@@ -61,13 +61,18 @@ def write_state(df: DataFrame, root: str) -> None:
     df.write.mode("overwrite").parquet(f"{root}/state={0 if last is None else last + 1}")
 
 
-def read_state(spark: SparkSession, root: str) -> DataFrame:
-    """The latest state written by :func:`write_state`."""
-    return spark.read.parquet(f"{root}/state={_last_state(spark, root)}")
+def read_state(spark: SparkSession, root: str, schema: str | None = None) -> DataFrame:
+    """The latest state written by :func:`write_state`; before the first one an empty table of ``schema``."""
+    last = _last_state(spark, root)
+    if last is None and schema is not None:
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(f"{root}/state={last}")
 
 
 def _last_state(spark: SparkSession, root: str) -> int | None:
     try:
         return spark.read.parquet(root).agg(F.max("state")).first()[0]
-    except AnalysisException:
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None

@@ -11,10 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    A session without that setting uses a folder below its warehouse, which is shared as well.
+    A local session without that setting uses a folder below its warehouse; on a cluster it is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_shared"
     return base.rstrip("/")
 

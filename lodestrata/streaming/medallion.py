@@ -7,10 +7,12 @@ same projections serve batch jobs.
 
 from __future__ import annotations
 
+import threading
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 
 from lodestrata.functions.chunking import ChunkOptions, explode_chunks, with_chunks
 from lodestrata.functions.elements import render_variant
@@ -64,11 +66,52 @@ def chunk_table(parsed: DataFrame, options: ChunkOptions) -> DataFrame:
     return explode_chunks(chunk_arrays(parsed, options))
 
 
+class _Counts(StreamingQueryListener):
+    """Adds up observations as they come, since a query remembers its last micro-batches only."""
+
+    WAIT_SECONDS = 60
+
+    def __init__(self) -> None:
+        self._sums: dict[str, dict[str, dict[str, int]]] = {}
+        self._ended: set[str] = set()
+        self._change = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryIdle(self, event) -> None:  # noqa: N802
+        pass
+
+    def onQueryProgress(self, event) -> None:  # noqa: N802
+        with self._change:
+            sums = self._sums.setdefault(str(event.progress.runId), {})
+            for name, row in event.progress.observedMetrics.items():
+                own = sums.setdefault(name, {})
+                for rule, n in row.asDict().items():
+                    own[rule] = own.get(rule, 0) + (n or 0)
+
+    def onQueryTerminated(self, event) -> None:  # noqa: N802
+        with self._change:
+            self._ended.add(str(event.runId))
+            self._change.notify_all()
+
+    def wait_for(self, run: str) -> None:
+        """Events come in order, so the end of a run means that all its counts are in."""
+        with self._change:
+            if not self._change.wait_for(lambda: run in self._ended, self.WAIT_SECONDS):
+                raise TimeoutError(f"no end event of the streaming run {run}")
+
+    def of(self, run: str) -> dict[str, dict[str, int]]:
+        return self._sums.get(run, {})
+
+
 def run_available(stream: DataFrame, path: str, checkpoint: str) -> dict[str, dict[str, int]]:
     """Write all new input of ``stream`` to a parquet table exactly once, then stop.
 
-    Returns what the stream's observations counted, added up over the micro-batches.
+    Returns what the stream's observations counted, added up over all micro-batches.
     """
+    counts = _Counts()
+    stream.sparkSession.streams.addListener(counts)
     query = (
         stream.writeStream.format("parquet")
         .option("path", path)
@@ -77,14 +120,12 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> dict[str, di
         .trigger(availableNow=True)
         .start()
     )
-    query.awaitTermination()
-    seen: dict[str, dict[str, int]] = {}
-    for progress in query.recentProgress:
-        for name, row in progress.observedMetrics.items():
-            counts = seen.setdefault(name, {})
-            for rule, n in row.asDict().items():
-                counts[rule] = counts.get(rule, 0) + (n or 0)
-    return seen
+    try:
+        query.awaitTermination()
+        counts.wait_for(str(query.runId))
+    finally:
+        stream.sparkSession.streams.removeListener(counts)
+    return counts.of(str(query.runId))
 
 
 @dataclass(frozen=True)

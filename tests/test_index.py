@@ -73,12 +73,48 @@ def test_refresh_build_force_and_count(spark, tmp_path):
     assert index.refresh_index(spark, root, chunk_df(spark, NEW), EMBED).count() == 3
     assert index.last_batch(spark, root) == 1
     assert index.refresh_index(spark, root, chunk_df(spark, NEW), EMBED, force=True).count() == 3
-    assert index.last_batch(spark, root) == 0
+    assert index.last_batch(spark, root) == 2
     assert index.index_row_count(spark, root) == 3
     with pytest.raises(Exception):
         index.build_index(chunk_df(spark, NEW), EMBED, root)
 
 
+def test_failed_rebuild_keeps_the_old_index(spark, tmp_path):
+    root = str(tmp_path / "f")
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    old = content(index.current_index(spark, root))
+
+    def broken(text):
+        return F.raise_error(F.lit("no model")).cast("array<float>")
+
+    with pytest.raises(Exception, match="no model"):
+        index.rebuild_index(chunk_df(spark, NEW), broken, root)
+    assert content(index.current_index(spark, root)) == old
+    index.rebuild_index(chunk_df(spark, NEW), EMBED, root)
+    assert content(index.current_index(spark, root)) == content(index.embed_index(index.index_rows(chunk_df(spark, NEW)), EMBED))
+
+
+def test_writers_never_share_a_batch(spark, tmp_path):
+    root = str(tmp_path / "w")
+    assert index.claim_batch(spark, root, "stream", "0") == 0
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    live = index.refresh_index(spark, root, chunk_df(spark, NEW), EMBED)
+    assert index.claim_batch(spark, root, "stream", "1") == 2 == index.claim_batch(spark, root, "stream", "1")
+    index.append_index(spark, root, chunk_df(spark, [("a", 0, "delta"), ("z", 0, "beta"), ("n", 0, "new")]), EMBED, 2)
+    rows = {r["chunk_content"]: r["path"] for r in index.current_index(spark, root).collect()}
+    assert rows == {"beta": "p1", "gamma": "p3", "delta": "a", "new": "n"}  # lower places win, as in a build
+
+
+def test_sync_compares_without_texts(spark, tmp_path):
+    root = str(tmp_path / "t")
+    index.build_index(chunk_df(spark, OLD), EMBED, root)
+    chunk_df(spark, NEW).write.parquet(str(tmp_path / "chunks"))
+    new = index.places(spark.read.parquet(str(tmp_path / "chunks"))).withColumn("chunk_content", F.lit(None).cast("string"))
+    plan = index.chunk_changes(index.current_index(spark, root), new)._jdf.queryExecution().executedPlan().toString()
+    read = [line for line in plan.splitlines() if "ReadSchema" in line]
+    assert read and all("chunk_content" not in line.split("ReadSchema")[1] for line in read)
+
+
 def test_stats(spark, tmp_path):
     index.build_index(chunk_df(spark, OLD), EMBED, str(tmp_path / "s"))
     row = index.index_stats(index.current_index(spark, str(tmp_path / "s"))).first()

@@ -43,6 +43,9 @@ def test_the_four_jobs(spark, sf, tmp_path, settings):
     examples = evaluation.qa_examples(dialog.history_pairs(tables.load(spark, sf, "conversations")))
     programs = {"small": answers.leading_sentence, "large": answers.all_passages}
     registry, metrics = str(tmp_path / "registry"), str(tmp_path / "metrics")
+    first = jobs.evaluation_job(examples, live, EMBED, programs, JUDGE, "m", "g0", registry, str(tmp_path / "metrics0"))
+    assert first.count() == 4  # the registry started empty
+    assert [tuple(r) for r in tables.read_state(spark, registry).collect()] == [("m", "challenger", 1)]
     tables.write_state(
         spark.createDataFrame([("m", "champion", 1), ("m", "challenger", 1)], "model string, alias string, version int"), registry
     )
@@ -52,6 +55,11 @@ def test_the_four_jobs(spark, sf, tmp_path, settings):
     assert board.count() == 4 and spark.read.parquet(metrics).filter("kind = 'metric'").count() == 4
     assert {r["alias"]: r["version"] for r in tables.read_state(spark, registry).collect()} == {"champion": 1, "challenger": 2}
 
+    runs = {r["version"]: r["run_id"] for r in tables.read_state(spark, f"{registry}_versions").collect()}
+    assert runs[2] == f"g1-large-{jobs.F1_METRIC}" and set(runs) == {1, 2}
+    tags = {(r["version"], r["key"]): r["value"] for r in tables.read_state(spark, f"{registry}_tags").collect()}
+    assert tags[2, "training_run_id"] == runs[2] and tags[2, "experiment_group"] == "g1"
+
     versions = {1: answers.leading_sentence, 2: answers.all_passages}
     winner = jobs.champion_job(examples, live, EMBED, versions, evaluation.overlap_judge(0.1), "m", registry)
     assert winner == "challenger"
