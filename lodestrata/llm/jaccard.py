@@ -5,8 +5,8 @@ exactly, without listing all pairs of a group of near copies:
 
 1. *Leaders.* Nodes that share bands of minimum hashes with a smaller node are compared with it on the full
    sets; if similar (less than a link is enough) it leads them, and what they lack and add is kept.
-2. *Derived answers.* The overlap of two members of one leader is that of both with the leader, less its
-   size, plus their common changes. Where the first part proves the link, all such members hang together by
+2. *Derived answers.* The overlap of two members of one leader is that of both with a centre (the leader as
+   most members have it), less its size, plus their common changes. Where the first part proves the link, all such members hang together by
    the best one; the other pairs are found by inverted lists of rare changes and settled on changes alone.
 3. *Block-skip lists.* The rarest tokens of each set (a prefix that any linked set must meet, in an order
    by a frequency sketch, then hash) are the entries of inverted lists. Blocks of a leader's entries
@@ -159,20 +159,16 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -
 
 
 def _heads(nodes: DataFrame) -> DataFrame:
-    """``node, head``: the node that most bands of a node name as their smallest, followed to its own head."""
+    """``node, head``: the node that most bands of a node name as their smallest."""
     banded = nodes.select("node", F.explode("bands").alias("band"))
     least = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
     votes = banded.join(least, "band").where("node <> head").groupBy("node", "head").agg(F.count("*").alias("votes"))
-    heads = materialise(votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("head")).alias("of"))).alias("top")).select("node", (-F.col("top.of")).alias("head")), "heads")
-    for _ in range(2):
-        onward = heads.select(F.col("node").alias("head"), F.col("head").alias("next"))
-        heads = heads.join(onward, "head", "left").select("node", F.coalesce("next", "head").alias("head"))
-    return materialise(heads, "heads")
+    top = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("head")).alias("of"))).alias("top"))
+    return materialise(top.select("node", (-F.col("top.of")).alias("head")), "heads")
 
 
-def _members(docs: DataFrame, nodes: DataFrame, heads: DataFrame, like: Similarity) -> DataFrame:
-    """``leader, node, n, size, shared, lacks, adds``: nodes similar to their head, which leads them, and the
-    leaders. ``size`` is the leader's, ``lacks`` its tokens that the node lacks, ``adds`` the node's own."""
+def _similar(docs: DataFrame, nodes: DataFrame, heads: DataFrame, like: Similarity) -> DataFrame:
+    """``leader, node, n, size, shared, lacks, adds`` of the nodes that are similar to their head."""
     own = _sets(docs, nodes, heads, like)
     own = own.join(heads, "node").select("node", "n", "tokens", F.col("head").alias("leader"))
     lead = _sets(docs, nodes, heads.select(F.col("head").alias("node")), like)
@@ -183,36 +179,86 @@ def _members(docs: DataFrame, nodes: DataFrame, heads: DataFrame, like: Similari
     both = both.withColumn("shared", F.col("n") - F.size("adds"))
     near = 2 * like.share - like.per
     alike = F.col("shared") * (like.per + near) >= (F.col("n") + F.col("size")) * near
-    led = materialise(both.where(alike).dropDuplicates(["node"]), "led")
-    # a node that is led itself leads no others
-    led = led.join(led.select(F.col("node").alias("leader")), "leader", "left_anti")
+    return materialise(both.where(alike).dropDuplicates(["node"]), "similar")
+
+
+def _members(docs: DataFrame, nodes: DataFrame, like: Similarity) -> DataFrame:
+    """``leader, node, n, size, shared, lacks, adds``: nodes similar to their head, which leads them, and
+    leaders without a similar head. ``size`` is the leader's, ``lacks`` its tokens that the node lacks,
+    ``adds`` the node's own. A leader may be a member of another one; its set is what its members refer to."""
+    heads = _heads(nodes)
+    led = _similar(docs, nodes, heads, like)
+    # a head may be unlike all that name it, so the rest names others, itself left out
+    used = led.select("node").unionByName(heads.select(F.col("head").alias("node"))).distinct()
+    heads = _heads(nodes.select("node", "bands").join(used, "node", "left_anti"))
+    if not heads.isEmpty():
+        led = led.unionByName(_similar(docs, nodes, heads, like))
     none = F.array().cast("array<long>")
-    leaders = led.select("leader", "size").distinct()
-    leaders = leaders.select("leader", F.col("leader").alias("node"), F.col("size").alias("n"), "size", none.alias("lacks"), none.alias("adds"), F.col("size").alias("shared"))
+    free = led.select("leader", "size").distinct().join(led.select(F.col("node").alias("leader")), "leader", "left_anti")
+    free = free.select("leader", F.col("leader").alias("node"), F.col("size").alias("n"), "size", none.alias("lacks"), none.alias("adds"), F.col("size").alias("shared"))
+    return materialise(led.select("leader", "node", "n", "size", "lacks", "adds", "shared").unionByName(free), "members")
+
+
+def _centred(members: DataFrame, like: Similarity) -> DataFrame:
+    """``leader, node, n, size, shared, changes, spare`` against the centre of a leader's members.
+
+    A leader has changes of its own, which all members would have in common. The centre is the leader with
+    every token changed that more than half of its members change; it is a set, not a node.
+    """
+    counts = members.groupBy("leader").agg(F.count("*").alias("members"))
+    each = members.select("leader", F.explode("lacks").alias("token"), F.lit(True).alias("lack"))
+    each = each.unionByName(members.select("leader", F.explode("adds").alias("token"), F.lit(False).alias("lack")))
+    often = each.groupBy("leader", "token", "lack").agg(F.count("*").alias("times")).join(counts, "leader").where("2 * times > members")
+    # more than half change each of these tokens, so there are at most twice as many as a member changes
+    flips = often.groupBy("leader").agg(
+        F.collect_list(F.when(F.col("lack"), F.col("token"))).alias("gone"), F.collect_list(F.when(~F.col("lack"), F.col("token"))).alias("new")
+    )
+    none = F.array().cast("array<long>")
+    own = members.join(flips, "leader", "left").withColumns({"gone": F.coalesce("gone", none), "new": F.coalesce("new", none)})
+    lacks = F.concat(F.array_except("lacks", "gone"), F.array_except("new", "adds"))
+    adds = F.concat(F.array_except("adds", "new"), F.array_except("gone", "lacks"))
+    size = F.col("size") - F.size("gone") + F.size("new")
+    own = own.select("leader", "node", "n", size.alias("size"), (F.col("n") - F.size(adds)).alias("shared"), F.concat(lacks, adds).alias("changes"))
     weight = like.per + like.share
     spare = 2 * weight * F.col("shared") - 2 * like.share * F.col("n") - weight * F.col("size")
-    return materialise(led.unionByName(leaders).withColumn("spare", spare), "members")
+    return materialise(own.withColumn("spare", spare), "centred")
 
 
-def _plain_links(members: DataFrame) -> DataFrame:
-    """Links that the overlaps with the leader prove. Two members link if their ``spare`` sums to 0 or more
-    whatever they have in common beyond the leader, so all such pairs hang together by the best member."""
+def _plainly_linked(members: DataFrame) -> DataFrame:
+    """``node, component`` by the links that the overlaps with the centre prove. Two members link if their
+    ``spare`` sums to 0 or more whatever they have in common beyond the centre, so all such pairs hang
+    together by the best member, which names the component."""
     best = members.groupBy("leader").agg(F.max(F.struct("spare", "node")).alias("best"))
-    met = members.join(best, "leader").where((F.col("node") != F.col("best.node")) & (F.col("spare") + F.col("best.spare") >= 0))
-    return met.select(F.col("node").alias("a"), F.col("best.node").alias("b"))
+    met = members.join(best, "leader").where((F.col("node") == F.col("best.node")) | (F.col("spare") + F.col("best.spare") >= 0))
+    return met.select("node", F.col("best.node").alias("component"))
+
+
+def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
+    """Components after more ``links``, which are first contracted to the components that they join."""
+    ends = [found.select(F.col("node").alias(c), F.col("component").alias(f"of_{c}")) for c in ("a", "b")]
+    between = links.join(ends[0], "a", "left").join(ends[1], "b", "left")
+    between = between.select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b")).where("a <> b").distinct()
+    between = materialise(between, "between")
+    if between.isEmpty():
+        return found
+    roots = materialise(components(between).withColumnRenamed("component", "root"), "roots")
+    moved = found.join(roots.withColumnRenamed("node", "component"), "component", "left")
+    moved = moved.select("node", F.coalesce("root", "component").alias("component"))
+    alone = roots.join(found, "node", "left_anti").select("node", F.col("root").alias("component"))
+    return materialise(moved.unionByName(alone), "components")
 
 
 def _changed_links(members: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
     """Links of one leader's members that need common changes: tokens that both lack or both add.
 
-    The overlap of two members is ``shared + shared - size`` plus their common changes, so a pair with a
+    The overlap of two members is ``shared + shared - size`` of the centre plus their common changes, so a pair with a
     negative sum of ``spare`` must meet in the rarest of its changes. Only such pairs of different
     components are compared, and only their changes.
     """
     unit = 2 * (like.per + like.share)
     best = members.groupBy("leader").agg(F.max("spare").alias("most"))
     own = members.join(best, "leader").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = own.withColumn("changes", F.concat("lacks", "adds")).withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("spare") + F.col("most")) / unit)))
+    own = own.withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("spare") + F.col("most")) / unit)))
     own = materialise(own.where(F.size("changes") >= F.col("least")).select("leader", "node", "n", "size", "shared", "spare", "component", "changes", "least"), "changed")
     each = own.select("leader", "node", "least", F.explode("changes").alias("change"))
     often = each.groupBy("leader", "change").agg(F.count("*").alias("times")).where("times > 1")
@@ -300,15 +346,12 @@ def _grouped(docs: DataFrame, like: Similarity) -> DataFrame:
     discard(full)
     linkable = nodes.where(F.col("n") * like.per >= (F.col("n") + 1) * like.share)  # smaller sets link to equal ones only
 
-    members = _members(docs, nodes, _heads(linkable), like)
-    links = _plain_links(members)
-    found = materialise(components(links), "components")
-    links = links.unionByName(_changed_links(members, found, like))
-    links = materialise(links, "inner")
-    found = materialise(components(links), "components")
+    members = _members(docs, linkable, like)
+    centred = _centred(members, like)
+    found = materialise(_plainly_linked(centred), "components")
+    found = _merged(found, _changed_links(centred, found, like))
     listed = _listed(linkable, members, found, like)
-    links = links.unionByName(_outer_links(docs, nodes, members, found, listed, like))
-    found = materialise(components(links), "components")
+    found = _merged(found, _outer_links(docs, nodes, members, found, listed, like))
 
     labelled = nodes.select("set_id", "node", "label").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("label").alias("component_id"))
