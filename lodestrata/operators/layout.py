@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+PREFIX = 2
 CLUSTER = ["chunk_id", "path", "chunk_pos"]
 
 
@@ -34,9 +35,19 @@ def layout_stats(table: DataFrame, key: str = "chunk_id") -> DataFrame:
 def layout_report(stats: DataFrame) -> DataFrame:
     """``n_rows, overlaps``: rows in all files, and files that reach into the key range of the next one.
 
-    Works on one row per file.
+    Files are compared within groups of one key prefix (at most 256 for hashed keys), so no task sees
+    all of them; the last file of a group is compared with the first one of the next group.
     """
-    following = F.lead("min_key").over(W.orderBy("min_key", "max_key"))
-    return stats.withColumn("_reaches", F.col("max_key") > following).agg(
-        F.sum("n_rows").alias("n_rows"), F.count_if("_reaches").alias("overlaps")
+    grouped = stats.withColumn("_group", F.substring(F.col("min_key").cast("string"), 1, PREFIX))
+    order = W.partitionBy("_group").orderBy("min_key", "max_key")
+    inside = grouped.withColumn("_reaches", F.col("max_key") > F.lead("min_key").over(order))
+    groups = inside.groupBy("_group").agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.count_if("_reaches").alias("inside"),
+        F.min("min_key").alias("first"),
+        F.max(F.struct("min_key", "max_key")).alias("last"),
+    )
+    across = F.col("last.max_key") > F.lead("first").over(W.orderBy("first"))  # one row per group
+    return groups.withColumn("_across", across).agg(
+        F.sum("n_rows").alias("n_rows"), (F.sum("inside") + F.count_if("_across")).alias("overlaps")
     )

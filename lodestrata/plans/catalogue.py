@@ -204,12 +204,12 @@ def atomic_overflow(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _payloads(spark: SparkSession, sf: str) -> DataFrame:
-    """Documents as parser output, in another shape per language: French ones are cut JSON, Spanish
-    ones hold a null element, German ones come as an object, the rest as a list."""
+    """Documents as parser output: one of 41 is cut JSON, one of 41 holds a null element, German ones
+    come as an object, the rest as a list."""
     typed = parsers.text_elements(F.col("text"))
     payload = (
-        F.when(F.col("lang") == "fr", F.concat(F.lit("{"), F.to_json(typed)))
-        .when(F.col("lang") == "es", F.lit('[{"type":"text","content":null}]'))
+        F.when(F.col("doc_id") % 41 == 7, F.concat(F.lit("{"), F.to_json(typed)))
+        .when(F.col("doc_id") % 41 == 8, F.lit('[{"type":"text","content":null}]'))
         .when(F.col("lang") == "de", F.to_json(F.struct(typed.alias("elements"))))
         .otherwise(F.to_json(typed))
     )
@@ -329,12 +329,9 @@ def rerank_topk(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def format_hits(spark: SparkSession, sf: str) -> DataFrame:
-    """The search tool over each conversation's system message; without one the query is empty."""
-    messages = load(spark, sf, "conversations")
-    told = F.col("role") == "system"  # other texts are not carried along
-    asked = messages.groupBy("conv_id").agg(
-        F.min_by(F.when(told, F.col("text")), F.when(told, F.col("turn"))).alias("q")
-    ).select("conv_id", F.coalesce("q", F.lit("")).alias("question"))
+    """The search tool over each conversation's current question; one of ten is left blank."""
+    blank = F.col("conv_id") % 10 == 0
+    asked = _questions(spark, sf).withColumn("question", F.when(blank, " ").otherwise(F.col("question")))
     asked = materialise(asked, "asked")
     found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K, query_id="conv_id", min_score=0.0)
     return search.format_hits(asked, found, query_id="conv_id")
@@ -431,9 +428,10 @@ def plain_questions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def validate_requests(spark: SparkSession, sf: str) -> DataFrame:
-    """Every document id as a request; most have no conversation. Messages keep only their commas, so
-    that one without any is blank."""
-    messages = load(spark, sf, "conversations").withColumn("text", F.regexp_replace("text", "[^,]", " "))
+    """Every document id as a request; most have no conversation. In one conversation of five the
+    messages are blanked."""
+    blank = F.col("conv_id") % 5 == 0
+    messages = load(spark, sf, "conversations").withColumn("text", F.when(blank, " \t\n").otherwise(F.col("text")))
     requests = load(spark, sf, "documents").select(F.col("doc_id").alias("conv_id"))
     return dialog.validate_requests(requests, messages)
 
@@ -512,8 +510,10 @@ def _test_means(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def eval_grid(spark: SparkSession, sf: str) -> DataFrame:
-    """Every program on every test example, averaged per metric."""
-    return _test_means(spark, sf)
+    """Every program on every test example, scored by every metric."""
+    split = evaluation.split_examples(_examples(spark, sf))
+    scored = _scored_runs(spark, sf, split.filter("split = 'test'"))
+    return scored.select("program", "example_id", "metric_name", "score")
 
 
 def baseline_gain(spark: SparkSession, sf: str) -> DataFrame:
