@@ -11,8 +11,8 @@ collected, and work grows as queries times vectors, as an exhaustive search must
 
 Defined results: vectors that are null or hold a null, NaN or infinite component take no part, neither do
 rows without an id; an empty vector has score 0 with all; missing components of a shorter vector count
-as 0. A query meets all rows but those with its own id. Repeated rows are candidates each; ties go to
-the smaller id. Sums beyond a 64-bit integer are held at its limits. An empty table gives no rows.
+as 0. A query meets all rows but those with its own id. Repeated rows are candidates each, and rows that
+repeat a query's id share one list; ties go to the smaller id. Sums beyond a 64-bit integer are held at its limits. An empty table gives no rows.
 """
 
 from __future__ import annotations

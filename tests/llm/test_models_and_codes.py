@@ -92,7 +92,7 @@ def test_top_k_matches_brute_force(spark):
             want += [(q, n + 1, i, min(max(s, -(2**63)), 2**63 - 1)) for n, (s, i) in enumerate(sorted(found, key=lambda x: (-x[0], x[1]))[:5])]
     kept = lambda rows: sorted(r for r in rows if r[0] not in (50,) and 250 not in (r[0], r[2]))
     assert kept(tuple(r) for r in got) == kept(want)
-    assert len(got) == len(want)
+    assert len(got) == 5 * len({q for q, *_ in want})  # rows that repeat an id share one list
 
 
 def test_top_k_of_nothing(spark):
