@@ -35,6 +35,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lodestrata.llm.words import slices
 from lodestrata.sources.workspace import discard, materialise
 
 DICTIONARY_WORDS = 1 << 21
@@ -172,7 +173,7 @@ def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
             short = {w: n for w, n in words.items() if len(w) <= LONG_BYTES and len(w.encode()) <= LONG_BYTES}
             return pa.record_batch({"word": pa.array(list(short), pa.string()), "times": pa.array(list(short.values()), pa.int64())})
 
-        for batch in batches:
+        for batch in slices(batches):
             for text in batch.column(0).to_pylist():
                 seen.update(splitter.parts(text or ""))
                 if len(seen) > COUNTED_PARTS:
@@ -203,7 +204,7 @@ class Dictionary:
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         words = batch.column(0).cast(pa.binary()).to_pylist()
         hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
         sizes = np.diff(batch.column(1).offsets.to_numpy()).astype(np.uint8)
@@ -260,7 +261,7 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WOR
                 return tuple(out)
 
         cache = Parts()
-        for batch in batches:
+        for batch in slices(batches):
             lists, missing = [], []
             for text in batch.column(1).to_pylist():
                 ids = np.fromiter(chain.from_iterable(map(cache.__getitem__, splitter.parts(text or ""))), np.int32)

@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.components import components
 from lodestrata.llm.small import joined
-from lodestrata.llm.words import WordHashes, long_array, mixed, running, spans, texts, windows
+from lodestrata.llm.words import WordHashes, long_array, mixed, running, slices, spans, texts, windows
 from lodestrata.sources.workspace import discard, materialise
 
 SKETCH_BITS = 18
@@ -83,7 +83,7 @@ def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
-        for batch in batches:
+        for batch in slices(batches):
             for text in texts(batch.column(1)):
                 buckets = (shingles(text, n, hashes) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
                 np.add.at(counts, buckets, 1)
@@ -116,7 +116,7 @@ def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             sizes, ids, bands, prefixes = [], [], [], []
             for text in texts(batch.column(1)):
                 tokens = shingles(text, like.words, hashes)
@@ -147,7 +147,7 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             sets = [shingles(t, like.words, hashes) for t in texts(batch.column(1))]
             found = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
             yield pa.record_batch({"set_id": pa.array(found, pa.binary()), "tokens": long_array(sets)})

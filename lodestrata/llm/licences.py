@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.spread import lowest_hashes
-from lodestrata.llm.words import texts
+from lodestrata.llm.words import slices, texts
 
 # Notices that public licences ask to be reproduced, by family.
 TEMPLATES: dict[str, list[str]] = {
@@ -243,7 +243,7 @@ def licences(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     names = np.array(FAMILIES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             rows = [(doc, *f) for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True) for f in findings(text, model)]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.record_batch(

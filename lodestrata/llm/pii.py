@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.spread import lowest_hashes
+from lodestrata.llm.words import slices
 from lodestrata.sources.workspace import materialise
 
 KINDS = ("email", "ip", "card", "phone")
@@ -316,7 +317,7 @@ def fit(docs: DataFrame) -> Field | None:
     chosen = materialise(chosen.withColumnRenamed("doc_id", "_doc"), "chosen")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out: dict[str, list] = {"words": [], "labels": [], "before": [], "after": []}
             for text in batch.column(0).to_pylist():
                 spans = base_spans(text or "")
@@ -393,7 +394,7 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
     field = field or fit(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = all_spans([t or "" for t in batch.column(1).to_pylist()], field)
             columns = {"doc_id": batch.column(0)}
             for kind in KINDS:
@@ -423,7 +424,7 @@ def redacted_documents(docs: DataFrame) -> DataFrame:
     field = fit(own)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             raw = batch.column(1).to_pylist()
             found = all_spans([t or "" for t in raw], field)
             clean = [t if t is None or not spans else redact(t, spans) for t, (_, spans) in zip(raw, found, strict=True)]

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.spread import lowest_hashes
-from lodestrata.llm.words import WordHashes, covered, texts, windows
+from lodestrata.llm.words import WordHashes, covered, slices, texts, windows
 from lodestrata.sources.workspace import materialise
 
 FIT_ROWS = 8192
@@ -85,7 +85,7 @@ def base_failed(counts: np.ndarray) -> np.ndarray:
 def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """``doc_id, text`` to ``doc_id``, counts and statistics."""
     hashes = WordHashes()
-    for batch in batches:
+    for batch in slices(batches):
         found = [statistics(t, hashes) for t in texts(batch.column(1))]
         counts = np.array([f[0] for f in found], np.int64).reshape(-1, len(COUNTS))
         values = np.array([f[1] for f in found], np.float64).reshape(-1, len(FEATURES))
@@ -173,7 +173,7 @@ def judge(measured: DataFrame, rules: Rules) -> DataFrame:
     """``doc_id``, counts, ``base_failed``, ``score`` and ``kept`` per measured row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             failed, scores = base_failed(_matrix(batch, COUNTS)), rules.scores(_matrix(batch, FEATURES))
             columns = {n: batch.column(n) for n in ("doc_id", *COUNTS)}
             columns |= {"base_failed": failed, "score": scores, "kept": ~failed & (scores < rules.threshold)}
@@ -217,7 +217,7 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             found = [statistics(t, hashes) for t in texts(batch.column(1))]
             counts = np.array([f[0] for f in found], np.int64).reshape(-1, len(COUNTS))
             values = np.array([f[1] for f in found], np.float64).reshape(-1, len(FEATURES))

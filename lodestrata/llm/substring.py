@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lodestrata.llm.words import WordHashes, mixed, running, spans, texts
+from lodestrata.llm.words import WordHashes, mixed, running, slices, spans, texts
 from lodestrata.sources.workspace import discard, materialise
 
 WINDOW = 20
@@ -65,7 +65,7 @@ def _index(docs: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             keys, at, sizes, tags = [], [], [], []
             for text in texts(batch.column(1)):
                 starts, blocks = anchors_of(hashes.of(text.split()))
@@ -110,7 +110,7 @@ def _parsed(found: DataFrame) -> DataFrame:
     """Per document the anchors met and its factors, as packed integers."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             lists = batch.column(2)
             ends = lists.offsets.to_numpy()
             flat = lists.flatten()
@@ -149,7 +149,7 @@ def _with_text(docs: DataFrame, small: DataFrame, size: str, how: str) -> DataFr
 
 
 def _add_tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         yield batch.append_column("tag", pa.array([_tag(t) for t in texts(batch.column(1))], pa.int32()))
 
 
@@ -158,7 +158,7 @@ def _open_windows(docs: DataFrame, parsed: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
-        for batch in batches:
+        for batch in slices(batches):
             docs_, tags, starts, first, second = [], [], [], [], []
             for text, doc, tag, met, held in zip(texts(batch.column(0)), *(batch.column(i).to_pylist() for i in range(1, 5)), strict=True):
                 own = hashes.of(text.split())
@@ -201,7 +201,7 @@ def _spans(parsed: DataFrame, windows: DataFrame) -> DataFrame:
     """``doc, tag, spans``: starts and ends of the words to remove, disjoint and in order, packed."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             out = []
             for held, starts in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
                 pairs = np.frombuffer(held or b"", np.int32).reshape(-1, 2).astype(np.int64)
@@ -225,7 +225,7 @@ def merged(pairs: np.ndarray) -> np.ndarray:
 
 
 def _kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in slices(batches):
         sizes, removed, kept = [], [], []
         for text, held in zip(texts(batch.column(1)), batch.column(2).to_pylist(), strict=True):
             words = text.split()

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lodestrata.llm.spread import lowest_hashes
-from lodestrata.llm.words import texts
+from lodestrata.llm.words import slices, texts
 from lodestrata.sources.workspace import materialise
 
 EXAMPLES = 8192
@@ -126,7 +126,7 @@ def _term_counts(labelled: DataFrame) -> DataFrame:
     """``term, positive, negative``: example documents with the term, by label."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             for text, label in zip(texts(batch.column(0)), batch.column(1).to_pylist(), strict=True):
                 own = list(set(terms(text)))
                 yield pa.record_batch({"term": pa.array(own, pa.binary()), "toxic": pa.array(np.full(len(own), label, np.int32))})
@@ -156,7 +156,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Examples | None:
     model = Examples(vocabulary, idf, np.zeros(0, np.int64), np.zeros(0), [], np.zeros((0, 0)), positive / total, positive / total, (np.array([0.0, 1.0]),) * 2)
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             pairs = [model.vector(t) for t in texts(batch.column(1))]
             yield pa.record_batch(
                 {
@@ -200,7 +200,7 @@ def scored(docs: DataFrame, model: Examples | None) -> DataFrame:
     """``doc_id, score, evidence``: the evidence lists the neighbours' doc_ids, nearest first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches):
             found = [
                 model.score(t, own) if model else (0.0, np.zeros(0, np.int64))
                 for t, own in zip(texts(batch.column(1)), batch.column(0).to_pylist(), strict=True)

@@ -6,11 +6,13 @@ gives on UTF-8. Hashes are 64 bits wide and the same in every process.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import xxhash
 
-CACHE_WORDS = 400_000
+CACHE_WORDS = 200_000
 _K = 0x9E3779B97F4A7C15
 _K_INVERSE = pow(_K, -1, 1 << 64)
 
@@ -83,6 +85,13 @@ def covered(hits: np.ndarray, n: int, words: int) -> np.ndarray:
     return np.cumsum(edges)[:words] > 0
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1024) -> Iterator[pa.RecordBatch]:
+    """The batches cut into short ones, since what is made of a text takes several times its size."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def texts(column: pa.Array) -> list[bytes]:
     """Texts as bytes, null as empty."""
     return [t or b"" for t in column.cast(pa.binary()).to_pylist()]
