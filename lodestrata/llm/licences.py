@@ -1,15 +1,22 @@
 """Licence scan: a trained paragraph classifier, confirmed by comparison with templates.
 
-Every line of every whole text is a paragraph. Its words (lower-cased, marks dropped) give sparse features,
-word n-grams of one to three words that occur in a template; a multinomial logistic regression turns them
-into the probabilities of the licence families and of "unknown". It is trained on the templates, on
+Every line of every whole text is looked at in overlapping windows of ``WINDOWS`` words, a short line as a
+whole. The words of a window (lower-cased, marks dropped) give sparse features, word n-grams of one to three
+words that occur in a template; a multinomial logistic regression turns them into the probabilities of the
+licence families and of "unknown". It is trained on the templates, on
 variants of them (random cuts and foreign words), and on at most ``FIT_PARAGRAPHS`` paragraphs of
 the corpus as "unknown" (those with the lowest hash; near copies of a template left out). A
 temperature, fitted on examples kept out of training, calibrates the probabilities, so "unknown" gets what
-the families cannot claim. A predicted family is confirmed when the paragraph shares most word pairs with
-one of its templates. Consecutive paragraphs of one family are one finding.
+the families cannot claim. A predicted family is confirmed when the window shares most word pairs with
+one of its templates.
 
-A task holds the model only; texts are read once and not shuffled.
+Whatever the classes say, every run of at most ``LONGEST`` words of a line that holds most word pairs of a
+template is a confirmed finding, so a notice is found however long its line is; one of the pairs has to be
+known to at most ``NAMING`` families, since pairs that more share name none of them. Where findings of several
+families overlap, the one with the greater template share has the words; side by side they stay apart.
+Findings of one family in a line, or in consecutive lines, are one.
+
+A task holds the model, a text, and two bytes for each of its words; texts are read once and not shuffled.
 
 Defined results: null and empty texts have no findings; equal rows get equal findings; lines without any
 template word are unknown; without documents to learn from, the templates alone train the model. An
@@ -20,6 +27,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -94,8 +102,15 @@ VARIANTS = 20
 STEPS = 200
 LEAST_PROBABILITY = 0.5
 LEAST_SHARED = 0.6
+WINDOWS = (12, 24, 48)  # words, each a half apart
+LONGEST = WINDOWS[-1]  # as long as the longest template at least
+NAMING = 3
+PIECE_BYTES = 1 << 16
+SEGMENT = 1 << 15  # words
+FOREIGN, LINE_END = 0, 1  # codes; words of templates follow
 # bytes of marks become blanks, capitals become small letters
 _FOLD = bytes(32 if c < 48 or 57 < c < 65 or 90 < c < 97 or 122 < c < 128 else c + 32 if 65 <= c <= 90 else c for c in range(256))
+_FOLD_LINES = bytes(1 if c == 10 else _FOLD[c] for c in range(256))
 
 
 def words_of(paragraph: bytes) -> list[bytes]:
@@ -145,15 +160,132 @@ class Classifier:
         p = np.exp(logits - logits.max())
         return p / p.sum()
 
-    def finding(self, paragraph: bytes) -> tuple[int, float, float] | None:
-        words = words_of(paragraph)
-        if self.known.isdisjoint(words):
-            return None
-        p = self.probabilities(words)
-        family = int(p.argmax())
-        if family == UNKNOWN or p[family] < LEAST_PROBABILITY:
-            return None
-        return family, float(p[family]), max(shared(words, t) for t in self.templates[family])
+
+class Scanner:
+    """The n-grams of a classifier as tables over word codes, and the searches in a coded text."""
+
+    def __init__(self, model: Classifier):
+        self.model = model
+        self.words = [b"", b"\n", *sorted(model.known)]
+        self.codes = {w: c for c, w in enumerate(self.words) if c > LINE_END} | {b"\x01": LINE_END}
+        pairs = sorted(g for g in model.grams if len(g) == 2)
+        number = {g: i + 1 for i, g in enumerate(pairs)}
+        size = len(self.words)
+        self.pair = np.zeros((size, size), np.int16)
+        for g, i in number.items():
+            self.pair[self.codes[g[0]], self.codes[g[1]]] = i
+        # what an n-gram adds to each family over "unknown", as far as it adds
+        gain = (model.weights[:, :UNKNOWN] - model.weights[:, [UNKNOWN]]).clip(0)
+        triples = [g for g in model.grams if len(g) == 3]
+        self.triple = np.zeros((len(pairs) + 1, size), np.int16)
+        self.gains = np.zeros((size, UNKNOWN)), np.zeros((len(pairs) + 1, UNKNOWN)), np.zeros((len(triples) + 1, UNKNOWN))
+        for g, row in model.grams.items():
+            if len(g) == 1:
+                self.gains[0][self.codes[g[0]]] = gain[row]
+            elif len(g) == 2:
+                self.gains[1][number[g]] = gain[row]
+        for i, g in enumerate(triples):
+            self.triple[number[g[:2]], self.codes[g[2]]] = i + 1
+            self.gains[2][i + 1] = gain[model.grams[g]]
+        self.margin = model.bias[:UNKNOWN] - model.bias[UNKNOWN]
+        self.templates = [(f, {number[p] for p in zip(t, t[1:], strict=False)}) for f, ts in enumerate(model.templates) for t in ts]
+        self.holds = np.zeros((len(pairs) + 1, len(self.templates)), bool)
+        for j, (_, own) in enumerate(self.templates):
+            self.holds[list(own), j] = True
+        families = np.array([f for f, _ in self.templates])
+        shared_by = np.array([len(set(families[row])) for row in self.holds])
+        self.naming = self.holds & (shared_by <= NAMING)[:, None]
+
+    def coded(self, text: bytes) -> np.ndarray:
+        folded = text.translate(_FOLD_LINES).replace(b"\x01", b" \x01 ")
+        parts, at = [], 0
+        while at < len(folded):
+            end = folded.find(b" ", at + PIECE_BYTES)
+            end = len(folded) if end < 0 else end
+            tokens = folded[at:end].split()
+            parts.append(np.fromiter(map(self.codes.get, tokens, repeat(FOREIGN)), np.int16, len(tokens)))
+            at = end
+        return np.concatenate(parts) if parts else np.zeros(0, np.int16)
+
+    def plain(self, codes: np.ndarray) -> list[bytes]:
+        """Words of codes; words that no template has are told apart by their place."""
+        return [self.words[c] if c != FOREIGN else b"\x00%d" % i for i, c in enumerate(codes.tolist())]
+
+    def claimed(self, codes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, float, float]]:
+        """Windows that the classifier gives to a family: start, end, family, probability, template share."""
+        firsts = np.concatenate([[0], ends + 1])
+        sizes = np.append(ends, len(codes)) - firsts
+        starts, stops = [], []
+        for shorter, length in zip((0, *WINDOWS), WINDOWS, strict=False):
+            own = sizes > shorter
+            first, size, step = firsts[own], sizes[own], length // 2
+            count = 1 + np.ceil((size - length).clip(0) / step).astype(np.int64)
+            nth = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
+            start = np.repeat(first, count) + np.minimum(nth * step, np.repeat((size - length).clip(0), count))
+            starts.append(start)
+            stops.append(np.minimum(start + length, np.repeat(first + size, count)))
+        start, stop = np.concatenate(starts), np.concatenate(stops)
+        order = np.argsort(start, kind="stable")
+        start, stop = start[order], stop[order]
+        edges = np.searchsorted(start, np.arange(0, len(codes) + SEGMENT, SEGMENT))
+        for at, lo, hi in zip(range(0, len(codes), SEGMENT), edges[:-1], edges[1:], strict=False):
+            part = codes[at : at + SEGMENT + LONGEST]
+            pairs = self.pair[part[:-1], part[1:]]
+            gains = self.gains[0][part]
+            gains[:-1] += self.gains[1][pairs]
+            gains[:-2] += self.gains[2][self.triple[pairs[:-1], part[2:]]]
+            sums = np.concatenate([np.zeros((1, UNKNOWN)), np.cumsum(gains, 0)])
+            a, b = start[lo:hi], stop[lo:hi]
+            # a family cannot beat "unknown" by more than its n-grams add, each counted as often as it occurs
+            most = (sums[b - at] - sums[a - at]) / np.sqrt(b - a)[:, None] + self.margin
+            for i in np.flatnonzero((most > -1e-9).any(1)):
+                words = self.plain(codes[a[i] : b[i]])
+                if self.model.known.isdisjoint(words):
+                    continue
+                p = self.model.probabilities(words)
+                family = int(p.argmax())
+                if family != UNKNOWN and p[family] >= LEAST_PROBABILITY:
+                    yield int(a[i]), int(b[i]), family, float(p[family]), max(shared(words, t) for t in self.model.templates[family])
+
+    def matched(self, codes: np.ndarray, ends: np.ndarray) -> Iterator[tuple[int, int, int, float, float]]:
+        """Runs that hold most pairs of a template, as :meth:`claimed`."""
+        pairs = self.pair[codes[:-1], codes[1:]]
+        at = np.flatnonzero(pairs)
+        number = pairs[at]
+        present = np.zeros(len(self.holds), bool)
+        present[number] = True
+        for j in np.flatnonzero(self.naming[present].any(0)):
+            family, own = self.templates[j]
+            least = int(np.ceil(LEAST_SHARED * len(own) - 1e-9))
+            hits = self.holds[number, j]
+            where, what = at[hits], number[hits]
+            near = len(where) >= least and (where[least - 1 :] - where[: len(where) - least + 1]) <= LONGEST - 2
+            if not np.any(near):
+                continue
+            line = np.searchsorted(ends, where)
+            yield from self._runs(family, own, least, self.naming[:, j], where.tolist(), what.tolist(), line.tolist(), codes)
+
+    def _runs(self, family, own, least, naming, where, what, line, codes) -> Iterator[tuple[int, int, int, float, float]]:
+        counts: dict[int, int] = {}
+        left, best = 0, None
+        for right, pair in enumerate(what):
+            counts[pair] = counts.get(pair, 0) + 1
+            while line[left] != line[right] or where[right] - where[left] > LONGEST - 2 or counts[what[left]] > 1:
+                counts[what[left]] -= 1
+                if not counts[what[left]]:
+                    del counts[what[left]]
+                left += 1
+            if best and where[left] >= best[1]:
+                yield self._run(best, family, own, codes)
+                best = None
+            if len(counts) >= least and (best is None or len(counts) > best[2]) and any(naming[p] for p in counts):
+                best = where[left], where[right] + 2, len(counts)
+        if best:
+            yield self._run(best, family, own, codes)
+
+    def _run(self, run, family, own, codes) -> tuple[int, int, int, float, float]:
+        start, stop, count = run
+        return start, stop, family, float(self.model.probabilities(self.plain(codes[start:stop]))[family]), count / len(own)
 
 
 def train(unknown: list[bytes], seed: int = 11) -> Classifier:
@@ -222,18 +354,29 @@ def fit(docs: DataFrame) -> Classifier:
     return train(sorted({r["line"].encode() for r in sample.collect()}))
 
 
-def findings(text: bytes, model: Classifier) -> list[tuple[int, int, int, float, float]]:
+def findings(text: bytes, model: Classifier | Scanner) -> list[tuple[int, int, int, float, float]]:
     """Line numbers (first, last), family, probability and template share of each finding."""
+    scanner = Scanner(model) if isinstance(model, Classifier) else model
+    codes = scanner.coded(text)
+    if not len(codes) or codes.max() <= LINE_END:
+        return []
+    ends = np.flatnonzero(codes == LINE_END)
+    claims = [(False, c[4] >= LEAST_SHARED, c[3], c) for c in scanner.claimed(codes, ends)]
+    ranked = sorted(claims + [(True, m[4], m[1] - m[0], m) for m in scanner.matched(codes, ends)], key=lambda r: r[:3])
+    owner = np.full(len(codes), UNKNOWN, np.int8)
+    for *_, (start, stop, family, _, _) in ranked:
+        owner[start:stop] = family
+    kept = [h for *_, h in ranked if 2 * np.count_nonzero(owner[h[0] : h[1]] == h[2]) > h[1] - h[0]]
     out: list[tuple[int, int, int, float, float]] = []
-    for i, line in enumerate(text.split(b"\n")):
-        found = model.finding(line)
-        if not found:
-            continue
-        if out and out[-1][1] == i - 1 and out[-1][2] == found[0]:
-            first, _, family, p, s = out[-1]
-            out[-1] = (first, i, family, max(p, found[1]), max(s, found[2]))
+    last: dict[int, int] = {}
+    for start, _, family, p, s in sorted(kept):
+        line = int(np.searchsorted(ends, start))
+        found = last.get(family)
+        if found is not None and out[found][1] >= line - 1:
+            out[found] = (out[found][0], line, family, max(out[found][3], p), max(out[found][4], s))
         else:
-            out.append((i, i, *found))
+            last[family] = len(out)
+            out.append((line, line, family, p, s))
     return out
 
 
@@ -243,8 +386,9 @@ def licences(docs: DataFrame, model: Classifier | None = None) -> DataFrame:
     names = np.array(FAMILIES)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scanner = Scanner(model)
         for batch in slices(batches):
-            rows = [(doc, *f) for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True) for f in findings(text, model)]
+            rows = [(doc, *f) for doc, text in zip(batch.column(0).to_pylist(), texts(batch.column(1)), strict=True) for f in findings(text, scanner)]
             columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
             yield pa.record_batch(
                 {

@@ -216,6 +216,33 @@ def test_licences_are_found_and_confirmed(spark):
     assert all(r["first_line"] == r["last_line"] == 1 and r["probability"] > 0.5 for r in rows)
 
 
+@pytest.fixture(scope="module")
+def scanner():
+    rng = random.Random(21)
+    return licences.Scanner(licences.train([cases.prose(rng, 20).encode() for _ in range(300)] + [b"the license of the version and of this work"]))
+
+
+@pytest.mark.parametrize("n", [30, 100, 1000, 10_000, 70_000])
+def test_notices_inside_long_lines_are_found(scanner, n):
+    rng, families = random.Random(n), list(licences.TEMPLATES)
+    for family in families if n < 5000 else families[:4]:
+        for template in licences.TEMPLATES[family]:
+            before = rng.randrange(n)
+            line = f"{cases.prose(rng, before)} {template} {cases.prose(rng, n - before)}"
+            found = licences.findings(f"first line\n{line}\nlast line".encode(), scanner)
+            assert [(a, b, families[f]) for a, b, f, _, s in found if s >= licences.LEAST_SHARED] == [(1, 1, family)], template
+
+
+def test_several_families_on_one_line(scanner):
+    rng, families = random.Random(5), list(licences.TEMPLATES)
+    for gap in (0, 3, 60, 500):
+        line = f"{cases.prose(rng, 40)} All rights reserved. {cases.prose(rng, gap)} Licensed under CC BY-SA 4.0. {cases.prose(rng, gap)} Released under the MIT License."
+        found = licences.findings(line.encode(), scanner)
+        assert {families[f] for *_, f, _, s in found if s >= licences.LEAST_SHARED} == {"reserved", "cc-by-sa", "mit"}
+    apart = f"released under the {cases.prose(rng, 100)} MIT {cases.prose(rng, 100)} license rights reserved\nall"
+    assert not [f for f in licences.findings(apart.encode(), scanner) if f[4] >= licences.LEAST_SHARED]
+
+
 def test_licences_of_awkward_rows(spark):
     model = licences.fit(cases.documents(spark))
     assert licences.licences(cases.documents(spark), model).count() == 0
