@@ -190,6 +190,40 @@ def test_block_bounds_give_the_exact_neighbours(spark):
         assert model.ids[best].tolist() == want and np.allclose(values, sims[want])
 
 
+def test_copies_of_toxic_texts_without_common_toxic_words_are_found(spark):
+    data, known = toxic_rows()
+    rng = random.Random(31)
+    letters = str.maketrans("0123456789", "abcdefghij")  # digits are no terms
+    data = [(i, t.translate(letters), *rest) for i, t, *rest in data]
+    odd = [i for i in range(5000, 5012) if zlib.crc32(str(i).encode()) % 4 != 2][:6]
+    data += [(i, cases.prose(rng, 40).translate(letters), "en", "s") for i in odd]  # labelled toxic, all words in clean texts too
+    known += [(i, 1, 1) for i in odd]
+    copies = {6000 + n: next(t for d, t, *_ in data if d == i) for n, i in enumerate(odd)}
+    data += [(i, t, "en", "s") for i, t in copies.items()]
+    data += [(7000, "nothingshared atall", "en", "s")]
+    rows = {r["doc_id"]: r for r in toxicity.toxicity(cases.documents(spark, data), spark.createDataFrame(known, cases.LABELS)).collect()}
+    for copy, example in zip(copies, odd, strict=True):
+        assert rows[copy]["predicted"] == 1 and rows[copy]["evidence"][0] == example
+    assert rows[7000]["evidence"] == [] and rows[7000]["predicted"] == 0
+    assert all(rows[i]["evidence"] for i in range(900))
+
+
+def test_neighbours_over_all_terms_are_exact(spark):
+    rng = np.random.default_rng(5)
+    at = [np.sort(rng.choice(900, rng.integers(1, 60), replace=False, p=(w := 1 / (1 + np.arange(900))) / w.sum())) for _ in range(1000)]
+    weights = [(w := rng.random(len(a))) / np.sqrt((w**2).sum()) for a in at]
+    lists = toxicity.Lists(np.arange(1000) // 2, at, weights, 900)  # some ids repeat
+    assert 0 < lists.near.shape[0] < 900
+    dense = np.zeros((1000, 900))
+    for i, (a, w) in enumerate(zip(at, weights, strict=True)):
+        dense[i, a] = w
+    found = lists.nearest(list(zip(at, weights, strict=True))[:100], [i // 2 for i in range(100)], 9)
+    for i, (best, values) in enumerate(found):
+        sims = np.where(np.arange(1000) // 2 == i // 2, -1, dense @ dense[i])
+        want = np.sort(sims)[::-1][:9]
+        assert np.allclose(values, want[want > 0]) and np.allclose(sims[best], values)
+
+
 def test_toxicity_of_awkward_rows(spark):
     docs, labels = cases.documents(spark), cases.labels(spark)
     rows = toxicity.toxicity(docs, labels).collect()
