@@ -2,7 +2,7 @@
 
 Examples are at most ``EXAMPLES`` labelled documents, those with the lowest hash of ``doc_id``. Terms are
 lower-cased letter runs, and the vocabulary holds all terms of the examples. Vectors are
-``(1 + log tf) * idf``, normalised.
+``(1 + log tf) * idf``, normalised; document counts are those of all documents, labelled or not.
 
 Examples lie in an inverted index; the at most ``COMMON`` commonest terms are also columns, cut into blocks
 of ``BLOCK`` examples with the greatest weight of each per block. Blocks whose bound stays below the k-th best
@@ -219,6 +219,24 @@ def _term_counts(labelled: DataFrame) -> DataFrame:
     return each.groupBy("term").agg(F.sum("toxic").cast("double").alias("positive"), F.sum(1 - F.col("toxic")).cast("double").alias("negative"))
 
 
+def _document_counts(docs: DataFrame, vocabulary: dict[bytes, int]) -> tuple[np.ndarray, int]:
+    """Documents with each term of the vocabulary, and all documents; a task counts before anything is shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(len(vocabulary) + 1, np.int64)
+        for batch in slices(batches):
+            for text in texts(batch.column(1)):
+                counts[np.unique(known_terms(text, vocabulary))] += 1
+            counts[-1] += batch.num_rows
+        at = np.flatnonzero(counts)
+        yield pa.record_batch({"at": pa.array(at), "n": pa.array(counts[at])})
+
+    found = docs.mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(len(vocabulary) + 1, np.int64)
+    counts[found["at"].to_numpy()] = found["n"].to_numpy()
+    return counts[:-1], int(counts[-1])
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> Examples | None:
     known = labels.where("toxic IS NOT NULL AND doc_id IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")).where(remainder(F.col("doc_id")) != 2)
@@ -237,7 +255,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Examples | None:
     depends = np.flatnonzero((p + n >= LEAST_DOCS) & (chi2 >= LEAST_CHI2))
     chosen = depends[np.argsort(-chi2[depends], kind="stable")[:TERMS]]
     vocabulary = {t: i for i, t in enumerate(counts["term"].to_pylist())}
-    idf = 1 + np.log((1 + total) / (1 + p + n))
+    having, documents = _document_counts(texts_, vocabulary)
+    idf = 1 + np.log((1 + documents) / (1 + having))
     nothing = np.zeros(0, np.int64)
     model = Examples(vocabulary, idf, chosen, positive / total, positive / total, nothing, np.zeros(0), None, None, (np.array([0.0, 1.0]),) * 2)
 

@@ -208,6 +208,15 @@ def test_copies_of_toxic_texts_without_common_toxic_words_are_found(spark):
     assert all(rows[i]["evidence"] for i in range(900))
 
 
+def test_document_counts_cover_all_documents(spark):
+    data, known = toxic_rows(300)
+    data += [(9000 + i, "idiot moron moron", "en", "s") for i in range(500)] + [(None, "trash", "en", "s"), (None, None, "en", "s")]  # without labels
+    model = toxicity.fit(cases.documents(spark, data), spark.createDataFrame(known, cases.LABELS))
+    for term in (b"idiot", b"moron", b"trash", b"w"):
+        having = sum(term in toxicity.terms((t or "").encode()) for _, t, *_ in data)
+        assert np.isclose(model.idf[model.vocabulary[term]], 1 + np.log((1 + len(data)) / (1 + having)))
+
+
 def test_neighbours_over_all_terms_are_exact(spark):
     rng = np.random.default_rng(5)
     at = [np.sort(rng.choice(900, rng.integers(1, 60), replace=False, p=(w := 1 / (1 + np.arange(900))) / w.sum())) for _ in range(1000)]
