@@ -15,7 +15,7 @@ the input, not on what is left.
 
 Order is by ``doc_id``, null last, then start. Defined results: null and empty texts have no words;
 rows that repeat a doc_id count as the same document, so equal starts in them are not earlier; an
-equal row gets an equal result. An empty table gives no rows. Extra columns are ignored. Results do
+equal row gets an equal result, and their anchors and windows are gathered once. An empty table gives no rows. Extra columns are ignored. Results do
 not depend on how the rows are spread over files.
 """
 
@@ -91,7 +91,7 @@ def _pointers(index: DataFrame) -> DataFrame:
     earliest = index.groupBy("anchor").agg(F.min(F.struct("doc", "pos", "tag")).alias("ref"), F.count("*").alias("times"))
     met = index.join(earliest.where("times > 1").select("anchor", "ref"), "anchor")
     place = F.struct("pos", F.col("ref.doc").alias("ref_doc"), F.col("ref.tag").alias("ref_tag"), F.col("ref.pos").alias("ref_pos"))
-    return met.groupBy("doc", "tag").agg(F.collect_list(place).alias("found"))
+    return met.groupBy("doc", "tag").agg(F.collect_set(place).alias("found"))  # repeated rows add nothing
 
 
 def factors(pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -194,7 +194,7 @@ def duplicate_windows(windows: DataFrame) -> DataFrame:
     """``doc, tag, starts``: the windows whose words start earlier too."""
     earliest = windows.groupBy("h1", "h2").agg(F.min(F.struct("doc", "start")).alias("ref"), F.count("*").alias("times")).where("times > 1")
     later = windows.join(earliest, ["h1", "h2"]).where(F.struct("doc", "start") > F.col("ref"))
-    return later.groupBy("doc", "tag").agg(F.collect_list("start").alias("starts"))
+    return later.groupBy("doc", "tag").agg(F.collect_set("start").alias("starts"))
 
 
 def _spans(parsed: DataFrame, windows: DataFrame) -> DataFrame:

@@ -209,6 +209,18 @@ def test_repeats_beyond_the_broadcast_bound_are_the_same(spark, monkeypatch):
     assert substring.without_repeats(cases.empty(spark)).count() == 0
 
 
+def test_repeated_rows_gather_the_anchors_of_one_text(spark):
+    rng = random.Random(17)
+    text = cases.prose(rng, 200, 5000)
+    docs = cases.documents(spark, [(i, t, "en", "s") for i, t in [*[(None, text)] * 80, *[(7, text)] * 80]])
+    index = substring._index(docs).cache()
+    one = index.where("doc = 7").distinct().count()
+    pointers = substring._pointers(index).cache()
+    assert [len(r["found"]) for r in pointers.collect()] == [one, one]
+    windows = substring._open_windows(docs, substring._parsed(pointers).selectExpr("doc", "tag", "met", "binary('') AS factors"))
+    assert [len(r["starts"]) for r in substring.duplicate_windows(windows).collect()] == [200 - substring.WINDOW + 1]
+
+
 # personal data
 
 PATTERNS = {
