@@ -8,7 +8,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lodestrata.llm import bpe, jaccard, licences, mixing, pii, quality_rules, sharding, substring, topk, toxicity
+from lodestrata.llm import (
+    bpe,
+    decontamination,
+    filter_audit,
+    jaccard,
+    licences,
+    mixing,
+    pii,
+    quality_rules,
+    sharding,
+    substring,
+    topk,
+    toxicity,
+    turn_repair,
+)
 from lodestrata.sources.tables import load
 
 
@@ -55,6 +69,18 @@ def quality_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged_documents(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
 
 
+def filter_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.audit(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"))
+
+
+def conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return turn_repair.repaired(turn_repair.damaged(load(spark, sf_dir, "conversations")))
+
+
+def benchmark_leaks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.digests(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op2_ngram_jaccard": ngram_jaccard,
@@ -66,4 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity_knn": toxicity_knn,
     "op9_exact_topk": exact_topk,
     "op10_quality_forest": quality_forest,
+    "op11_filter_audit": filter_orders,
+    "op12_turn_repair": conversation_repair,
+    "op13_decontamination": benchmark_leaks,
 }

@@ -21,11 +21,14 @@ COLUMNS = {
     "op7": "doc_id family",
     "op8": "doc_id held_out score predicted",
     "op9": "query_id rank vec_id score",
+    "op11": "part filter_order step kept removed redundant unique_fails good_lost toxic_lost shapley",
+    "op12": "conv_id gaps blank duplicate truncated illegal cost audit repaired_sha256",
+    "op13": "doc_id n_words n_hit n_items items_sha256 contaminated",
     "op10": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
 }
 
 
-def test_all_ten_and_the_pipeline_are_registered():
+def test_all_operators_and_the_pipeline_are_registered():
     names = entry_point.queries()
     assert sorted(n.split("_")[0] for n in QUERIES) == sorted(COLUMNS)
     assert set(QUERIES) | {"pipeline"} <= set(names) and set(ORACLES) <= set(entry_point.oracle_sql())
