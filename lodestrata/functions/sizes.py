@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -70,8 +71,9 @@ def model_sizes(model: str, folder: str) -> Callable[[Column], Column] | None:
     """Size measure for an embedding model; None stands for the default measure.
 
     The tokenizer file is ``<folder>/<tokenizer name>/tokenizer.json`` on the driver and every executor. A
-    model without an entry, or whose file the driver cannot load, is measured by characters in the
-    whole job; an executor that cannot load it fails its task, so one table never holds two measures.
+    model without an entry, or whose file the driver does not have, is measured by characters in the
+    whole job; a file that exists but cannot be read is an error, on the driver or in an executor's task,
+    so one table never holds two measures.
     """
     if model not in MODEL_TOKENIZERS:
         return None
@@ -83,8 +85,7 @@ def model_sizes(model: str, folder: str) -> Callable[[Column], Column] | None:
         tokenizer = Tokenizer.from_file(path)
         return lambda text: len(tokenizer.encode(text, add_special_tokens=False).ids)
 
-    try:
-        load_tokenizer()
-    except Exception:  # the library raises a bare Exception for a missing or damaged file
+    if not os.path.exists(path):
         return None
+    load_tokenizer()
     return tokenizer_sizes(load_tokenizer)

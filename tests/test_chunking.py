@@ -197,8 +197,12 @@ def test_model_tokenizers(spark, tmp_path):
         return df.select(sizes.model_sizes(model, str(tmp_path))(F.col("t")).alias("n")).first()["n"]
 
     assert measured("bge_large_en_v1_5") == [3, 1]
-    assert measured("gte-large-en-v1.5") == [3, 5]  # no file there: characters div 4
+    # no file there, or no tokenizer known: the default measure
+    assert sizes.model_sizes("gte-large-en-v1.5", str(tmp_path)) is None
     assert sizes.model_sizes("text-embedding-ada-002", str(tmp_path)) is None
+    (home / "tokenizer.json").write_text("{damaged")
+    with pytest.raises(Exception, match="expected|key"):
+        sizes.model_sizes("bge-large-en-v1.5", str(tmp_path))
 
 
 def test_section_labels(spark):
