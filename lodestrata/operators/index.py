@@ -5,7 +5,7 @@ was not live), ``update`` or ``delete``. A batch writes only what changed, in a
 repeating it after a failure overwrites that directory and changes nothing else. A row is live unless
 a later batch updates or deletes its key; an index that only grew is read without any join.
 
-Batch numbers come from one sequence for all writers. ``<root>/_claims/writer=<w>/step=<s>`` records which
+Batch numbers come from one sequence for all writers. A file in ``<root>/_claims`` records which
 number a writer's step has, before it writes, so a repeated step finds its own number and no
 writer gets another's. Writers take turns; two at the same moment need a lock outside.
 
@@ -90,20 +90,33 @@ def _found(read) -> object | None:
         return None
 
 
+def listed(spark: SparkSession, folder: str) -> list[str]:
+    """Names in a folder, none if there is no such folder; asked of the file system, without a job."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    files = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return [f.getPath().getName() for f in files.listStatus(path)] if files.exists(path) else []
+
+
 def claim_batch(spark: SparkSession, root: str, writer: str, step: str) -> int:
-    """The batch number of a writer's step: the one it has, or the next free one, recorded first."""
-    claims = _found(lambda: spark.read.schema("batch int, writer string, step string").parquet(f"{root}/_claims"))
-    highest = None
-    if claims is not None:
-        own = (F.col("writer") == writer) & (F.col("step") == str(step))
-        known = claims.agg(F.max(F.when(own, F.col("batch"))).alias("own"), F.max("batch").alias("highest")).first()
-        if known["own"] is not None:
-            return known["own"]
-        highest = known["highest"]
-    last = last_batch(spark, root)
-    batch = 1 + max(-1 if n is None else n for n in (highest, last))
-    claim = spark.createDataFrame([(batch,)], "batch int")
-    claim.write.mode("overwrite").parquet(f"{root}/_claims/writer={writer}/step={step}")
+    """The batch number of a writer's step: the one it has, or the next free one, recorded first.
+
+    A claim is an empty file ``_claims/<batch>.<writer>.<step>``. A writer repeats its last step only, so its older
+    claims are removed as it goes on; there is about one file per writer.
+    """
+    claims = [name.split(".", 2) for name in listed(spark, f"{root}/_claims") if name.count(".") >= 2 and name[0].isdigit()]
+    own = [(int(batch), step_) for batch, writer_, step_ in claims if writer_ == writer]
+    for batch, known in own:
+        if known == step:
+            return batch
+    taken = [int(batch) for batch, _, _ in claims] + [int(n.removeprefix("batch=")) for n in listed(spark, root) if n.startswith("batch=")]
+    batch = 1 + max(taken, default=-1)
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = path(root).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{root}/_claims"))
+    files.create(path(f"{root}/_claims/{batch}.{writer}.{step}"), False).close()  # fails if it stands
+    for old, known in own:
+        if old < max(n for n, _ in own):
+            files.delete(path(f"{root}/_claims/{old}.{writer}.{known}"), False)
     return batch
 
 
@@ -158,7 +171,7 @@ def sync_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embe
     current = current_index(spark, root, before=batch)
     # keys and places are compared without texts; written once, since three branches read it
     changes = materialise(chunk_changes(current, places(chunks).withColumn("chunk_content", F.lit(None).cast("string"))), "changes")
-    _write_changes(changes, chunks, current, embedder, root, batch)
+    _write_changes(changes, _texts(chunks, changes), current, embedder, root, batch)
     return current_index(spark, root)
 
 
@@ -168,22 +181,38 @@ def places(chunks: DataFrame) -> DataFrame:
     return least.select(KEY, *[F.col(f"_place.{c}").alias(c) for c in PLACE])
 
 
-def _write_changes(changes: DataFrame, chunks: DataFrame, current: DataFrame, embedder: Embedder, root: str, batch: int) -> None:
-    """Write ``changes`` (key, change, place) as a batch: texts are fetched for inserted keys only."""
+def _texts(chunks: DataFrame, changes: DataFrame) -> DataFrame:
+    """``chunk_id, chunk_content`` of inserted keys, from the chunk table."""
+    fresh = changes.filter("change = 'insert'").select(KEY)
+    return chunks.select(KEY, "chunk_content").join(fresh, KEY, "left_semi").groupBy(KEY).agg(F.first("chunk_content").alias("chunk_content"))
+
+
+def _write_changes(changes: DataFrame, texts: DataFrame, current: DataFrame, embedder: Embedder, root: str, batch: int) -> None:
+    """Write ``changes`` (a written table of key, change, place) as a batch, with ``texts`` for inserted keys.
+
+    The index is read for texts and vectors of updated keys, and not at all where nothing is updated.
+    """
     changes = changes.drop("chunk_content")
-    fresh = changes.filter("change = 'insert'")
-    texts = chunks.select(KEY, "chunk_content").join(fresh.select(KEY), KEY, "left_semi").groupBy(KEY).agg(F.first("chunk_content").alias("chunk_content"))
-    inserted = embed_index(fresh.join(texts, KEY), embedder)
-    updated = changes.filter("change = 'update'").join(current.select(KEY, "chunk_content", "embedding"), KEY)
+    delta = embed_index(changes.filter("change = 'insert'").join(texts, KEY), embedder)
+    updated = changes.filter("change = 'update'")
+    if not updated.isEmpty():
+        delta = delta.unionByName(updated.join(current.select(KEY, "chunk_content", "embedding"), KEY))
     deleted = changes.filter("change = 'delete'").select(
         "*", F.lit(None).cast("string").alias("chunk_content"), F.lit(None).cast("array<float>").alias("embedding")
     )
-    delta = inserted.unionByName(updated).unionByName(deleted).withColumnRenamed("change", "op")
+    delta = delta.unionByName(deleted).withColumnRenamed("change", "op")
     delta.select(*ROW, "embedding", "op").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "op"
     ).parquet(f"{root}/batch={batch}")
 
 
+def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch: int) -> None:
+    """Write ``changes`` (a written table: key, change, place, text of inserted keys) as change batch ``batch``."""
+    current = current_index(changes.sparkSession, root, before=batch) if batch else None
+    texts = changes.filter("change = 'insert'").select(KEY, "chunk_content")
+    _write_changes(changes, texts, current, embedder, root, batch)
+
+
 def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Embedder, batch: int) -> None:
     """Add the chunks whose id the index does not hold yet, and move a known id to a lower place if it
     has one now; for append-only chunk streams.
@@ -197,7 +226,7 @@ def append_index(spark: SparkSession, root: str, chunks: DataFrame, embedder: Em
     lower = F.struct(*PLACE) < F.col("_known")
     changes = rows.join(known, KEY, "left").withColumn("change", F.when(F.col("_known").isNull(), "insert").when(lower, "update"))
     changes = materialise(changes.filter("change IS NOT NULL").select(KEY, "change", *PLACE), "changes")
-    _write_changes(changes, chunks, current, embedder, root, batch)
+    _write_changes(changes, _texts(chunks, changes), current, embedder, root, batch)
 
 
 def refresh_index(
@@ -212,7 +241,7 @@ def refresh_index(
 
 def last_batch(spark: SparkSession, root: str) -> int | None:
     """Number of the latest batch, None where there is no index."""
-    return _found(lambda: read_log(spark, root).agg(F.max("batch")).first()[0])
+    return max((int(n.removeprefix("batch=")) for n in listed(spark, root) if n.startswith("batch=")), default=None)
 
 
 def compact_index(spark: SparkSession, root: str, target: str) -> DataFrame:

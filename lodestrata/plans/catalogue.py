@@ -26,7 +26,7 @@ from lodestrata.sources import files
 from lodestrata.sources.tables import load, stream
 from lodestrata.sources.workspace import materialise, work_dir
 from lodestrata.streaming import index_sync as index_stream
-from lodestrata.streaming import medallion
+from lodestrata.streaming import history, medallion, versions
 
 OPTIONS = chunking.ChunkOptions(max_size=120, min_size=40)
 WIDER = chunking.ChunkOptions(max_size=160, min_size=40)
@@ -368,6 +368,30 @@ def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(live)
 
 
+def _revised(spark: SparkSession, sf: str) -> list[DataFrame]:
+    """Two versions of the documents: in the second some are new, some are gone, some have another line."""
+    rows = load(spark, sf, "documents").select("doc_id", _document_path().alias("path"), "text")
+    first = rows.where("doc_id % 11 <> 0")
+    edited = F.when(F.col("doc_id") % 5 == 0, F.concat("text", F.lit("\nRevised in this version."))).otherwise(F.col("text"))
+    second = rows.where("doc_id % 7 <> 0").withColumn("text", edited)
+    return [v.select("path", "text", F.md5("text").alias("fingerprint")) for v in (first, second)]
+
+
+def stream_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """Two versions of the documents, one after another, streamed into one index by what changed between them."""
+    root = work_dir(spark, "versions")
+    for snapshot in _revised(spark, sf):
+        versions.record_versions(snapshot, f"{root}/log")
+        seen = versions.version_stream(spark, f"{root}/log", "path string, text string")
+        rendered = seen.withColumn("elements", elements.render_typed(parsers.text_elements(F.coalesce("text", F.lit("")))))
+        changes = versions.chunk_changes(chunking.with_chunks(rendered, "elements", OPTIONS))
+        with versions.keyed_state(spark):
+            medallion.run_available(changes, f"{root}/changes", f"{root}/_checkpoints/changes")
+        gained = versions.occurrence_stream(spark, f"{root}/changes")
+        live = versions.sync_changes(gained, f"{root}/index", _embedder(), f"{root}/_checkpoints/index")
+    return _placed(live)
+
+
 def ingest_files(spark: SparkSession, sf: str) -> DataFrame:
     """Pages written to text files of bounded size, taken in by the binary-file stream, each file once;
     then every line of the landed contents."""
@@ -408,6 +432,23 @@ def history_nested(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def stream_history(spark: SparkSession, sf: str) -> DataFrame:
+    """Conversations that arrive in four parts, by turn; pairs as they become known, with the history so far."""
+    root = work_dir(spark, "history")
+    messages = load(spark, sf, "conversations").withColumn("event_time", F.timestamp_seconds(F.col("turn") + 1_000_000_000))
+    last = messages.agg(F.max("turn")).first()[0] or 0
+    files = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for part in range(4):
+        arrived = messages.where(F.floor(F.col("turn") * 4 / (last + 1)) == part)
+        arrived.repartition(files, "conv_id").write.mode("append").parquet(f"{root}/messages")
+    seen = history.message_stream(spark, f"{root}/messages", "conv_id bigint, turn bigint, role string, text string, event_time timestamp", files)
+    with versions.keyed_state(spark):
+        medallion.run_available(history.stream_pairs(seen, HISTORY_PAIRS), f"{root}/pairs", f"{root}/_checkpoint")
+    pairs = spark.read.schema(history.PAIR_SCHEMA).parquet(f"{root}/pairs")
+    asked = F.array_join(F.transform("history", lambda p: p["question"]), "\n")
+    return pairs.select("conv_id", "turn", "question", "response", asked.alias("asked"))
+
+
 def history_gapped(spark: SparkSession, sf: str) -> DataFrame:
     """Pairs of conversations whose turn numbers were doubled and of which some messages are gone."""
     kept = load(spark, sf, "conversations").filter("(conv_id + turn) % 5 <> 0")
@@ -609,8 +650,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         variant_paths, file_name, expectation_report,
         topk_cosine, ann_recall, embed_chunks, index_snapshot, index_stats, chunk_changes, index_sync,
         rerank_topk, format_hits,
-        stream_chunks, stream_index, ingest_files, layout_stats,
-        history_pairs, history_recent, history_nested, history_gapped, current_question, plain_questions, validate_requests,
+        stream_chunks, stream_index, stream_versions, ingest_files, layout_stats,
+        history_pairs, history_recent, history_nested, history_gapped, stream_history, current_question, plain_questions, validate_requests,
         rag_context, rag_inputs, rag_answers, coerce_response,
         qa_examples, split_full, split_test_mode, judge_score, token_f1, mean_accuracy, eval_grid,
         baseline_gain, champion_challenger, demo_select, leaderboard, leaderboard_summary, run_metrics,

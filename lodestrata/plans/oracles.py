@@ -111,6 +111,11 @@ def hits(name: str, asked: str, k: int) -> str:
   QUALIFY rank <= {k})"""
 
 
+REVISED = f"""WITH revised AS (
+  SELECT * REPLACE (CASE WHEN doc_id % 5 = 0 THEN text || chr(10) || 'Revised in this version.' ELSE text END AS text)
+  FROM documents WHERE doc_id % 7 <> 0),
+{LINES.replace('FROM documents)', 'FROM revised)')}, {fold('chunk', MAX_SIZE)}"""
+
 INDEX = f"{CHUNKS}, {keyed('idx', 'chunk')}, {slots('held', 'idx', 'chunk_id', 'chunk_content')}"
 
 PLACE = "chunk_id, path, chunk_pos, chunk_section, chunk_type"
@@ -326,12 +331,15 @@ FROM asked LEFT JOIN told ON id = conv_id""",
     "stream_chunks": f"""{CHUNKS}
 SELECT path, regexp_extract(path, '[^/]+$') AS file_name, chunk_pos, chunk_id, chunk_section, chunk_type FROM chunk""",
     "stream_index": f"{CHUNKS}, {keyed('idx', 'chunk')} {_placed('idx')}",
+    "stream_versions": f"{REVISED}, {keyed('idx', 'chunk')} {_placed('idx')}",
     "ingest_files": """
 WITH lines AS (SELECT unnest(string_split(html, chr(10))) AS line FROM pages)
 SELECT length(line) AS n_chars, md5(line) AS line_md5 FROM lines WHERE line <> ''""",
     "layout_stats": f"{CHUNKS} SELECT count(*)::BIGINT AS n_rows, 0::BIGINT AS overlaps FROM chunk",
     "history_pairs": f"WITH {PAIRS} SELECT * FROM pairs",
     "history_gapped": f"WITH {PAIRS_OF.format(messages='(SELECT conv_id, 2 * turn AS turn, role, text FROM conversations WHERE (conv_id + turn) % 5 <> 0)')}) SELECT * FROM pairs",
+    "stream_history": f"""WITH {PAIRS_OF.format(messages='conversations')})
+SELECT *, coalesce(lag(question) OVER (PARTITION BY conv_id ORDER BY turn) || chr(10), '') || question AS asked FROM pairs""",
     "history_recent": f"WITH {PAIRS} SELECT * FROM recent",
     "history_nested": f"WITH {PAIRS} SELECT * FROM nested",
     "current_question": f"WITH {QUESTION} SELECT * FROM asked",

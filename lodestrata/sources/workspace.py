@@ -36,16 +36,16 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def discard(df: DataFrame) -> None:
-    """Delete the files of a table that :func:`materialise` wrote, once nothing reads it any more.
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables that :func:`materialise` wrote, once nothing reads them any more.
 
     The shuffle files of finished steps go as well: Spark deletes them when the driver's collector has
     seen that nothing refers to them, which on a large heap would come hours later.
     """
-    spark = df.sparkSession
+    spark = tables[0].sparkSession
     root = f"{shared_folder(spark)}/lodestrata/"
     jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+    for folder in {f.rsplit("/", 1)[0] for df in tables for f in df.inputFiles()}:
         path = jvm.org.apache.hadoop.fs.Path(folder)
         if root.removeprefix("file://").removeprefix("file:") in folder:
             path.getFileSystem(conf).delete(path, True)
