@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from lodestrata.functions import chunking, elements, sizes, text
 from lodestrata.operators import (
     answers,
+    cells,
     dialog,
     embedding,
     evaluation,
@@ -33,6 +34,7 @@ WIDER = chunking.ChunkOptions(max_size=160, min_size=40)
 TOP_K = 5
 TOOL_K = 3
 OVERSAMPLE = 4
+VISITED_AREAS, VISITED_CELLS = 4, 10
 HISTORY_PAIRS = 2
 PAGES_PER_FILE = 500  # keeps the content of one file small
 JUDGE_SHARE = 0.3
@@ -264,16 +266,41 @@ def _vectors(spark: SparkSession, sf: str) -> DataFrame:
 def topk_cosine(spark: SparkSession, sf: str) -> DataFrame:
     """The five nearest other vectors of every vector."""
     vectors = _vectors(spark, sf)
-    return search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True).select(
-        "vec_id", F.col("rank").cast("bigint").alias("rank"), "hit_vec_id", "score"
-    )
+    return _ranked(search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True))
+
+
+def _ranked(hits: DataFrame) -> DataFrame:
+    return hits.select("vec_id", F.col("rank").cast("bigint").alias("rank"), "hit_vec_id", "score")
+
+
+def topk_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """The same search by the plan for tables that are too large to broadcast."""
+    vectors = _vectors(spark, sf)
+    return _ranked(search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True, broadcast_bytes=0))
+
+
+def _kept_cells(spark: SparkSession, sf: str) -> DataFrame:
+    """Nearest neighbours of all vectors in a kept index: pivots from a first part, the rest added later, some removed again."""
+    root = work_dir(spark, "cells")
+    vectors = _vectors(spark, sf).select("vec_id", F.col("vec_id").alias("item"), F.col("embedding").alias("vector"))
+    cells.build_cells(vectors.where("vec_id % 4 <> 0").drop("vec_id"), root)
+    cells.add_vectors(vectors.where("vec_id % 4 = 0").drop("vec_id"), root, 1)
+    cells.remove_vectors(vectors.where("vec_id % 10 = 3").select("item"), root, 2)
+    asked = vectors.select(F.col("vec_id").alias("query"), "vector")
+    found = cells.search_cells(asked, root, TOP_K + 1, VISITED_AREAS, VISITED_CELLS)
+    others = found.where("item <> query").select(F.col("query").alias("vec_id"), F.col("item").alias("hit_vec_id"), "score")
+    return best_per_group(others, ["vec_id"], [F.desc("score"), F.asc("hit_vec_id")], TOP_K)
+
+
+def ann_topk(spark: SparkSession, sf: str) -> DataFrame:
+    return _ranked(_kept_cells(spark, sf))
 
 
 def ann_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """What the kept index finds of the exact hits among the vectors that it holds."""
     vectors = _vectors(spark, sf)
-    exact = search.top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True)
-    found = search.approximate_top_k(vectors, vectors, TOP_K, "vec_id", "vec_id", skip_self=True)
-    return search.recall(found, exact, "vec_id", "hit_vec_id")
+    exact = search.top_k(vectors, vectors.where("vec_id % 10 <> 3"), TOP_K, "vec_id", "vec_id", skip_self=True)
+    return search.recall(_kept_cells(spark, sf), exact, "vec_id", "hit_vec_id")
 
 
 def embed_chunks(spark: SparkSession, sf: str) -> DataFrame:
@@ -648,7 +675,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         text_elements, html_elements, normalize_elements, element_text, section_breaks, element_sections,
         token_counts, chunks, json_chunks, chunk_ids, chunk_type_stats, atomic_overflow, docs_without_chunks,
         variant_paths, file_name, expectation_report,
-        topk_cosine, ann_recall, embed_chunks, index_snapshot, index_stats, chunk_changes, index_sync,
+        topk_cosine, topk_cells, ann_topk, ann_recall, embed_chunks, index_snapshot, index_stats, chunk_changes, index_sync,
         rerank_topk, format_hits,
         stream_chunks, stream_index, stream_versions, ingest_files, layout_stats,
         history_pairs, history_recent, history_nested, history_gapped, stream_history, current_question, plain_questions, validate_requests,

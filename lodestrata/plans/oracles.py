@@ -116,6 +116,37 @@ REVISED = f"""WITH revised AS (
   FROM documents WHERE doc_id % 7 <> 0),
 {LINES.replace('FROM documents)', 'FROM revised)')}, {fold('chunk', MAX_SIZE)}"""
 
+EXACT = """v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+s AS (SELECT a.vec_id, b.vec_id AS hit_vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id)"""
+
+
+NEAREST = """
+SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, hit_vec_id)::BIGINT AS rank, hit_vec_id, score
+FROM s QUALIFY rank <= 5"""
+
+
+def kept_cells(areas: int, cells: int) -> str:
+    """CTE ``found``: the best five of the cells that each vector visits."""
+    near = "row_number() OVER (PARTITION BY {} ORDER BY list_cosine_similarity({}) DESC, {})"
+    return f"""{EXACT},
+p AS (  -- pivots, from three quarters of the vectors; the first of them are areas
+  SELECT e, row_number() OVER (ORDER BY md5(vec_id::VARCHAR), vec_id) - 1 AS num, ceil(sqrt(count(*) OVER ())) AS n
+  FROM v WHERE vec_id % 4 <> 0 QUALIFY num < n),
+a AS (SELECT num AS area, e FROM p WHERE num < ceil(sqrt(n))),
+c AS (SELECT p.num AS cell, p.e, a.area FROM p, a QUALIFY {near.format('p.num', 'p.e, a.e', 'a.area')} = 1),
+used AS (SELECT * FROM a WHERE area IN (SELECT area FROM c)),
+of_area AS (SELECT v.vec_id, v.e, used.area FROM v, used QUALIFY {near.format('v.vec_id', 'v.e, used.e', 'used.area')} = 1),
+of_cell AS (
+  SELECT o.vec_id, c.cell FROM of_area o JOIN c ON c.area = o.area WHERE o.vec_id % 10 <> 3
+  QUALIFY {near.format('o.vec_id', 'o.e, c.e', 'c.cell')} = 1),
+near_area AS (SELECT v.vec_id, v.e, used.area FROM v, used QUALIFY {near.format('v.vec_id', 'v.e, used.e', 'used.area')} <= {areas}),
+visit AS (
+  SELECT o.vec_id, c.cell FROM near_area o JOIN c ON c.area = o.area QUALIFY {near.format('o.vec_id', 'o.e, c.e', 'c.cell')} <= {cells}),
+found AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.vec_id ORDER BY score DESC, hit_vec_id) AS rank
+  FROM s JOIN of_cell h ON h.vec_id = s.hit_vec_id JOIN visit q ON q.vec_id = s.vec_id AND q.cell = h.cell QUALIFY rank <= 5)"""
+
+
 INDEX = f"{CHUNKS}, {keyed('idx', 'chunk')}, {slots('held', 'idx', 'chunk_id', 'chunk_content')}"
 
 PLACE = "chunk_id, path, chunk_pos, chunk_section, chunk_type"
@@ -289,11 +320,15 @@ SELECT 'valid_content' AS rule, count(*) FILTER (lang = 'de' AND doc_id % 41 NOT
 UNION ALL SELECT 'valid_path', count(*) FILTER (NOT url LIKE '%/')::BIGINT, count(*) FILTER (url LIKE '%/')::BIGINT FROM pages
 UNION ALL SELECT 'valid_chunk', count(chunk_content)::BIGINT, (count(*) - count(chunk_content))::BIGINT FROM chunk
 UNION ALL SELECT 'valid_chunk_id', count(chunk_id)::BIGINT, (count(*) - count(chunk_id))::BIGINT FROM chunk""",
-    "topk_cosine": """
-WITH v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
-s AS (SELECT a.vec_id, b.vec_id AS hit_vec_id, round(list_cosine_similarity(a.e, b.e), 6) AS score FROM v a JOIN v b ON a.vec_id <> b.vec_id)
-SELECT vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, hit_vec_id)::BIGINT AS rank, hit_vec_id, score
-FROM s QUALIFY rank <= 5""",
+    "topk_cosine": f"WITH {EXACT} {NEAREST}",
+    "topk_cells": f"WITH {EXACT} {NEAREST}",
+    "ann_topk": f"WITH {kept_cells(4, 10)} SELECT vec_id, rank::BIGINT AS rank, hit_vec_id, score FROM found",
+    "ann_recall": f"""WITH {kept_cells(4, 10)},
+best AS (
+  SELECT vec_id, hit_vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, hit_vec_id) AS rank
+  FROM s WHERE hit_vec_id % 10 <> 3 QUALIFY rank <= 5)
+SELECT count(*) AS n_exact, count(f.vec_id) AS n_found, count(f.vec_id) / count(*) AS recall
+FROM best b LEFT JOIN found f ON f.vec_id = b.vec_id AND f.hit_vec_id = b.hit_vec_id""",
     "embed_chunks": f"""{INDEX}
 SELECT i.chunk_id, {DIM}::BIGINT AS dim, count(slot)::BIGINT AS n_filled, coalesce(sum(c), 0)::BIGINT AS n_tokens,
        coalesce(sum(c * slot), 0)::BIGINT AS checksum

@@ -10,7 +10,6 @@ from lodestrata.plans.oracles import ORACLES
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels conversations"
 ).split()
-ROWS_ONLY = {"ann_recall"}
 
 
 @pytest.fixture(scope="module")
@@ -31,7 +30,7 @@ def rows(frame, columns):
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) - set(ORACLES) == ROWS_ONLY and set(ORACLES) <= set(QUERIES)
+    assert set(QUERIES) == set(ORACLES)
     assert entry_point.queries().keys() >= QUERIES.keys()
 
 
@@ -52,7 +51,7 @@ def test_entry(spark):
 
 
 def test_recall_is_high(spark, sf):
-    assert QUERIES["ann_recall"](spark, sf).first()["recall"] > 0.8
+    assert QUERIES["ann_recall"](spark, sf).first()["recall"] >= 0.9
 
 
 def test_no_query_plans_a_cross_join(spark, sf):
