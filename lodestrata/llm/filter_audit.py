@@ -38,7 +38,7 @@ from lodestrata.sources.workspace import discard, materialise
 
 FILTERS = "ABCDE"
 STEP = 8
-LEAF_BYTES = 16 << 20
+LEAF_BYTES = 4 << 20
 HEAVY_PREFIXES = 4096
 PORTION_BYTES = 16 << 20
 _CAPITALS = bytes(range(65, 91))
