@@ -8,9 +8,10 @@ the longest factor. A factor of at least ``WINDOW`` words repeats words that sta
 duplicate span.
 
 A greedy factor may end before a repetition does, and a window across a boundary may repeat a third
-place. So every window that no factor holds and whose anchor occurs elsewhere is checked: it is a
-duplicate if its words (128 bits of hash) start earlier in another window of this kind. The earliest
-occurrence of a window never lies in a factor, so the check is complete. Windows are judged on
+place. So the boundaries are checked. An anchor is open if a window around it may lie outside all factors
+and it is not at its own earliest place, where no window can be a repetition. Windows of open
+anchors, and those at the earliest places of these anchors, are hashed (128 bits): one is a duplicate if its words start earlier in
+another. The earliest occurrence of a window lies in no factor, so it is among them. Windows are judged on
 the input, not on what is left.
 
 Order is by ``doc_id``, null last, then start. Defined results: null and empty texts have no words;
@@ -87,9 +88,9 @@ def _index(docs: DataFrame) -> DataFrame:
 
 
 def _pointers(index: DataFrame) -> DataFrame:
-    """Per document ``found``: the anchors that occur elsewhere too, with their earliest place."""
+    """Per document ``found``: the anchors that occur earlier too, with their earliest place."""
     earliest = index.groupBy("anchor").agg(F.min(F.struct("doc", "pos", "tag")).alias("ref"), F.count("*").alias("times"))
-    met = index.join(earliest.where("times > 1").select("anchor", "ref"), "anchor")
+    met = index.join(earliest.where("times > 1").select("anchor", "ref"), "anchor").where(F.struct("doc", "pos", "tag") != F.col("ref"))
     place = F.struct("pos", F.col("ref.doc").alias("ref_doc"), F.col("ref.tag").alias("ref_tag"), F.col("ref.pos").alias("ref_pos"))
     return met.groupBy("doc", "tag").agg(F.collect_set(place).alias("found"))  # repeated rows add nothing
 
@@ -106,8 +107,18 @@ def factors(pos: np.ndarray, doc: np.ndarray, tag: np.ndarray, at: np.ndarray) -
     return pos[firsts], pos[lasts] + BLOCK
 
 
+def _within(at: np.ndarray, spans: np.ndarray) -> np.ndarray:
+    """Which anchors have all windows around them inside one of the disjoint-start, sorted ``spans``."""
+    if not len(spans):
+        return np.zeros(len(at), bool)
+    first, last = np.maximum(at - GRID + 1, 0), at + WINDOW
+    stops = np.maximum.accumulate(spans[:, 1])
+    before = np.searchsorted(spans[:, 0], first, "right")
+    return (before > 0) & (stops[np.maximum(before, 1) - 1] >= last)
+
+
 def _parsed(found: DataFrame) -> DataFrame:
-    """Per document the anchors met and its factors, as packed integers."""
+    """Per document its factors, packed, and the open anchors with their earliest places."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -115,17 +126,39 @@ def _parsed(found: DataFrame) -> DataFrame:
             ends = lists.offsets.to_numpy()
             flat = lists.flatten()
             pos, doc, tag, at = (flat.field(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(4))
-            met, out = [], []
+            open_, sizes, out = [], [], []
             for i in range(batch.num_rows):
                 part = slice(ends[i] - ends[0], ends[i + 1] - ends[0])
                 earlier = (doc[part] != batch.column(0)[i].as_py()) | (at[part] < pos[part])
-                met.append(packed(np.unique(pos[part])))
                 starts, stops = factors(*(x[part][earlier] for x in (pos, doc, tag, at)))
-                long = stops - starts >= WINDOW
-                out.append(np.column_stack([starts[long], stops[long]]).astype(np.int32).tobytes())
-            yield pa.record_batch({"doc": batch.column(0), "tag": batch.column(1), "met": out_binary(met), "factors": out_binary(out)})
+                held = np.column_stack([starts, stops])[stops - starts >= WINDOW]
+                held = held[np.argsort(held[:, 0], kind="stable")]
+                out.append(held.astype(np.int32).tobytes())
+                left = np.flatnonzero(~_within(pos[part], held)) + part.start
+                open_.append(left)
+                sizes.append(len(left))
+            chosen = flat.take(pa.array(np.concatenate(open_)))
+            offsets = pa.array(np.cumsum([0, *sizes]).astype(np.int32))
+            yield pa.record_batch({"doc": batch.column(0), "tag": batch.column(1), "factors": out_binary(out), "open": pa.ListArray.from_arrays(offsets, chosen)})
+
+    place = "struct<pos:int,ref_doc:long,ref_tag:int,ref_pos:int>"
+    return found.mapInArrow(run, f"doc long, tag int, factors binary, open array<{place}>")
+
+
+def _checked(parsed: DataFrame) -> DataFrame:
+    """``doc, tag, met, factors``: the anchors whose windows are to be hashed, packed, and the document's factors."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            met = [packed(np.array(sorted(at), np.int64)) for at in batch.column(2).to_pylist()]
+            yield pa.record_batch({"doc": batch.column(0), "tag": batch.column(1), "met": out_binary(met)})
 
-    return found.mapInArrow(run, "doc long, tag int, met binary, factors binary")
+    places = parsed.select("doc", "tag", F.explode("open").alias("p"))
+    wanted = places.select("doc", "tag", "p.pos").unionByName(
+        places.select(F.col("p.ref_doc").alias("doc"), F.col("p.ref_tag").alias("tag"), F.col("p.ref_pos").alias("pos")).distinct()
+    )
+    met = wanted.groupBy("doc", "tag").agg(F.collect_set("pos").alias("at")).mapInArrow(run, "doc long, tag int, met binary")
+    return met.join(parsed.select("doc", "tag", "factors"), ["doc", "tag"], "left").withColumn("factors", F.coalesce("factors", F.lit(b"")))
 
 
 def packed(positions: np.ndarray) -> bytes:
@@ -153,8 +186,8 @@ def _add_tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield batch.append_column("tag", pa.array([_tag(t) for t in texts(batch.column(1))], pa.int32()))
 
 
-def _open_windows(docs: DataFrame, parsed: DataFrame) -> DataFrame:
-    """``doc, tag, start, h1, h2`` of the windows outside factors whose anchor occurs elsewhere."""
+def _open_windows(docs: DataFrame, checked: DataFrame) -> DataFrame:
+    """``doc, tag, start, h1, h2`` of the windows outside factors that have one of the anchors."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -186,7 +219,7 @@ def _open_windows(docs: DataFrame, parsed: DataFrame) -> DataFrame:
                     }
                 )
 
-    joined = _with_text(docs, parsed, "length(met) + length(factors)", "inner")
+    joined = _with_text(docs, checked, "length(met) + length(factors)", "inner")
     return joined.select("text", "doc", "tag", "met", "factors").mapInArrow(run, "doc long, tag int, start int, h1 long, h2 long")
 
 
@@ -248,8 +281,11 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     index = materialise(_index(docs), "anchors")
     parsed = materialise(_parsed(_pointers(index)), "parsed")
     discard(index)
-    windows = materialise(_open_windows(docs, parsed), "windows")
+    checked = materialise(_checked(parsed), "checked")
+    windows = materialise(_open_windows(docs, checked), "windows")
+    discard(checked)
     removed = materialise(_spans(parsed, duplicate_windows(windows)), "removed")
     discard(windows)
+    discard(parsed)
     found = _with_text(docs, removed, "length(spans)", "left")
     return found.select("doc_id", "text", "spans").mapInArrow(_kept, "doc_id long, n_words long, n_removed long, kept string")
