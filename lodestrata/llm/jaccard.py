@@ -11,7 +11,8 @@ exactly, without listing all pairs of a group of near copies:
 3. *Block-skip lists.* The rarest tokens of each set (a prefix that any linked set must meet, in an order
    by a frequency sketch, then hash) are the entries of inverted lists. Blocks of a leader's entries
    meet a node of a later leader only where sizes and positions leave room for the required overlap and
-   the components found so far differ. The leader is compared with the node on the full sets, and its
+   the components found so far differ. Token counts by hash bucket bound the overlap of leader and node from above, which
+   rules most pairs out that share boilerplate only. What is left is compared on the full sets, and the
    members' overlaps follow from what they lack and add.
 
 Every link between different components is found, so components are exact (up to 64-bit hash collisions).
@@ -39,6 +40,9 @@ from lodestrata.llm.words import WordHashes, long_array, mixed, running, slices,
 from lodestrata.sources.workspace import discard, materialise
 
 SKETCH_BITS = 18
+SKETCH_PARTS = 16
+SEEN_SETS = 100_000
+PROFILE_BUCKETS = 128
 BANDS = 6
 BAND_ROWS = 2
 
@@ -65,13 +69,18 @@ class Similarity:
         return small * self.per >= large * self.share
 
 
-def shingles(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct shingle hashes of a text."""
+def runs(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
+    """Shingle hashes of a text in order; that of all words if it has fewer."""
     words = text.lower().split()
     if not words:
         return np.zeros(0, np.uint64)
     own = hashes.of(words)
-    return np.unique(windows(own, n)) if len(words) >= n else spans(running(own), np.zeros(1, np.int64), len(words))
+    return windows(own, n) if len(words) >= n else spans(running(own), np.zeros(1, np.int64), len(words))
+
+
+def shingles(text: bytes, n: int, hashes: WordHashes) -> np.ndarray:
+    """Sorted distinct shingle hashes of a text."""
+    return np.unique(runs(text, n, hashes))
 
 
 def _own(docs: DataFrame) -> DataFrame:
@@ -79,21 +88,33 @@ def _own(docs: DataFrame) -> DataFrame:
 
 
 def frequency_sketch(docs: DataFrame, n: int) -> np.ndarray:
-    """Documents per hash bucket of shingles; ``2 ** SKETCH_BITS`` numbers whatever the corpus."""
+    """Shingles per hash bucket; ``2 ** SKETCH_BITS`` numbers whatever the corpus.
+
+    A task sends its counts as ``SKETCH_PARTS`` packed arrays, and the arrays of a part are added one by one.
+    """
+    width = (1 << SKETCH_BITS) // SKETCH_PARTS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, counts = WordHashes(), np.zeros(1 << SKETCH_BITS, np.int64)
         for batch in slices(batches):
-            for text in texts(batch.column(1)):
-                buckets = (shingles(text, n, hashes) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)
-                np.add.at(counts, buckets, 1)
-        used = np.flatnonzero(counts)
-        yield pa.record_batch({"bucket": pa.array(used.astype(np.int32)), "docs": pa.array(counts[used])})
-
-    rows = _own(docs).mapInArrow(run, "bucket int, docs long").groupBy("bucket").agg(F.sum("docs").alias("docs")).toArrow()
-    sketch = np.zeros(1 << SKETCH_BITS, np.int64)
-    sketch[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
-    return sketch
+            found = [runs(text, n, hashes) for text in texts(batch.column(0))]
+            counts += np.bincount((np.concatenate(found) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64), minlength=len(counts))
+        packed = [x.tobytes() for x in counts.reshape(SKETCH_PARTS, width)]
+        yield pa.record_batch({"part": pa.array(range(SKETCH_PARTS), pa.int32()), "counts": pa.array(packed, pa.binary())})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, counts in zip(*(c.to_pylist() for c in batch.columns)):
+                sums[part] = sums.get(part, 0) + np.frombuffer(counts, np.int64)
+        yield pa.record_batch({"part": pa.array(list(sums), pa.int32()), "counts": pa.array([x.tobytes() for x in sums.values()], pa.binary())})
+
+    shape = "part int, counts binary"
+    rows = docs.select("text").mapInArrow(run, shape).repartition(SKETCH_PARTS, "part").mapInArrow(add, shape).collect()
+    sketch = np.zeros((SKETCH_PARTS, width), np.int64)
+    for row in rows:
+        sketch[row["part"]] = np.frombuffer(bytes(row["counts"]), np.int64)
+    return sketch.ravel()
 
 
 _FACTORS = mixed(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)  # odd: bijections
@@ -109,21 +130,34 @@ def _signature(tokens: np.ndarray) -> np.ndarray:
     return mixed(keys ^ np.arange(BANDS, dtype=np.uint64))
 
 
+def profile(tokens: np.ndarray) -> bytes:
+    """Tokens per hash bucket, as bytes where they fit and as 32-bit integers elsewhere."""
+    counts = np.bincount((tokens & np.uint64(PROFILE_BUCKETS - 1)).astype(np.int64), minlength=PROFILE_BUCKETS)
+    return counts.astype(np.uint8 if counts.max() < 256 else np.int32).tobytes()
+
+
+def most_common(a: bytes, b: bytes) -> int:
+    """The most tokens that two sets of these profiles can have in common."""
+    x, y = (np.frombuffer(p, np.uint8 if len(p) == PROFILE_BUCKETS else np.int32).astype(np.int64) for p in (a, b))
+    return int(np.minimum(x, y).sum())
+
+
 def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
-    """``doc_id, text_md5, n, set_id, bands, prefix`` per document; the prefix holds its rarest tokens first."""
+    """``doc_id, text_md5, n, set_id, bands, profile, prefix`` per document, as a written table; the prefix holds its rarest tokens first."""
     session = docs.sparkSession.sparkContext
     sketch = session.broadcast(frequency_sketch(docs, like.words))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in slices(batches):
-            sizes, ids, bands, prefixes = [], [], [], []
+            sizes, ids, bands, profiles, prefixes = [], [], [], [], []
             for text in texts(batch.column(1)):
                 tokens = shingles(text, like.words, hashes)
                 n = len(tokens)
                 sizes.append(n)
                 ids.append(xxhash.xxh3_128_digest(tokens.tobytes()))
                 bands.append(_signature(tokens) if n else np.zeros(0, np.uint64))
+                profiles.append(profile(tokens))
                 often = sketch.value[(tokens >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
                 prefixes.append(tokens[np.lexsort((tokens, often))[: like.prefix(n)]] if n else tokens)
             yield pa.record_batch(
@@ -133,12 +167,16 @@ def signatures(docs: DataFrame, like: Similarity) -> DataFrame:
                     "n": pa.array(sizes, pa.int64()),
                     "set_id": pa.array(ids, pa.binary()),
                     "bands": long_array(bands),
+                    "profile": pa.array(profiles, pa.binary()),
                     "prefix": long_array(prefixes),
                 }
             )
 
     own = _own(docs).withColumn("text_md5", F.md5("text"))
-    return own.mapInArrow(run, "doc_id long, text_md5 string, n long, set_id binary, bands array<long>, prefix array<long>")
+    shape = "doc_id long, text_md5 string, n long, set_id binary, bands array<long>, profile binary, prefix array<long>"
+    out = materialise(own.mapInArrow(run, shape), "signatures")
+    sketch.destroy()
+    return out
 
 
 def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -> DataFrame:
@@ -146,16 +184,17 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -
     needed = materialise(nodes.select("node", "set_id", "label", "n").join(ids.select("node").distinct(), "node", "left_semi"), "needed")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
+        hashes, seen = WordHashes(), set()  # what a task has sent lately, so repeated rows are sent once
         for batch in slices(batches):
-            sets = [shingles(t, like.words, hashes) for t in texts(batch.column(1))]
-            found = [xxhash.xxh3_128_digest(s.tobytes()) for s in sets]
-            yield pa.record_batch({"set_id": pa.array(found, pa.binary()), "tokens": long_array(sets)})
+            sets = {xxhash.xxh3_128_digest(s.tobytes()): s for s in (shingles(t, like.words, hashes) for t in texts(batch.column(1)))}
+            sets = {i: s for i, s in sets.items() if i not in seen}
+            seen = set(sets) if len(seen) > SEEN_SETS else seen | set(sets)
+            yield pa.record_batch({"set_id": pa.array(list(sets), pa.binary()), "tokens": long_array(list(sets.values()))})
 
     wanted = _own(docs).where("text IS NOT NULL")
     wanted = joined(wanted, needed.select("label"), wanted["doc_id"].eqNullSafe(F.col("label")), "left_semi", 16)
     sets = wanted.mapInArrow(run, "set_id binary, tokens array<long>")
-    return joined(sets, needed.drop("label"), "set_id", "inner", 48).select("node", "n", "tokens")
+    return joined(sets, needed.drop("label"), "set_id", "inner", 48).select("node", "n", "tokens").dropDuplicates(["node"])
 
 
 def _heads(nodes: DataFrame) -> DataFrame:
@@ -249,33 +288,49 @@ def _merged(found: DataFrame, links: DataFrame) -> DataFrame:
 
 
 def _changed_links(members: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
-    """Links of one leader's members that need common changes: tokens that both lack or both add.
+    """Components after links of one leader's members that need common changes: tokens that both lack or both add.
 
     The overlap of two members is ``shared + shared - size`` of the centre plus their common changes, so a pair with a
-    negative sum of ``spare`` must meet in the rarest of its changes. Only such pairs of different
-    components are compared, and only their changes.
+    negative sum of ``spare`` must meet in the rarest of its changes. Each list of a change is first compared with
+    one member only, three times with another one (the nearest to the centre, the farthest, any), which joins groups of near copies in
+    linear time. Then the pairs of different components that are left are compared, on their changes only.
     """
     unit = 2 * (like.per + like.share)
     best = members.groupBy("leader").agg(F.max("spare").alias("most"))
-    own = members.join(best, "leader").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    own = own.withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("spare") + F.col("most")) / unit)))
-    own = materialise(own.where(F.size("changes") >= F.col("least")).select("leader", "node", "n", "size", "shared", "spare", "component", "changes", "least"), "changed")
+    own = members.join(best, "leader").withColumn("least", F.greatest(F.lit(1), F.ceil(-(F.col("spare") + F.col("most")) / unit)))
+    own = materialise(own.where(F.size("changes") >= F.col("least")).select("leader", "node", "n", "size", "shared", "spare", "changes", "least"), "changed")
     each = own.select("leader", "node", "least", F.explode("changes").alias("change"))
     often = each.groupBy("leader", "change").agg(F.count("*").alias("times")).where("times > 1")
     # changes of one node alone come first in its order and meet nobody, so they only shorten the prefix
     ranked = each.join(often, ["leader", "change"]).groupBy("leader", "node", "least").agg(F.sort_array(F.collect_list(F.struct("times", "change"))).alias("met"))
     prefix = F.expr("slice(met, 1, cast(greatest(size(met) - least + 1, 0) as int))")
     entries = ranked.select("leader", "node", F.explode(prefix).alias("_c")).select("leader", "node", F.col("_c.change").alias("change"))
-    entries = materialise(entries.join(own.select("node", "spare", "component"), "node"), "changes")
-    a = entries.select("leader", "change", *(F.col(c).alias(f"{c}_a") for c in ("node", "spare", "component")))
-    b = entries.select("leader", "change", *(F.col(c).alias(f"{c}_b") for c in ("node", "spare", "component")))
-    met = a.join(b, ["leader", "change"]).where("node_a < node_b AND component_a <> component_b AND spare_a + spare_b < 0")
-    pairs = met.select("node_a", "node_b").distinct()
+    entries = materialise(entries.join(own.select("node", "spare"), "node"), "changes")
     left = own.select(F.col("node").alias("node_a"), F.col("n").alias("na"), F.col("shared").alias("sa"), "size", F.col("changes").alias("ca"))
     right = own.select(F.col("node").alias("node_b"), F.col("n").alias("nb"), F.col("shared").alias("sb"), F.col("changes").alias("cb"))
-    both = pairs.join(left, "node_a").join(right, "node_b")
-    overlap = F.col("sa") + F.col("sb") - F.col("size") + F.size(F.array_intersect("ca", "cb"))
-    return both.where(like.linked(overlap, F.col("na") + F.col("nb"))).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    def links(met: DataFrame) -> DataFrame:
+        ends = [F.least("node_a", "node_b").alias("node_a"), F.greatest("node_a", "node_b").alias("node_b")]
+        both = met.select(*ends).distinct().join(left, "node_a").join(right, "node_b")
+        overlap = F.col("sa") + F.col("sb") - F.col("size") + F.size(F.array_intersect("ca", "cb"))
+        return both.where(like.linked(overlap, F.col("na") + F.col("nb"))).select(F.col("node_a").alias("a"), F.col("node_b").alias("b"))
+
+    def placed() -> DataFrame:
+        return entries.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+
+    for order in (F.col("spare"), -F.col("spare"), F.xxhash64("node")):
+        stars = placed().groupBy("leader", "change").agg(
+            F.max(F.struct(order.alias("order"), "node", "spare", "component")).alias("star"), F.min("component").alias("least_of"), F.max("component").alias("most_of")
+        )
+        stars = materialise(stars.where("least_of < most_of").select("leader", "change", "star"), "stars")
+        met = placed().join(stars, ["leader", "change"]).where("component <> star.component AND spare + star.spare < 0")
+        found = _merged(found, links(met.select(F.col("node").alias("node_a"), F.col("star.node").alias("node_b"))))
+        discard(stars)
+    a, b = (placed().select("leader", "change", *(F.col(c).alias(f"{c}_{x}") for c in ("node", "spare", "component"))) for x in "ab")
+    met = a.join(b, ["leader", "change"]).where("node_a < node_b AND component_a <> component_b AND spare_a + spare_b < 0")
+    found = _merged(found, links(met))
+    discard(own, entries)
+    return found
 
 
 def _listed(nodes: DataFrame, members: DataFrame, found: DataFrame, like: Similarity) -> DataFrame:
@@ -285,13 +340,14 @@ def _listed(nodes: DataFrame, members: DataFrame, found: DataFrame, like: Simila
     with their sizes and the most room that a position leaves; a block meets a node only where size
     and position allow the overlap, so whole blocks of a list are skipped.
     """
-    entries = nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token"))
-    several = entries.groupBy("token").agg(F.count("*").alias("entries")).where("entries > 1").select("token")
-    entries = entries.join(several, "token").withColumn("room", F.col("n") - F.col("pos")).drop("pos")
-    groups = members.select("node", "leader").join(found, "node", "full")
-    entries = entries.join(groups, "node", "left")
+    tokens = nodes.select(F.explode("prefix").alias("token")).groupBy("token").agg(F.count("*").alias("entries"))
+    several = materialise(tokens.where("entries > 1").select("token"), "several")
+    groups = materialise(members.select("node", "leader").join(found, "node", "full"), "groups")
+    entries = joined(nodes.select("node", "n", F.posexplode("prefix").alias("pos", "token")), several, "token", "left_semi", 16)
+    entries = joined(entries.withColumn("room", F.col("n") - F.col("pos")).drop("pos"), groups, "node", "left", 32)
     entries = entries.withColumn("leader", F.coalesce("leader", "node")).withColumn("component", F.coalesce("component", "node"))
     entries = materialise(entries, "entries")
+    discard(several, groups)
     blocks = entries.groupBy("token", "leader", "component").agg(F.min("n").alias("least"), F.max("n").alias("most"), F.max("room").alias("space"))
     a = blocks.withColumnsRenamed({"leader": "first", "component": "group"})
     met = a.join(entries, "token").where(
@@ -306,6 +362,26 @@ def _listed(nodes: DataFrame, members: DataFrame, found: DataFrame, like: Simila
     return out
 
 
+def _possible(listed: DataFrame, nodes: DataFrame, members: DataFrame, like: Similarity) -> DataFrame:
+    """The ``listed`` pairs of which some member of the leader may have the overlap that a link with the node needs: at most
+    what the profiles of leader and node leave possible, and what the member adds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            common = [most_common(a, b) for a, b in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist())]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:4], pa.array(common, pa.int64())], ["leader", "node", "sizes", "adds", "common"])
+
+    groups = members.groupBy("leader").agg(F.min("n").alias("least"), F.max(F.size("adds")).cast("long").alias("adds"))
+    own = nodes.select("node", "n", "profile")
+    pairs = listed.join(groups, "leader", "left").join(own, "node")
+    lead = own.select(F.col("node").alias("leader"), F.col("n").alias("size"), F.col("profile").alias("_profile"))
+    pairs = pairs.join(lead, "leader").select(
+        "leader", "node", (F.coalesce("least", "size") + F.col("n")).alias("sizes"), F.coalesce("adds", F.lit(0)).alias("adds"), "profile", "_profile"
+    )
+    bounded = pairs.mapInArrow(run, "leader long, node long, sizes long, adds long, common long")
+    return materialise(bounded.where(F.col("common") + F.col("adds") >= like.needed(F.col("sizes"))).select("leader", "node"), "possible")
+
+
 def _outer_links(docs: DataFrame, nodes: DataFrame, members: DataFrame, found: DataFrame, listed: DataFrame, like: Similarity) -> DataFrame:
     """Links between members of different leaders, derived from the overlap of a leader and a node: a member
     has what its leader has in common with the node, less what it lacks and more what it adds of the node."""
@@ -337,9 +413,9 @@ def jaccard_components(docs: DataFrame, like: Similarity = Similarity()) -> Data
 
 def _grouped(docs: DataFrame, like: Similarity) -> DataFrame:
     """``doc_id, text_md5, n_shingles, component, component_id``; ``component`` is null for empty sets."""
-    full = materialise(signatures(docs, like), "signatures")
+    full = signatures(docs, like)
     nodes = full.where("n > 0").groupBy("set_id").agg(
-        F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("prefix").alias("prefix")
+        F.min("doc_id").alias("label"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("profile").alias("profile"), F.first("prefix").alias("prefix")
     )
     nodes = materialise(nodes.withColumn("node", F.monotonically_increasing_id()), "nodes")
     signed = materialise(full.select("doc_id", "text_md5", "n", "set_id"), "signed")
@@ -349,13 +425,17 @@ def _grouped(docs: DataFrame, like: Similarity) -> DataFrame:
     members = _members(docs, linkable, like)
     centred = _centred(members, like)
     found = materialise(_plainly_linked(centred), "components")
-    found = _merged(found, _changed_links(centred, found, like))
+    found = _changed_links(centred, found, like)
+    discard(centred)
     listed = _listed(linkable, members, found, like)
+    listed = _possible(listed, linkable, members, like)
     found = _merged(found, _outer_links(docs, nodes, members, found, listed, like))
+    discard(members, listed)
 
     labelled = nodes.select("set_id", "node", "label").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = labelled.groupBy("component").agg(F.min("label").alias("component_id"))
     named = materialise(labelled.join(least, "component").select("set_id", "component", "component_id"), "named")
+    discard(nodes)
     return joined(signed.select("doc_id", "text_md5", "n", "set_id"), named, "set_id", "left", 56).select(
         "doc_id",
         "text_md5",
