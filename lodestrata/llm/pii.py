@@ -2,18 +2,20 @@
 
 The base finds e-mail addresses, IPv4 addresses, payment cards and phone numbers by pattern and check.
 The field labels words by kind from their shapes and neighbours and adds what the patterns miss, such as
-a number whose ``+`` was left out or an address written with ``[at]``; an added span overlaps no base span
-and has a plausible number of digits or parts. Base spans always stay.
+a number whose ``+`` was left out, or an address written with ``[at]``, ``(AT)`` or "at ... dot", in one word or several;
+an added span overlaps no base span and has a plausible number of digits or parts; an address must be one once these words are
+signs again. Base spans always stay.
 
-Words without a digit, ``@``, ``+`` or ``[at]`` can only be labelled "other". They cut the chain, so exact
+Words without a digit, ``@``, ``+``, or "at" and "dot" in brackets, or "dot" alone, can only be labelled "other", unless they
+are next to such a written sign. They cut the chain, so exact
 Viterbi decoding runs over the short stretches between them, many at once as numpy batches.
 
 The labelled table holds stretches of at most ``FIT_DOCS`` documents with such words (those with the lowest
-hash of ``doc_id``), at most ``FIT_STRETCHES`` of them, labelled by the base spans; copies without ``+`` and
-with ``[at]`` are added. Training is gradient ascent on the penalised likelihood by forward-backward sums.
+hash of ``doc_id``), at most ``FIT_STRETCHES`` of them, labelled by the base spans; copies without ``+``,
+with ``00`` in its place and with the written forms of addresses are added, and look-alikes without an address. Training is gradient ascent on the penalised likelihood by forward-backward sums.
 
 Positions count code points, ends are exclusive. Defined results: null and empty texts have no spans;
-equal rows get equal results; without any stretch to learn from, the base decides alone. An empty table
+equal rows get equal results; of added spans, which do not overlap, each word has one label, so there are no ties; without any stretch to learn from, the base decides alone. An empty table
 gives no rows. Extra columns are ignored.
 """
 
@@ -48,8 +50,12 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-_HINT = re.compile(r"[0-9@+]|[\[(]at[\])]")
-_AT = re.compile(r"[\[(]at[\])]")
+_SIGN = r"[\[({](?:at|dot)[\])}]"
+_HINT = re.compile(rf"[0-9@+]|{_SIGN}|(?<![^\x20\x09-\x0D])dot(?![^\x20\x09-\x0D])", re.IGNORECASE)
+_AT = re.compile(rf"{_SIGN}|^dot$", re.IGNORECASE)
+_AROUND = 3  # words before a written sign that belong to its stretch; one behind it does
+_SIGNS = [(re.compile(r"\s*[\[({]\s*at\s*[\])}]\s*|\s+at\s+", re.I), "@"), (re.compile(r"\s*[\[({]\s*dot\s*[\])}]\s*|\s+dot\s+", re.I), ".")]
+_ADDRESS = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
 _GAP = re.compile(r"[\x20\x09-\x0D]*")
 _BLANKS = frozenset("\x20\x09\x0a\x0b\x0c\x0d")
@@ -126,21 +132,54 @@ class Stretch:
 
 def stretches(text: str) -> list[Stretch]:
     places: list[list[tuple[int, int]]] = []
+
+    def add(start: int, end: int) -> None:
+        if places and _GAP.match(text, places[-1][-1][1]).end() == start:
+            places[-1].append((start, end))
+        else:
+            places.append([(start, end)])
+
     hint = _HINT.search(text)
     while hint:
         start = hint.start()
         floor = places[-1][-1][1] if places else 0
-        while start > floor and text[start - 1] not in _BLANKS:
-            start -= 1
+        start = _word_start(text, start, floor)
         end = _WORD.match(text, start).end()
-        if places and _GAP.match(text, floor).end() == start:
-            places[-1].append((start, end))
-        else:
-            places.append([(start, end)])
+        written_ = _AT.search(text[start:end])
+        if written_:
+            earlier = []
+            at = start
+            while len(earlier) < _AROUND:
+                stop = _end_before(text, at, floor)
+                if stop <= floor:
+                    break
+                at = _word_start(text, stop - 1, floor)
+                earlier.append((at, stop))
+            for place in reversed(earlier):
+                add(*place)
+        add(start, end)
+        if written_:
+            behind = _WORD.search(text, end)
+            if behind and not _HINT.search(text, behind.start(), behind.end()):
+                add(*behind.span())
+                end = behind.end()
         hint = _HINT.search(text, end)
     return [Stretch(p, [text[a:b] for a, b in p], _before(text, p[0][0]), _after(text, p[-1][1])) for p in places]
 
 
+def _word_start(text: str, at: int, floor: int) -> int:
+    while at > floor and text[at - 1] not in _BLANKS:
+        at -= 1
+    return at
+
+
+def _end_before(text: str, at: int, floor: int) -> int:
+    """The end of the last word before ``at``."""
+    while at > floor and text[at - 1] in _BLANKS:
+        at -= 1
+    return at
+
+
 def _before(text: str, start: int) -> str:
     words = text[max(0, start - 40) : start].split()
     return words[-1][-16:].lower() if words else ""
@@ -161,9 +200,16 @@ def shape(word: str) -> str:
     return word
 
 
+def _written(word: str) -> str:
+    """Which signs stand in a word in letters."""
+    low = word.lower()
+    signs = re.findall(_SIGN, low)
+    return low if low in ("at", "dot") else "-".join(sorted({x[1:-1] for x in signs}))
+
+
 def features(stretch: Stretch) -> list[list[str]]:
     """Names of the features of each word: its shapes, its digits, and those of its neighbours."""
-    shapes = [shape(w) for w in stretch.words]
+    shapes = [shape(re.sub(_SIGN, lambda m: f"[{m[0][1:-1].lower()}]", w, flags=re.I)) for w in stretch.words]
     core = [s.strip(".,;:!?\"'") for s in shapes]
     out = []
     for i, word in enumerate(stretch.words):
@@ -175,7 +221,8 @@ def features(stretch: Stretch) -> list[list[str]]:
                 f"c={core[i][:40]}",
                 f"d={sum(runs)}",
                 f"r={'-'.join(map(str, runs[:6]))}",
-                f"@={'@' in word or 'at]' in word or 'at)' in word}",
+                f"@={'@' in word}|{_written(word)}",
+                f"@p={_written(stretch.words[i - 1]) if i else ''}|@n={_written(stretch.words[i + 1]) if i + 1 < len(core) else ''}",
                 f"f={word[:1] if not word[:1].isalnum() else shape(word[:1])}",
                 f"p={core[i - 1][:40] if i else stretch.before}",
                 f"n={core[i + 1][:40] if i + 1 < len(core) else stretch.after}",
@@ -305,8 +352,56 @@ def variants(stretch: Stretch, labels: list[int]) -> Iterator[tuple[Stretch, lis
     yield stretch, labels
     if any(LABELS[y] == "B-phone" for y in labels):
         yield Stretch(stretch.places, [w.lstrip("+") or w for w in stretch.words], stretch.before, stretch.after), labels
+        yield from _regrouped(stretch, labels)
+        zero = ["00" + w[1:] if w.startswith("+") else w for w in stretch.words]
+        yield Stretch(stretch.places, zero, stretch.before, stretch.after), labels
     if any(LABELS[y] == "B-email" for y in labels):
-        yield Stretch(stretch.places, [w.replace("@", "[at]") for w in stretch.words], stretch.before, stretch.after), labels
+        for at, dot in ((" at ", " dot "), ("[at]", "."), (" [at] ", "."), ("(AT)", "."), ("{at}", "(dot)"), (" (at) ", " [dot] ")):
+            yield _respelt(stretch, labels, at, dot, True)
+            yield _respelt(_without_digits(stretch), labels, at, dot, True)
+        yield _respelt(stretch, labels, " at ", " dot ", False)
+
+
+def _without_digits(stretch: Stretch) -> Stretch:
+    """Addresses of letters only; the last part of a domain has none."""
+    words = [_ADDRESS.sub(lambda m: re.sub(r"\.?[0-9]+(?=[.@])", "", m[0]), w) for w in stretch.words]
+    return Stretch(stretch.places, words, stretch.before, stretch.after)
+
+
+def _respelt(stretch: Stretch, labels: list[int], at: str, dot: str, keep: bool) -> tuple[Stretch, list[int]]:
+    """Addresses in words, with the signs written as given; without ``keep`` a look-alike: what follows the last sign is gone, and
+    nothing is an address."""
+    words: list[str] = []
+    out: list[int] = []
+    for word, label in zip(stretch.words, labels):
+        found = _ADDRESS.search(word) if LABELS[label] == "B-email" else None
+        if not found:
+            words.append(word)
+            out.append(label if keep or not LABELS[label].endswith("email") else 0)
+            continue
+        local, domain = found.group().split("@", 1)
+        spelt = f"{local}{at}{domain.replace('.', dot)}" if keep else f"{local}{at}{domain.split('.')[0]}"
+        parts = f"{word[: found.start()]}{spelt}{word[found.end() :]}".split()
+        words += parts
+        out += [label, *[label + 1] * (len(parts) - 1)] if keep else [0] * len(parts)
+    return _amid(words, out, stretch)
+
+
+def _amid(words: list[str], labels: list[int], stretch: Stretch) -> tuple[Stretch, list[int]]:
+    """A stretch with the words around it, as written signs take them in."""
+    before, after = ([w] if w else [] for w in (stretch.before, stretch.after))
+    words = [*before, *words, *after]
+    return Stretch([(0, 0)] * len(words), words, "", ""), [*([0] * len(before)), *labels, *([0] * len(after))]
+
+
+def _regrouped(stretch: Stretch, labels: list[int]) -> Iterator[tuple[Stretch, list[int]]]:
+    """A phone number alone in its stretch, in other groups of digits."""
+    kinds = [LABELS[y] for y in labels]
+    if kinds[0] != "B-phone" or set(kinds[1:]) - {"I-phone"}:
+        return
+    digits = only_digits(" ".join(stretch.words))
+    for words in (["00" + digits[:2], digits[2:4], digits[4:]], [f"0{digits[1:4]}", digits[4:]], [f"0{digits[1:4]}", digits[4:7], digits[7:]], ["00" + digits]):
+        yield Stretch([(0, 0)] * len(words), words, stretch.before, stretch.after), [labels[0], *[labels[0] + 1] * (len(words) - 1)]
 
 
 def fit(docs: DataFrame) -> Field | None:
@@ -345,7 +440,9 @@ def fit(docs: DataFrame) -> Field | None:
 def _plausible(kind: str, text: str) -> bool:
     digits = len(only_digits(text))
     if kind == "email":
-        return bool(re.search(r"(@|[\[(]at[\])]).+\.[A-Za-z0-9-]+", text))
+        for pattern, sign in _SIGNS:
+            text = pattern.sub(sign, text)
+        return bool(_ADDRESS.fullmatch(text))
     if kind == "ip":
         parts = _DIGITS.findall(text)
         return len(parts) == 4 and all(len(p) <= 3 and int(p) <= 255 for p in parts)
@@ -389,7 +486,7 @@ def all_spans(texts_: list[str], field: Field | None) -> list[tuple[list[Span],
 
 
 def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
-    """``doc_id, n_email, n_ip, n_card, n_phone`` (base spans), ``base_sha256, spans, n_added`` per row."""
+    """``doc_id, n_email, n_ip, n_card, n_phone`` (base spans), ``base_sha256, spans, n_added, n_spans`` per row."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     field = field or fit(own)
 
@@ -402,10 +499,11 @@ def personal_data(docs: DataFrame, field: Field | None = None) -> DataFrame:
             columns["base_sha256"] = pa.array([hashlib.sha256(written(b).encode()).hexdigest() for b, _ in found], pa.string())
             columns["spans"] = pa.array([written(a) for _, a in found], pa.string())
             columns["n_added"] = pa.array([len(a) - len(b) for b, a in found], pa.int64())
+            columns["n_spans"] = pa.array([len(a) for _, a in found], pa.int64())
             yield pa.record_batch(columns)
 
     counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return own.mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string, n_added long")
+    return own.mapInArrow(run, f"doc_id long, {counts}, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def redact(text: str, spans: list[Span]) -> str:

@@ -3,6 +3,7 @@ import random
 import re
 from collections import defaultdict
 
+import numpy as np
 import pytest
 
 from lodestrata.llm import components, jaccard, mixing, pii, substring
@@ -156,6 +157,19 @@ def test_connected_components(spark):
     assert got == {(x, find(x)) for x in root if x not in alone}
 
 
+def test_profiles_bound_the_overlap():
+    rng = np.random.default_rng(9)
+    for n in (1, 40, 5000, 60_000):
+        a = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: n // 2], rng.integers(0, 1 << 63, n - n // 2).astype(np.uint64)]))
+        bound = jaccard.most_common(jaccard.profile(a), jaccard.profile(b))
+        assert len(np.intersect1d(a, b)) <= bound <= min(len(a), len(b))
+        assert jaccard.most_common(jaccard.profile(a), jaccard.profile(a)) == len(a)
+    a, b = (np.unique(rng.integers(0, 1 << 63, 1000).astype(np.uint64)) for _ in range(2))
+    assert jaccard.most_common(jaccard.profile(a), jaccard.profile(b)) < 850  # a link by 90 % needs 947
+    assert jaccard.profile(np.zeros(0, np.uint64)) == bytes(jaccard.PROFILE_BUCKETS)
+
+
 # substring dedup
 
 
@@ -216,11 +230,22 @@ def test_repeated_rows_gather_the_anchors_of_one_text(spark):
     index = substring._index(docs).cache()
     one = index.where("doc = 7").distinct().count()
     pointers = substring._pointers(index).cache()
-    assert [len(r["found"]) for r in pointers.collect()] == [one, one]
-    windows = substring._open_windows(docs, substring._parsed(pointers).selectExpr("doc", "tag", "met", "binary('') AS factors"))
+    assert [len(r["found"]) for r in pointers.collect()] == [one]  # the earliest places point nowhere
+    checked = substring._checked(pointers.selectExpr("doc", "tag", "binary('') AS factors", "found AS open"))
+    windows = substring._open_windows(docs, checked)
     assert [len(r["starts"]) for r in substring.duplicate_windows(windows).collect()] == [200 - substring.WINDOW + 1]
 
 
+def test_only_boundaries_are_hashed(spark):
+    rng = random.Random(23)
+    shared = cases.prose(rng, 2000, 9000)
+    docs = cases.documents(spark, [(i, f"{cases.prose(rng, 100, 9000)} {shared} {cases.prose(rng, 100, 9000)}", "en", "s") for i in range(4)])
+    parsed = substring._parsed(substring._pointers(substring._index(docs)))
+    windows = substring._open_windows(docs, substring._checked(parsed)).groupBy("doc").count().collect()
+    # in the first document, where all is earliest, only what its copies leave open is hashed
+    assert all(r["count"] < 200 for r in windows) and len(windows) == 4
+
+
 # personal data
 
 PATTERNS = {
@@ -293,6 +318,31 @@ def test_field_keeps_the_base_and_adds_variants(spark):
     assert rows[901]["spans"] == "email:5:33" and rows[902]["spans"] == ""
 
 
+FORMS = [
+    ("write to {} please", "john [at] example.com", "email"), ("mail {} now", "mary.k[AT]mail.example.org", "email"), ("see {} or call", "bob{at}site.example.com", "email"),
+    ("reach {} soon", "ann at example dot com", "email"), ("from {} today", "jo.li(at)some.example.net", "email"), ("ask {} there", "kim (at) example.com", "email"),
+    ("call {} today", "0049 30 1234567", "phone"), ("dial {} please", "001 (640) 555-0953", "phone"), ("ring {} at noon", "0170 4567890", "phone"),
+    ("number {} works", "1 (640) 555-0953", "phone"),
+]
+ALIKE = ["meet [at] noon there", "the dot com years", "look at the dot above", "version 3.1 of 20 items", "the year 2024 and 12 months", "(at) home [dot]", "dot", "at dot at"]
+
+
+def test_field_finds_written_forms_and_leaves_the_like_alone():
+    examples = []
+    for _, text, *_ in personal():
+        text = re.sub(r"\bw(\d+)", lambda m: "w" + "".join(chr(97 + int(c)) for c in m[1]), text)  # words of letters
+        for s in pii.stretches(text):
+            near = [x for x in pii.base_spans(text) if x[1] < s.places[-1][1] and s.places[0][0] < x[2]]
+            examples += pii.variants(pii.Stretch([(0, 0)] * len(s.words), s.words, s.before, s.after), pii.word_labels(s, near))
+    field = pii.train(examples)
+    texts = [frame.format(item) for frame, item, _ in FORMS]
+    found = [[(k, t[a:b]) for k, a, b in spans] for t, (_, spans) in zip(texts, pii.all_spans(texts, field))]
+    hits = sum((kind, item) in spans for spans, (_, item, kind) in zip(found, FORMS))
+    assert hits >= 0.9 * len(FORMS), found
+    assert [spans for _, spans in pii.all_spans(ALIKE, field)] == [[]] * len(ALIKE)
+    assert pii.all_spans(["x " * 500 + "[at] " * 300 + "dot " * 300], field)[0][0] == []
+
+
 def test_viterbi_matches_all_paths():
     import itertools
 
