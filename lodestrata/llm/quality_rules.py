@@ -6,12 +6,12 @@ short paths; the score is ``2 ** (-mean path / expected path)``. A document is k
 base rules and scores below the threshold.
 
 The forest is fitted on at most ``FIT_ROWS`` rows, those with the lowest hash of ``doc_id``. The
-threshold is calibrated on all labelled rows, from counts per score bin: among thresholds that reject
-at most ``CLEAN_LOSS`` of the good rows it is the one that rejects most bad rows; if bad rows are not
-rejected clearly more often than good ones, the forest rejects nothing.
+threshold is calibrated on all labelled rows, from counts per score bin: the lowest one that rejects
+at most ``CLEAN_LOSS`` of the good rows. It stands in every row.
 
-Defined results: null and empty texts have statistics 0 and fail the base rules; without usable labels
-only the base rules decide; repeated rows each get a row. An empty table gives no rows. Extra columns
+Defined results: null and empty texts have statistics 0 and fail the base rules; without good labels
+only the base rules decide (threshold 2); a document with contradicting labels is good; very long texts are read whole;
+repeated rows each get a row. An empty table gives no rows. Extra columns
 are ignored.
 """
 
@@ -33,7 +33,6 @@ FIT_ROWS = 8192
 TREES = 128
 TREE_ROWS = 256
 CLEAN_LOSS = 0.005
-LEAST_LIFT = 4.0
 BINS = 1000
 SYMBOLS = b"#*$%&|<>"
 BLANKS = b" \t\n\r\x0b\x0c"
@@ -170,16 +169,17 @@ def _matrix(batch: pa.RecordBatch, names: tuple[str, ...]) -> np.ndarray:
 
 
 def judge(measured: DataFrame, rules: Rules) -> DataFrame:
-    """``doc_id``, counts, ``base_failed``, ``score`` and ``kept`` per measured row."""
+    """``doc_id``, counts, ``base_failed``, ``score``, ``threshold`` (above 1: nothing is rejected by it) and ``kept`` per
+    measured row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             failed, scores = base_failed(_matrix(batch, COUNTS)), rules.scores(_matrix(batch, FEATURES))
             columns = {n: batch.column(n) for n in ("doc_id", *COUNTS)}
-            columns |= {"base_failed": failed, "score": scores, "kept": ~failed & (scores < rules.threshold)}
+            columns |= {"base_failed": failed, "score": scores, "threshold": np.full(len(scores), float(rules.threshold)), "kept": ~failed & (scores < rules.threshold)}
             yield pa.record_batch({n: c if isinstance(c, pa.Array) else pa.array(c) for n, c in columns.items()})
 
-    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, score double, kept boolean"
+    schema = "doc_id long, " + ", ".join(f"{c} long" for c in COUNTS) + ", base_failed boolean, score double, threshold double, kept boolean"
     return measured.mapInArrow(run, schema)
 
 
@@ -189,20 +189,17 @@ def fit(measured: DataFrame, labels: DataFrame) -> Rules:
     if sample.num_rows < 2:
         return Rules(None, 2.0)
     forest = grow_forest(np.column_stack([sample.column(n).to_numpy() for n in FEATURES]))
-    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("_doc"), (F.col("quality") > 0).alias("good")).distinct()
+    known = labels.where("quality IS NOT NULL").select(F.col("doc_id").cast("long").alias("_doc"), (F.col("quality") > 0).alias("good"))
+    known = known.groupBy("_doc").agg(F.max("good").alias("good"))  # of contradicting labels the good one holds
     scored = judge(measured, Rules(forest, 2.0)).where("NOT base_failed").join(known, F.col("doc_id") == F.col("_doc"))
     bins = scored.groupBy(F.floor(F.col("score") * BINS).cast("int").alias("bin"), "good").count().collect()  # at most 2 rows per bin
     counts = np.zeros((2, BINS + 1), np.int64)
     for row in bins:
         counts[int(row["good"]), row["bin"]] += row["count"]
     above = counts[:, ::-1].cumsum(1)[:, ::-1]  # rows rejected by a threshold at the lower end of each bin
-    bad, good = counts.sum(1)
-    allowed = np.flatnonzero(above[1] <= CLEAN_LOSS * good) if good and bad else np.zeros(0, np.int64)
-    if len(allowed):
-        at = allowed[0]
-        if above[0, at] / bad >= LEAST_LIFT * max(above[1, at] / good, 1 / good):
-            return Rules(forest, at / BINS)
-    return Rules(forest, 2.0)
+    good = counts[1].sum()
+    allowed = np.flatnonzero(above[1] <= CLEAN_LOSS * good) if good else np.zeros(0, np.int64)
+    return Rules(forest, allowed[0] / BINS if len(allowed) else 2.0)
 
 
 def judged_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
