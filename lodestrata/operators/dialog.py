@@ -1,9 +1,8 @@
 """Conversations: history pairs, current question, request checks.
 
-Messages are rows ``conv_id, turn, role, text``; ``turn`` is the place in the message list, from 0
-without gaps (:func:`dense_turns` numbers other tables). Pairs are found by joins on
-``(conv_id, turn)``, not by a window over a conversation, so one conversation that holds much of the
-table spreads over all tasks.
+Messages are rows ``conv_id, turn, role, text``; ``turn`` orders the messages of a conversation and may have gaps
+(:func:`dense_turns` numbers them anew). No window runs over all messages of a conversation, so one
+that holds much of the table spreads over all tasks.
 """
 
 from __future__ import annotations
@@ -51,20 +50,23 @@ def history_pairs(messages: DataFrame, enabled: bool = True) -> DataFrame:
     """``conv_id, turn, question, response``: a non-empty user turn directly followed by a non-empty
     assistant turn, neither of them the last message. ``turn`` is the question's own number.
 
-    Turns may have gaps: messages are numbered first, in slices, so no window spans a conversation. All
-    three inputs are keyed by ``(conv_id, place of the answer)``. That the answer is not the last
-    message means that a message follows it.
+    Turns may have gaps, so "directly followed" means the next message that there is. A conversation is cut into
+    slices of ``TURN_SPAN`` numbers, and a window over a slice sees the next two messages of all rows but its last two; for
+    these a second window runs along the first and last two rows of each slice only. A conversation that holds much of the
+    table is thus spread over tasks. Messages without conv_id or turn are left out.
     """
-    placed = numbered(messages)
-    asked = placed.filter("role = 'user' AND text <> ''").select(
-        "conv_id", (F.col("_place") + 1).alias("at"), "turn", F.col("text").alias("question")
-    )
-    replied = placed.filter("role = 'assistant' AND text <> ''").select(
-        "conv_id", F.col("_place").alias("at"), F.col("text").alias("response")
-    )
-    followed = placed.select("conv_id", (F.col("_place") - 1).alias("at"))
-    pairs = asked.join(replied, ["conv_id", "at"]).join(followed, ["conv_id", "at"], "left_semi")
-    return pairs.filter(F.lit(enabled)).select("conv_id", "turn", "question", "response")
+    placed = messages.select("conv_id", "turn", "role", "text").where("conv_id IS NOT NULL AND turn IS NOT NULL")
+    placed = placed.withColumn("_slice", F.floor(F.col("turn") / TURN_SPAN))
+    inside = W.partitionBy("conv_id", "_slice").orderBy("turn")
+    along = W.partitionBy("conv_id").orderBy("turn")
+    reply = F.struct("role", "text")
+    seen = placed.withColumns({"_reply": F.lead(reply).over(inside), "_after": F.lead("turn", 2).over(inside), "_at": F.row_number().over(inside)})
+    edges = seen.where("_at <= 2 OR _after IS NULL").withColumn("_open", F.col("_after").isNull())
+    edges = edges.withColumns({"_reply": F.lead(reply).over(along), "_after": F.lead("turn", 2).over(along)}).where("_open")
+    columns = ["conv_id", "turn", "role", "text", "_reply", "_after"]
+    both = seen.select(columns).unionByName(edges.select(columns)).where("_after IS NOT NULL")
+    pairs = both.where("role = 'user' AND text <> '' AND _reply.role = 'assistant' AND _reply.text <> ''")
+    return pairs.filter(F.lit(enabled)).select("conv_id", "turn", F.col("text").alias("question"), F.col("_reply.text").alias("response"))
 
 
 def recent_history(pairs: DataFrame, max_pairs: int | None) -> DataFrame:

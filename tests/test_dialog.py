@@ -70,12 +70,30 @@ def test_all_pairs_for_no_bound(spark):
 def test_pairs_plan_has_no_window_over_a_conversation(spark):
     _, df = conversations(spark)
     plan = dialog.history_pairs(df)._jdf.queryExecution().executedPlan().toString()
-    sliced = [line for line in plan.splitlines() if "Window [row_number" in line]
-    assert sliced and all("_slice" in line for line in sliced)  # rows are numbered within slices only
+    tree = plan[: plan.index("Initial Plan")] if "Initial Plan" in plan else plan
+    lines = tree.splitlines()
+    windows = [i for i, line in enumerate(lines) if "Window [" in line]
+    along = [i for i in windows if "_slice" not in lines[i].rsplit("], [", 2)[-2]]
+    assert len(windows) > len(along) > 0
+    for i in along:  # only the first and last two rows of each slice reach a window over a conversation
+        below = "".join(lines[i : min(j for j in windows if j > i)])
+        assert "<= 2) OR isnull(_after" in below
     recent = dialog.recent_history(dialog.history_pairs(df), 2)._jdf.queryExecution().executedPlan().toString()
     assert recent.count("WindowGroupLimit") == 2
 
 
+@pytest.mark.parametrize("span", [1, 2, 3, 1000])
+def test_pairs_do_not_depend_on_slices(spark, monkeypatch, span):
+    rows = [(c, t * (c + 1), ("user", "assistant")[(t + c) % 2] if t % 5 else "system", f"{c}.{t}" if t % 7 else "") for c in range(4) for t in range(23)]
+    df = spark.createDataFrame([*rows, (None, 1, "user", "x"), (1, None, "user", "y")], "conv_id long, turn long, role string, text string")
+    want = []
+    for c in range(4):
+        own = [r for r in rows if r[0] == c]
+        want += [(c, a[1], a[3], b[3]) for a, b, _ in zip(own, own[1:], own[2:]) if a[2] == "user" and b[2] == "assistant" and a[3] and b[3]]
+    monkeypatch.setattr(dialog, "TURN_SPAN", span)
+    assert sorted(tuple(r) for r in dialog.history_pairs(df).collect()) == sorted(want)
+
+
 def test_turns_with_gaps(spark, monkeypatch):
     monkeypatch.setattr(dialog, "TURN_SPAN", 5)
     talks, df = conversations(spark, 4)
