@@ -11,8 +11,13 @@ fold in the row where they stand, once per document. Texts are not shuffled; onl
 their counts. Pieces of over ``LONG_BYTES`` bytes, for which a fold would take quadratic time, are merged by
 a heap over linked parts, which gives the same ids in about linear time.
 
-Text is split at single blanks first and the parts are looked up in a cache, since a blank followed by
-no other white space always starts a piece; other texts are split by the pattern as a whole.
+With the pattern of the vocabulary files texts are cut at blanks first, since a blank followed by no other white space
+always starts a piece. A text with a blank before other white space, and any text under another pattern, is split by the
+pattern as a whole. The texts of a slice of rows are worked on at once: their distinct words are split and looked up, and the
+ids of all words are gathered by array operations.
+
+The dictionary is searched by 64-bit hashes; an entry counts only if its ids decode to the word, so a word that
+shares the hash of another is folded like a rare one.
 
 Defined results: null and empty texts have no tokens and decode to nothing; equal rows get equal results;
 special tokens are ordinary text. An empty table gives no rows. Extra columns are ignored.
@@ -21,17 +26,21 @@ special tokens are ordinary text. An empty table gives no rows. Extra columns ar
 from __future__ import annotations
 
 import base64
+import hashlib
 import heapq
 import json
+import re
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
-from itertools import chain
 
 import numpy as np
+import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import xxhash
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,12 +49,10 @@ from lodestrata.sources.workspace import discard, materialise
 
 DICTIONARY_WORDS = 1 << 21
 LONG_BYTES = 96
-CACHE_PARTS = 300_000
-CACHE_CHARS = 256
-COUNTED_PARTS = 400_000
 TABLE = 16_384
 NONE = (1 << 31) - 1
-_ODD_BLANK = regex.compile(r"[\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
+# letters of the first Unicode blocks, which the pattern of the vocabulary files never splits
+_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+").fullmatch
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -146,41 +153,87 @@ def merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class Splitter:
-    """Texts to parts (a blank and what follows up to the next blank) and parts to pieces."""
+    """Texts to words (at blanks) and words to pieces."""
 
     def __init__(self, pattern: str):
         self.find = regex.compile(pattern).findall
+        self.at_blanks = pattern == public_tokenizers.PATTERN
+
+    def words(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
+        """Where each text's words begin, and the words; all but the first of a text follow a blank. A text that may
+        not be cut is one word."""
+        if not self.at_blanks:
+            return np.arange(len(texts) + 1), texts
+        lists = pc.split_pattern(texts, " ")
+        offsets = lists.offsets.to_numpy()
+        return offsets - offsets[0], lists.flatten()
+
+    def pieces(self, word: str, led: bool) -> list[str]:
+        """The pieces of a word, its blank included."""
+        whole = f" {word}" if led else word
+        return [whole] if self.at_blanks and _LETTERS(word) else self.find(whole)
+
+    @staticmethod
+    def is_glued(word: str) -> bool:
+        """Whether white space follows the blank before a word, so the text may not be cut there."""
+        return not word or word[0].isspace()
+
 
-    def parts(self, text: str) -> list[str]:
-        if "  " in text or any(f"{c} " in text for c in "\t\n\x0b\x0c\r") or (not text.isascii() or any(c in text for c in "\x1c\x1d\x1e\x1f")) and _ODD_BLANK.search(text):
-            return self.find(text)
-        first, *rest = text.split(" ")
-        return [*([first] if first else []), *map(" ".__add__, rest)]
+def texts_of(column: pa.Array) -> pa.Array:
+    """Texts, null as empty."""
+    return pc.fill_null(column.cast(pa.string()), "")
 
 
 def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
-    """``word, times`` of all pieces but long ones; counted per task first."""
+    """``word, times`` of pieces but long ones, as cut at blanks; counted per slice of rows first."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter, seen = Splitter(pattern), Counter()
+        splitter = Splitter(pattern)
+        for batch in slices(batches, 4096):
+            starts, words = splitter.words(texts_of(batch.column(0)))
+            first = np.zeros(len(words), bool)
+            first[starts[:-1]] = True
+            counts: Counter = Counter()
+            for own, led in ((words.filter(pa.array(~first)), True), (words.filter(pa.array(first)), False)):
+                found = pc.value_counts(own)
+                for word, times in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
+                    for piece in splitter.pieces(word, led):
+                        counts[piece] += times
+            short = {w: n for w, n in counts.items() if len(w) <= LONG_BYTES and len(w.encode()) <= LONG_BYTES}
+            yield pa.record_batch({"word": pa.array(list(short), pa.string()), "times": pa.array(list(short.values()), pa.int64())})
 
-        def flush() -> pa.RecordBatch:
-            words: Counter = Counter()
-            for part, times in seen.items():
-                for piece in splitter.find(part):
-                    words[piece] += times
-            seen.clear()
-            short = {w: n for w, n in words.items() if len(w) <= LONG_BYTES and len(w.encode()) <= LONG_BYTES}
-            return pa.record_batch({"word": pa.array(list(short), pa.string()), "times": pa.array(list(short.values()), pa.int64())})
+    return docs.select("text").mapInArrow(run, "word string, times long").groupBy("word").agg(F.sum("times").alias("times"))
 
-        for batch in slices(batches):
-            for text in batch.column(0).to_pylist():
-                seen.update(splitter.parts(text or ""))
-                if len(seen) > COUNTED_PARTS:
-                    yield flush()
-        yield flush()
 
-    return docs.select("text").mapInArrow(run, "word string, times long").groupBy("word").agg(F.sum("times").alias("times"))
+def runs(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The numbers ``start, start + 1, ...`` of every run, one run after another."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+class Tokens:
+    """The vocabulary as arrays: bytes and decimal numbers of ids."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.sizes = np.array(list(map(len, tokens)), np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+        numbers = [f"{i} ".encode() for i in range(len(tokens))]
+        self.digits = np.array(list(map(len, numbers)), np.int64)
+        self.numbers = np.array(numbers, f"S{self.digits.max(initial=1)}").view(np.uint8).reshape(len(tokens), -1)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and how many bytes each has: binary pieces, concatenated."""
+        sizes = self.sizes[ids]
+        return self.bytes[runs(self.starts[ids], sizes)], sizes
+
+    def decimals(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids in decimal digits, a blank behind each, and how many characters each has."""
+        padded = self.numbers[ids].ravel()
+        return padded[padded > 0], self.digits[ids]
 
 
 class Dictionary:
@@ -195,12 +248,21 @@ class Dictionary:
         self.ids = ids[places]
         self.ends = self.ends.astype(np.int32)
 
-    def get(self, word: bytes) -> list[int] | None:
-        key = np.uint64(xxhash.xxh3_64_intdigest(word))
-        at = int(self.hashes.searchsorted(key))
-        if at == len(self.hashes) or self.hashes[at] != key:
-            return None
-        return self.ids[self.ends[at - 1] if at else 0 : self.ends[at]].tolist()
+    def places(self, words: list[bytes], tokens: Tokens) -> tuple[np.ndarray, np.ndarray]:
+        """Where the ids of each word begin in ``ids``, and how many they are; none for a word without entry."""
+        hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+        if not len(self.hashes):
+            return np.zeros(len(words), np.int64), np.zeros(len(words), np.int64)
+        at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
+        starts = np.where(at > 0, self.ends[at - 1], 0).astype(np.int64)
+        sizes = np.where(self.hashes[at] == hashes, self.ends[at] - starts, 0)
+        decoded, lengths = tokens.decode(self.ids[runs(starts, sizes)])
+        of_ids = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
+        data = decoded.tobytes()
+        for i in np.flatnonzero(sizes):
+            if data[of_ids[i] : of_ids[i + 1]] != words[i]:
+                sizes[i] = 0
+        return starts, sizes
 
 
 def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,92 +290,164 @@ def dictionary(docs: DataFrame, pattern: str, table: Column, limit: int) -> Dict
     rows = encoded.toArrow()
     discard(words)
     joined = [np.frombuffer(b"".join(rows.column(n).to_pylist()), t) for n, t in (("hashes", np.uint64), ("sizes", np.uint8), ("ids", np.int32))]
+    del rows
+    pa.default_memory_pool().release_unused()
     return Dictionary(*joined)
 
 
-def encode(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """``doc_id, ids`` per row of ``docs``."""
-    ranks = load_ranks(path)
-    table = rank_table(ranks)
-    session = docs.sparkSession.sparkContext
-    shared = session.broadcast((dictionary(docs, pattern, table, words), ranks))
+class Encoder:
+    """Slices of texts to ids; a rare word has the negative of its place in ``rare``, counted from 1."""
+
+    def __init__(self, known: Dictionary, ranks: dict[bytes, int], pattern: str):
+        self.known, self.ranks, self.tokens, self.splitter = known, ranks, Tokens(ranks), Splitter(pattern)
+
+    def _pool(self, pieces: list[list[str]], rare: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The ids of words given as pieces, one after another, and each word's start and size among them."""
+        flat = [p.encode() for word in pieces for p in word]
+        starts, sizes = self.known.places(flat, self.tokens)
+        own = {}
+        for i in np.flatnonzero(sizes == 0).tolist():
+            if len(flat[i]) > LONG_BYTES:
+                own[i] = np.array(merge_long(flat[i], self.ranks), np.int32)
+            else:
+                rare.append(flat[i].decode())
+                own[i] = np.array([-len(rare)], np.int32)
+        found = self.known.ids[runs(starts, sizes)] if len(self.known.ids) else np.zeros(0, np.int32)
+        filled = sizes.copy()
+        for i, ids in own.items():
+            filled[i] = len(ids)
+        pool = np.empty(filled.sum(), np.int32)
+        is_own = np.repeat(sizes == 0, filled)
+        pool[~is_own] = found
+        if own:
+            pool[is_own] = np.concatenate(list(own.values()))
+        ends = np.concatenate([[0], np.cumsum(filled)])[np.concatenate([[0], np.cumsum(list(map(len, pieces)), dtype=np.int64)])]
+        return pool, ends[:-1], np.diff(ends)
+
+    def encode(self, column: pa.Array) -> tuple[np.ndarray, np.ndarray, list[str]]:
+        """The ids of all texts, one after another, where each text's begin (and the end), and the rare words."""
+        column = texts_of(column)
+        starts, words = self.splitter.words(column)
+        coded = words.dictionary_encode()
+        code = coded.indices.to_numpy().astype(np.int64)
+        names = coded.dictionary.to_pylist()
+        glued = np.fromiter(map(self.splitter.is_glued, names), bool, len(names)) if self.splitter.at_blanks else np.zeros(len(names), bool)
+        firsts = starts[:-1]
+        bare, of_first = np.unique(code[firsts], return_inverse=True)
+        follows = np.ones(len(code), bool)
+        follows[firsts] = False
+        whole = np.add.reduceat((glued[code] & follows).astype(np.int64), firsts) > 0 if len(firsts) else np.zeros(0, bool)
+        rare: list[str] = []
+        pieces = [self.splitter.pieces(w, True) for w in names]
+        pieces += [self.splitter.pieces(names[i], False) for i in bare]
+        at_whole = np.flatnonzero(whole)
+        pieces += [self.splitter.find(column[i].as_py()) for i in at_whole]
+        pool, begin, size = self._pool(pieces, rare)
+        code[firsts] = len(names) + of_first
+        # a text that may not be cut is one word in place of its words
+        keep = np.ones(len(code), bool)
+        for at, i in enumerate(at_whole):
+            code[starts[i]] = len(names) + len(bare) + at
+            keep[starts[i] + 1 : starts[i + 1]] = False
+        sizes = np.where(keep, size[code], 0)
+        ids = pool[runs(begin[code], sizes)]
+        return ids, np.concatenate([[0], np.cumsum(sizes)])[starts], rare
+
+
+def packed_rows(values: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary column from the 32-bit integers of all rows and where each row's begin."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * 4).astype(np.int32)), pa.py_buffer(values.astype(np.int32))])
+
+
+def unpacked_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """All rows' integers and where each row's begin."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1] // 4
+    values = np.frombuffer(column.buffers()[2] or b"", np.int32)[offsets[0] : offsets[-1]]
+    return values, (offsets - offsets[0]).astype(np.int64)
+
+
+def _half_encoded(docs: DataFrame, shared: Broadcast, pattern: str) -> DataFrame:
+    """Per row ``known``, its packed ids with a negative number for each rare word, and those words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, own_ranks = shared.value
-        splitter = Splitter(pattern)
-        rare: list[str] = []  # words without an entry; id -1 is the first
-
-        class Parts(dict):
-            def __missing__(self, part: str) -> tuple[int, ...]:
-                out: list[int] = []
-                for piece in splitter.find(part):
-                    data = piece.encode()
-                    if len(data) > LONG_BYTES:
-                        out += merge_long(data, own_ranks)
-                        continue
-                    ids = known.get(data)
-                    if ids is None:
-                        rare.append(piece)
-                        ids = [-len(rare)]
-                    out += ids
-                if len(part) <= CACHE_CHARS:
-                    self[part] = tuple(out)
-                return tuple(out)
-
-        cache = Parts()
+        encoder = Encoder(*shared.value, pattern)
         for batch in slices(batches):
-            lists, missing = [], []
-            for text in batch.column(1).to_pylist():
-                ids = np.fromiter(chain.from_iterable(map(cache.__getitem__, splitter.parts(text or ""))), np.int32)
-                open_ = np.flatnonzero(ids < 0)
-                if len(open_):
-                    names, which = np.unique(ids[open_], return_inverse=True)
-                    ids[open_] = -1 - which
-                    missing.append([rare[-i - 1] for i in names])
-                else:
-                    missing.append([])
-                lists.append(ids)
-                if len(cache) > CACHE_PARTS:
-                    cache.clear()
-                    rare.clear()
-            ends = np.cumsum([0, *map(len, lists)]).astype(np.int32)
-            values = np.concatenate(lists) if lists else np.zeros(0, np.int32)
-            yield pa.record_batch(
-                {
-                    "doc_id": batch.column(0),
-                    "known": pa.ListArray.from_arrays(pa.array(ends), pa.array(values, pa.int32())),
-                    "rare": pa.array(missing, pa.list_(pa.string())),
-                }
-            )
+            ids, ends, names = encoder.encode(batch.column(1))
+            missing = []
+            for start, stop in zip(ends[:-1], ends[1:]):
+                own = ids[start:stop]
+                open_ = np.flatnonzero(own < 0)
+                words, which = np.unique(own[open_], return_inverse=True)
+                own[open_] = -1 - which
+                missing.append([names[-i - 1] for i in words])
+            yield pa.record_batch([batch.column(0), packed_rows(ids, ends), pa.array(missing, pa.list_(pa.string()))], ["doc_id", "known", "rare"])
+
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, known binary, rare array<string>")
+
+
+def _filled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of all rows and where each row's begin, the folded rare words put in."""
+    ids, ends = unpacked_rows(batch.column(1))
+    open_ = np.flatnonzero(ids < 0)
+    if not len(open_):
+        return ids, ends
+    folded = batch.column(2).to_pylist()
+    rows = np.searchsorted(ends, open_, "right") - 1
+    own = [folded[row][-1 - i] for row, i in zip(rows.tolist(), ids[open_].tolist())]
+    sizes = np.ones(len(ids), np.int64)
+    sizes[open_] = list(map(len, own))
+    out = np.repeat(ids, sizes)
+    out[np.repeat(ids < 0, sizes)] = np.concatenate([np.array(x, np.int32) for x in own])
+    return out, np.concatenate([[0], np.cumsum(sizes)])[ends]
+
+
+def _encoded(docs: DataFrame, path: str, pattern: str, words: int) -> tuple[DataFrame, Broadcast]:
+    """``doc_id, known, folded`` per row: rare words are folded where they stand."""
+    ranks = load_ranks(path)
+    table = rank_table(ranks)
+    shared = docs.sparkSession.sparkContext.broadcast((dictionary(docs, pattern, table, words), ranks))
+    half = _half_encoded(docs, shared, pattern)
+    return half.select("doc_id", "known", F.transform("rare", lambda w: fold(w, table)).alias("folded")), shared
 
-    own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    half = own.mapInArrow(run, "doc_id long, known array<int>, rare array<string>")
-    filled = bound(
-        F.transform("rare", lambda w: fold(w, table)),
-        lambda folded: F.flatten(F.transform("known", lambda i: F.when(i < 0, F.get(folded, -1 - i)).otherwise(F.array(i)))),
-    )
-    return half.select("doc_id", F.when(F.size("rare") == 0, F.col("known")).otherwise(filled).alias("ids"))
 
+def round_trip(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
+    """``doc_id, ids, decoded`` per row of ``docs``."""
+    encoded, shared = _encoded(docs, path, pattern, words)
 
-def decode(ids: Column, ranks: dict[bytes, int]) -> Column:
-    """The bytes of token ids: binary pieces of a literal table, concatenated."""
-    tokens = [""] * (max(ranks.values()) + 1)
-    for token, rank in ranks.items():
-        tokens[rank] = token.hex().upper()
-    table = F.split(F.lit(",".join(tokens)), ",")
-    return F.unhex(F.array_join(bound(table, lambda t: F.transform(ids, lambda i: F.get(t, i))), ""))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens(shared.value[1])
+        for batch in slices(batches, 256):
+            ids, ends = _filled(batch)
+            data, sizes = tokens.decode(ids)
+            at = np.concatenate([[0], np.cumsum(sizes)])[ends]
+            decoded = [data[a:b].tobytes() for a, b in zip(at[:-1], at[1:])]
+            lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids, pa.int32()))
+            yield pa.record_batch([batch.column(0), lists, pa.array(decoded, pa.binary())], ["doc_id", "ids", "decoded"])
 
+    return encoded.mapInArrow(run, "doc_id long, ids array<int>, decoded binary")
 
-def round_trip(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """``doc_id, ids, decoded`` per row of ``docs``."""
-    return encode(docs, path, pattern, words).withColumn("decoded", decode(F.col("ids"), load_ranks(path)))
+
+def encode(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
+    """``doc_id, ids`` per row of ``docs``."""
+    return round_trip(docs, path, pattern, words).drop("decoded")
 
 
 def digests(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
-    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row of ``docs``."""
-    return round_trip(docs, path, pattern, words).select(
-        "doc_id",
-        F.size("ids").cast("long").alias("n_tokens"),
-        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-    )
+    """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row of ``docs``, as a written table."""
+    encoded, shared = _encoded(docs, path, pattern, words)
+
+    def hashed(data: np.ndarray, sizes: np.ndarray, ends: np.ndarray, drop: int) -> pa.Array:
+        """Digests of each row's bytes, without the last ``drop`` ones."""
+        at, view = np.concatenate([[0], np.cumsum(sizes)])[ends].tolist(), memoryview(data)
+        return pa.array([hashlib.sha256(view[a : max(a, b - drop)]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = Tokens(shared.value[1])
+        for batch in slices(batches, 256):
+            ids, ends = _filled(batch)
+            columns = [batch.column(0), pa.array(np.diff(ends)), hashed(*tokens.decimals(ids), ends, 1), hashed(*tokens.decode(ids), ends, 0)]
+            yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
+
+    out = materialise(encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "digests")
+    shared.destroy()
+    return out

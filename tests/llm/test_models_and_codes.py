@@ -1,10 +1,13 @@
+import math
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+import xxhash
 
 from lodestrata.llm import bpe, licences, quality_rules, sharding, topk, toxicity
 from lodestrata.llm.words import WordHashes
@@ -45,7 +48,41 @@ def test_parts_split_into_the_same_pieces():
     rng, splitter = random.Random(3), bpe.Splitter(PATTERN)
     for _ in range(4000):
         text = "".join(rng.choice(["a", "é", "1", "!", "'s", " ", "  ", "\n", "\t", " ", " ", "\x1c", "　", "漢"]) for _ in range(rng.randrange(12)))
-        assert [p for part in splitter.parts(text) for p in splitter.find(part)] == splitter.find(text), repr(text)
+        first, *rest = text.split(" ")
+        if not any(map(splitter.is_glued, rest)):  # other texts are split as a whole
+            assert [*splitter.pieces(first, False), *(p for word in rest for p in splitter.pieces(word, True))] == splitter.find(text), repr(text)
+
+
+def test_slices_of_texts_are_encoded_as_by_the_library(library):
+    rng, ranks = random.Random(4), bpe.load_ranks(VOCABULARY)
+    known = {w: library._core_bpe.encode_single_piece(w) for w in (b"a", b" a", b" the", "é".encode(), b"!!")}
+    hashes = np.array([bpe.xxhash.xxh3_64_intdigest(w) for w in known], np.uint64)
+    entries = bpe.Dictionary(hashes, np.array(list(map(len, known.values())), np.uint8), np.array(sum(known.values(), []), np.int32))
+    encoder = bpe.Encoder(entries, ranks, PATTERN)
+    for _ in range(50):
+        parts = ["a", "é", "1", "!!", "'s", " ", "  ", "\n", "the", " the", " ", "x" * 200, "word"]
+        texts = ["".join(rng.choice(parts) for _ in range(rng.randrange(12))) for _ in range(rng.randrange(1, 9))]
+        ids, ends, rare = encoder.encode(bpe.pa.array([*texts, None], bpe.pa.string()))
+        for text, a, b in zip([*texts, ""], ends, ends[1:]):
+            got = [x for i in ids[a:b].tolist() for x in (library.encode_ordinary(rare[-i - 1]) if i < 0 else [i])]
+            assert got == library.encode_ordinary(text), repr(text)
+
+
+def test_letters_are_one_piece():
+    splitter = bpe.Splitter(PATTERN)
+    letters = [chr(c) for c in range(0x180) if bpe._LETTERS(chr(c))]
+    assert len(letters) == 52 + 23 + 31 + 8 + 128 and splitter.find("".join(letters)) == ["".join(letters)]
+
+
+def test_other_patterns_and_colliding_words(spark, monkeypatch):
+    data = [(1, "Hello World 12345 it's", "en", "s"), (2, "hello  world\n", "en", "s")]
+    pattern = r"\p{Lu}?\p{Ll}+|\p{N}{1,3}|\s+|[^\s\p{L}\p{N}]+"
+    own = tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=bpe.load_ranks(VOCABULARY), special_tokens={})
+    got = {r["doc_id"]: r["ids"] for r in bpe.encode(cases.documents(spark, data), VOCABULARY, pattern).collect()}
+    assert got == {d: own.encode_ordinary(t) for d, t, *_ in data}
+    entry = bpe.Dictionary(np.array([bpe.xxhash.xxh3_64_intdigest(b"abc")], np.uint64), np.array([2], np.uint8), np.array([0, 1], np.int32))
+    assert entry.places([b"abc", b"c"], bpe.Tokens({b"ab": 0, b"c": 1}))[1].tolist() == [2, 0]
+    assert entry.places([b"abc"], bpe.Tokens({b"ab": 0, b"x": 1}))[1].tolist() == [0]
 
 
 # sharding
@@ -73,6 +110,75 @@ def test_shards_of_even_rows_and_a_hot_copy(spark):
     assert sharding.kd_shards(cases.empty(spark)).count() == 0
 
 
+def plain_shards(data, levels=4):
+    """The tree in plain code: rows sorted by the whole key, cut at the row that crosses the half."""
+
+    def hashed(x):
+        return 42 if x is None else xxhash.xxh64_intdigest(x if isinstance(x, bytes) else x.to_bytes(8, "little", signed=True), 42)
+
+    def number(name):
+        return None if name is None else float(int.from_bytes(name.encode()[:6].ljust(6, b"\0"), "big"))
+
+    rows, seen, first = [], Counter(), {}
+    for _, text, lang, source in data:
+        old = first.get(text or "", (None, None))
+        first[text or ""] = tuple(min((x for x in pair if x is not None), default=None) for pair in zip(old, (source, lang)))
+    for d, text, _, _ in data:
+        raw = (text or "").encode()
+        source, lang = first[text or ""]
+        dims = [float(len(raw) + 1), number(source), number(lang)]
+        rows.append([d, len(raw) + 1, zlib.crc32(raw), dims, hashed(raw), hashed(d), seen[d, text or ""], 0])
+        seen[d, text or ""] += 1
+    spans = [(min(own), max(own)) if (own := [r[3][i] for r in rows if r[3][i] is not None]) else (0, 0) for i in range(3)]
+
+    def scaled(row, i):
+        lo, hi = spans[i]
+        return 0 if hi <= lo or row[3][i] is None else math.floor((row[3][i] - lo) / (hi - lo) * float((1 << 31) - 2)) + 1
+
+    for _ in range(levels):
+        for node, own in [(n, [r for r in rows if r[7] == n]) for n in {r[7] for r in rows}]:
+            widths = [max(scaled(r, i) for r in own) - min(scaled(r, i) for r in own) for i in range(3)]
+            widest = max(range(3), key=lambda i: (widths[i], -i))
+            own.sort(key=lambda r: (scaled(r, widest), r[2], r[4], r[5], r[6]))
+            half, before = sum(r[1] for r in own) / 2, 0
+            for at, row in enumerate(own):
+                if before + row[1] >= half:
+                    break
+                before += row[1]
+            stays = abs(before + row[1] - half) <= abs(before - half)
+            for i, r in enumerate(own):
+                r[7] = 2 * node + (i > at or i == at and not stays)
+    return sorted(((r[0], r[1], r[2], r[7]) for r in rows), key=repr)
+
+
+@pytest.mark.parametrize("repeats", [0, 700])
+def test_shards_equal_plain_code(spark, repeats):
+    rng = random.Random(12)
+    data = cases.rows()
+    data += [(1000 + i, cases.prose(rng, rng.randrange(1, 30)), rng.choice(["en", "de", None]), rng.choice(["web", "books", "news"])) for i in range(500)]
+    data += [(5000 + i, "one text of several sources", "en", f"s{i}") for i in range(30)]
+    data += [(7, "a row that is half of the table " * 3, "en", "web")] * repeats
+    rows = sharding.kd_shards(cases.documents(spark, data)).collect()
+    assert sorted(((r["doc_id"], r["size"], r["text_crc32"], r["shard"]) for r in rows), key=repr) == plain_shards(data)
+    sizes = np.bincount([r["shard"] for r in rows], [r["size"] for r in rows], 16)
+    assert repeats == 0 or np.ptp(sizes[np.arange(16)]) <= 2 * max(r["size"] for r in rows)
+    of_text = {}
+    for r in rows:
+        of_text.setdefault((r["size"], r["text_crc32"]), set()).add(r["shard"])
+    assert sum(len(s) > 1 for s in of_text.values()) <= 15  # at most one group a cut
+    for shard in range(16):
+        assert sorted(r["slot"] for r in rows if r["shard"] == shard) == list(range(sum(r["shard"] == shard for r in rows)))
+
+
+def test_leaves_reach_the_target_bytes(spark):
+    data = [(i, "x" * (i % 50), "en", "s") for i in range(400)]
+    total = sum(i % 50 + 1 for i in range(400))
+    for target in (total, total // 2, 1000):
+        rows = sharding.kd_shards(cases.documents(spark, data), target_bytes=target).collect()
+        sizes = np.bincount([r["shard"] for r in rows], [r["size"] for r in rows])
+        assert sizes.max() <= target + 100
+
+
 # exact top-k
 
 
