@@ -344,17 +344,26 @@ def index_sync(spark: SparkSession, sf: str) -> DataFrame:
     return _placed(index.sync_index(spark, root, _chunk_rows(spark, sf, WIDER), _embedder(), batch=1))
 
 
-def rerank_topk(spark: SparkSession, sf: str) -> DataFrame:
-    """Benchmark texts as queries; twelve candidates each, reranked to three by shared tokens."""
+def _reranked(spark: SparkSession, sf: str, scorer: Callable[[Column, Column], Column]) -> DataFrame:
     asked = load(spark, sf, "benchmark").select("item_id", F.col("text").alias("question"))
     found = search.retrieve(asked, _index(spark, sf), _embedder(), TOOL_K * OVERSAMPLE, query_id="item_id", min_score=0.0)
-    best = search.rerank(found, asked, TOOL_K, query_id="item_id")
+    best = search.rerank(found, asked, TOOL_K, query_id="item_id", scorer=scorer)
     return best.select(
         "item_id", F.col("rank").cast("bigint").alias("rank"), F.col("first_rank").cast("bigint").alias("first_rank"),
         "chunk_id", "rerank_score", "score",
     )
 
 
+def rerank_topk(spark: SparkSession, sf: str) -> DataFrame:
+    """Benchmark texts as queries; twelve candidates each, reranked to three by shared tokens."""
+    return _reranked(spark, sf, search.token_overlap)
+
+
+def rerank_late(spark: SparkSession, sf: str) -> DataFrame:
+    """The same candidates, reranked by the best match of each token."""
+    return _reranked(spark, sf, search.late_interaction())
+
+
 def format_hits(spark: SparkSession, sf: str) -> DataFrame:
     """The search tool over each conversation's current question; one of ten is left blank."""
     blank = F.col("conv_id") % 10 == 0
@@ -676,7 +685,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         token_counts, chunks, json_chunks, chunk_ids, chunk_type_stats, atomic_overflow, docs_without_chunks,
         variant_paths, file_name, expectation_report,
         topk_cosine, topk_cells, ann_topk, ann_recall, embed_chunks, index_snapshot, index_stats, chunk_changes, index_sync,
-        rerank_topk, format_hits,
+        rerank_topk, rerank_late, format_hits,
         stream_chunks, stream_index, stream_versions, ingest_files, layout_stats,
         history_pairs, history_recent, history_nested, history_gapped, stream_history, current_question, plain_questions, validate_requests,
         rag_context, rag_inputs, rag_answers, coerce_response,

@@ -353,6 +353,22 @@ overlap AS (
 SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY rerank_score DESC, score DESC, chunk_id) AS rank,
        first_rank, chunk_id, rerank_score, score
 FROM overlap QUALIFY rank <= 3""",
+    "rerank_late": f"""{INDEX}, {slots('q', 'benchmark', 'item_id', 'text')}, {hits('hit', 'q', 12)},
+asked AS (SELECT item_id, unnest(list_distinct({words('text')})) AS word FROM benchmark),
+held AS (SELECT chunk_id, unnest(list_distinct({words('chunk_content')})) AS word FROM idx WHERE chunk_id IN (SELECT chunk_id FROM hit)),
+letters AS MATERIALIZED (
+  SELECT word, list_transform(range(32), lambda d: len(list_filter(string_split(word, ''), lambda c: unicode(c) % 32 = d))::DOUBLE) AS v
+  FROM (SELECT word FROM asked UNION SELECT word FROM held)),
+sims AS (
+  SELECT h.id AS item_id, h.chunk_id, a.word, max(list_cosine_similarity(x.v, y.v)) AS best
+  FROM hit h JOIN asked a ON a.item_id = h.id JOIN held p USING (chunk_id) JOIN letters x ON x.word = a.word JOIN letters y ON y.word = p.word
+  GROUP BY ALL),
+late AS (
+  SELECT s.item_id, h.rank AS first_rank, s.chunk_id, h.score, round(avg(best), 6) AS rerank_score
+  FROM sims s JOIN hit h ON h.id = s.item_id AND h.chunk_id = s.chunk_id GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY rerank_score DESC, score DESC, chunk_id) AS rank,
+       first_rank, chunk_id, rerank_score, score
+FROM late QUALIFY rank <= 3""",
     "format_hits": f"""{INDEX},
 asked AS (SELECT conv_id, CASE WHEN conv_id % 10 = 0 THEN ' ' ELSE arg_max(text, turn) END AS question FROM conversations GROUP BY conv_id),
 {slots('q', 'asked', 'conv_id', 'question')}, {hits('hit', 'q', 3)},
