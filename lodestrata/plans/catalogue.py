@@ -34,7 +34,7 @@ WIDER = chunking.ChunkOptions(max_size=160, min_size=40)
 TOP_K = 5
 TOOL_K = 3
 OVERSAMPLE = 4
-VISITED_AREAS, VISITED_CELLS = 4, 10
+VISITED_AREAS, VISITED_CELLS = 8, 28  # the vectors hardly cluster
 HISTORY_PAIRS = 2
 PAGES_PER_FILE = 500  # keeps the content of one file small
 JUDGE_SHARE = 0.3

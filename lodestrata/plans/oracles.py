@@ -322,8 +322,8 @@ UNION ALL SELECT 'valid_chunk', count(chunk_content)::BIGINT, (count(*) - count(
 UNION ALL SELECT 'valid_chunk_id', count(chunk_id)::BIGINT, (count(*) - count(chunk_id))::BIGINT FROM chunk""",
     "topk_cosine": f"WITH {EXACT} {NEAREST}",
     "topk_cells": f"WITH {EXACT} {NEAREST}",
-    "ann_topk": f"WITH {kept_cells(4, 10)} SELECT vec_id, rank::BIGINT AS rank, hit_vec_id, score FROM found",
-    "ann_recall": f"""WITH {kept_cells(4, 10)},
+    "ann_topk": f"WITH {kept_cells(8, 28)} SELECT vec_id, rank::BIGINT AS rank, hit_vec_id, score FROM found",
+    "ann_recall": f"""WITH {kept_cells(8, 28)},
 best AS (
   SELECT vec_id, hit_vec_id, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, hit_vec_id) AS rank
   FROM s WHERE hit_vec_id % 10 <> 3 QUALIFY rank <= 5)

@@ -89,9 +89,9 @@ def test_nothing_new_changes_nothing(spark, tmp_path):
 def test_null_and_empty_texts_and_one_text_in_many_documents(spark, tmp_path):
     root = str(tmp_path)
     docs = {f"p{i}": "the same words in every one of these documents, all of them" for i in range(30)} | {"none": None, "empty": ""}
-    assert [r["path"] for r in advance(spark, root, docs).collect()] == ["p0"]
+    assert {r["path"] for r in advance(spark, root, docs).collect()} == {"p0", "empty"}  # null and empty texts are one blank chunk
     del docs["p0"], docs["p1"]
-    assert [r["path"] for r in advance(spark, root, docs).collect()] == ["p10"]
+    assert {r["path"] for r in advance(spark, root, docs).collect()} == {"p10", "empty"}
 
 
 def test_late_versions_are_left_out(spark, tmp_path):
