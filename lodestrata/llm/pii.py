@@ -11,7 +11,7 @@ are next to such a written sign. They cut the chain, so exact
 Viterbi decoding runs over the short stretches between them, many at once as numpy batches.
 
 The labelled table holds stretches of at most ``FIT_DOCS`` documents with such words (those with the lowest
-hash of ``doc_id``), at most ``FIT_STRETCHES`` of them, labelled by the base spans; copies without ``+``,
+hash of ``doc_id``), at most ``FIT_STRETCHES`` of them, labelled by the base spans; of up to ``VARIED`` of them copies without ``+``,
 with ``00`` in its place and with the written forms of addresses are added, and look-alikes without an address. Training is gradient ascent on the penalised likelihood by forward-backward sums.
 
 Positions count code points, ends are exclusive. Defined results: null and empty texts have no spans;
@@ -38,7 +38,8 @@ from lodestrata.sources.workspace import materialise
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 FIT_DOCS = 4000
-FIT_STRETCHES = 8000
+FIT_STRETCHES = 1000
+VARIED = 120
 FIT_WORDS = 24  # longer stretches are decoded, but not learnt from
 STEPS = 120
 BATCH = 4096
@@ -431,9 +432,11 @@ def fit(docs: DataFrame) -> Field | None:
     table = texts_.mapInArrow(run, "words array<string>, labels array<int>, before string, after string")
     table = materialise(table.withColumn("key", F.to_json(F.struct("words", "before", "after"))), "stretches")
     rows = lowest_hashes(table, table.count(), FIT_STRETCHES, "key").collect()
-    examples = []
+    examples, left = [], VARIED
     for r in rows:
-        examples += variants(Stretch([(0, 0)] * len(r["words"]), list(r["words"]), r["before"], r["after"]), list(r["labels"]))
+        own = list(variants(Stretch([(0, 0)] * len(r["words"]), list(r["words"]), r["before"], r["after"]), list(r["labels"])))
+        examples += own if left > 0 else own[:1]
+        left -= len(own) > 1
     return train(examples)
 
 
