@@ -52,7 +52,10 @@ LONG_BYTES = 96
 TABLE = 16_384
 NONE = (1 << 31) - 1
 # letters of the first Unicode blocks, which the pattern of the vocabulary files never splits
-_LETTERS = re.compile("[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+").fullmatch
+_LETTERS_ONLY = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017f]+$"
+_LETTERS = re.compile(_LETTERS_ONLY[1:-1]).fullmatch
+COUNTED_BYTES = 8 << 20
+SLICE_ROWS = 256
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -173,6 +176,10 @@ class Splitter:
         whole = f" {word}" if led else word
         return [whole] if self.at_blanks and _LETTERS(word) else self.find(whole)
 
+    def plain(self, words: pa.Array) -> pa.Array:
+        """Which words are letters only, and so one piece."""
+        return pc.match_substring_regex(words, _LETTERS_ONLY) if self.at_blanks else pa.array(np.zeros(len(words), bool))
+
     @staticmethod
     def is_glued(word: str) -> bool:
         """Whether white space follows the blank before a word, so the text may not be cut there."""
@@ -184,23 +191,42 @@ def texts_of(column: pa.Array) -> pa.Array:
     return pc.fill_null(column.cast(pa.string()), "")
 
 
+def _word_batch(words: pa.Array, times: pa.Array) -> pa.RecordBatch:
+    return pa.record_batch([words.cast(pa.string()), times.cast(pa.int64())], ["word", "times"])
+
+
 def word_counts(docs: DataFrame, pattern: str) -> DataFrame:
     """``word, times`` of pieces but long ones, as cut at blanks; counted per slice of rows first."""
 
+    def counted(texts: pa.Array, splitter: Splitter) -> Iterator[pa.RecordBatch]:
+        starts, words = splitter.words(texts)
+        first = np.zeros(len(words), bool)
+        first[starts[:-1]] = True
+        others: Counter = Counter()
+        for own, led in ((words.filter(pa.array(~first)), True), (words.filter(pa.array(first)), False)):
+            found = pc.value_counts(own)
+            values, times = found.field(0), found.field(1)
+            plain = pc.and_(splitter.plain(values), pc.less(pc.binary_length(values), LONG_BYTES))
+            letters = values.filter(plain)
+            yield _word_batch(pc.binary_join_element_wise("", letters, " ") if led else letters, times.filter(plain))
+            rest = pc.invert(plain)
+            for word, n in zip(values.filter(rest).to_pylist(), times.filter(rest).to_pylist()):
+                for piece in splitter.pieces(word, led):
+                    others[piece] += n
+        short = {w: n for w, n in others.items() if len(w) <= LONG_BYTES and len(w.encode()) <= LONG_BYTES}
+        yield _word_batch(pa.array(list(short), pa.string()), pa.array(list(short.values()), pa.int64()))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        splitter = Splitter(pattern)
-        for batch in slices(batches, 4096):
-            starts, words = splitter.words(texts_of(batch.column(0)))
-            first = np.zeros(len(words), bool)
-            first[starts[:-1]] = True
-            counts: Counter = Counter()
-            for own, led in ((words.filter(pa.array(~first)), True), (words.filter(pa.array(first)), False)):
-                found = pc.value_counts(own)
-                for word, times in zip(found.field(0).to_pylist(), found.field(1).to_pylist()):
-                    for piece in splitter.pieces(word, led):
-                        counts[piece] += times
-            short = {w: n for w, n in counts.items() if len(w) <= LONG_BYTES and len(w.encode()) <= LONG_BYTES}
-            yield pa.record_batch({"word": pa.array(list(short), pa.string()), "times": pa.array(list(short.values()), pa.int64())})
+        splitter, held, size = Splitter(pattern), [], 0
+        for batch in slices(batches):
+            held.append(texts_of(batch.column(0)))
+            size += held[-1].nbytes
+            if size > COUNTED_BYTES:
+                yield from counted(pa.concat_arrays(held), splitter)
+                held, size = [], 0
+                pa.default_memory_pool().release_unused()
+        if held:
+            yield from counted(pa.concat_arrays(held), splitter)
 
     return docs.select("text").mapInArrow(run, "word string, times long").groupBy("word").agg(F.sum("times").alias("times"))
 
@@ -258,10 +284,11 @@ class Dictionary:
         sizes = np.where(self.hashes[at] == hashes, self.ends[at] - starts, 0)
         decoded, lengths = tokens.decode(self.ids[runs(starts, sizes)])
         of_ids = np.concatenate([[0], np.cumsum(lengths)])[np.concatenate([[0], np.cumsum(sizes)])]
-        data = decoded.tobytes()
-        for i in np.flatnonzero(sizes):
-            if data[of_ids[i] : of_ids[i + 1]] != words[i]:
-                sizes[i] = 0
+        data, found = decoded.tobytes(), np.flatnonzero(sizes).tolist()
+        if data != b"".join([words[i] for i in found]) or (np.diff(of_ids)[found] != [len(words[i]) for i in found]).any():
+            for i in found:
+                if data[of_ids[i] : of_ids[i + 1]] != words[i]:
+                    sizes[i] = 0
         return starts, sizes
 
 
@@ -330,15 +357,15 @@ class Encoder:
         starts, words = self.splitter.words(column)
         coded = words.dictionary_encode()
         code = coded.indices.to_numpy().astype(np.int64)
-        names = coded.dictionary.to_pylist()
-        glued = np.fromiter(map(self.splitter.is_glued, names), bool, len(names)) if self.splitter.at_blanks else np.zeros(len(names), bool)
+        names, plain = coded.dictionary.to_pylist(), self.splitter.plain(coded.dictionary).to_pylist()
+        glued = np.array([not ok and self.splitter.at_blanks and self.splitter.is_glued(w) for w, ok in zip(names, plain)], bool)
         firsts = starts[:-1]
         bare, of_first = np.unique(code[firsts], return_inverse=True)
         follows = np.ones(len(code), bool)
         follows[firsts] = False
         whole = np.add.reduceat((glued[code] & follows).astype(np.int64), firsts) > 0 if len(firsts) else np.zeros(0, bool)
         rare: list[str] = []
-        pieces = [self.splitter.pieces(w, True) for w in names]
+        pieces = [[f" {w}"] if ok else self.splitter.pieces(w, True) for w, ok in zip(names, plain)]
         pieces += [self.splitter.pieces(names[i], False) for i in bare]
         at_whole = np.flatnonzero(whole)
         pieces += [self.splitter.find(column[i].as_py()) for i in at_whole]
@@ -371,7 +398,7 @@ def _half_encoded(docs: DataFrame, shared: Broadcast, pattern: str) -> DataFrame
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(*shared.value, pattern)
-        for batch in slices(batches):
+        for batch in slices(batches, SLICE_ROWS):
             ids, ends, names = encoder.encode(batch.column(1))
             missing = []
             for start, stop in zip(ends[:-1], ends[1:]):
@@ -416,7 +443,7 @@ def round_trip(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(shared.value[1])
-        for batch in slices(batches, 256):
+        for batch in slices(batches, SLICE_ROWS):
             ids, ends = _filled(batch)
             data, sizes = tokens.decode(ids)
             at = np.concatenate([[0], np.cumsum(sizes)])[ends]
@@ -443,7 +470,7 @@ def digests(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WO
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = Tokens(shared.value[1])
-        for batch in slices(batches, 256):
+        for batch in slices(batches, SLICE_ROWS):
             ids, ends = _filled(batch)
             columns = [batch.column(0), pa.array(np.diff(ends)), hashed(*tokens.decimals(ids), ends, 1), hashed(*tokens.decode(ids), ends, 0)]
             yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
