@@ -40,6 +40,7 @@ LABELS = ("O", *(f"{p}-{k}" for k in KINDS for p in "BI"))
 FIT_DOCS = 4000
 FIT_STRETCHES = 1000
 VARIED = 120
+MOST_WORDS = 12  # of a written address
 FIT_WORDS = 24  # longer stretches are decoded, but not learnt from
 STEPS = 120
 BATCH = 4096
@@ -452,6 +453,15 @@ def _plausible(kind: str, text: str) -> bool:
     return 9 <= digits <= 15 if kind == "phone" else 12 <= digits <= 19 and luhn(only_digits(text))
 
 
+def _trimmed(text: str, a: int, b: int) -> tuple[int, int]:
+    """Without signs at the ends that belong to the sentence."""
+    while b > a and not text[b - 1].isalnum():
+        b -= 1
+    while a < b and not (text[a].isalnum() or text[a] in "+("):
+        a += 1
+    return a, b
+
+
 def added_spans(text: str, stretch: Stretch, labels: np.ndarray, base: list[Span]) -> list[Span]:
     """Spans of the field's labels that overlap no base span."""
     out: list[Span] = []
@@ -464,11 +474,12 @@ def added_spans(text: str, stretch: Stretch, labels: np.ndarray, base: list[Span
         i += 1
         while i < len(labels) and LABELS[labels[i]] == f"I-{kind}":
             i += 1
-        a, b = stretch.places[first][0], stretch.places[i - 1][1]
-        while b > a and not text[b - 1].isalnum():
-            b -= 1
-        while a < b and not (text[a].isalnum() or text[a] in "+("):
-            a += 1
+        a, b = _trimmed(text, stretch.places[first][0], stretch.places[i - 1][1])
+        if kind == "email" and 1 < i - first <= MOST_WORDS and not _plausible(kind, text[a:b]):
+            # the longest address among the words of the span
+            parts = [(x, y) for n in range(i - first - 1, 0, -1) for x in range(first, i - n + 1) for y in [x + n - 1]]
+            runs = (_trimmed(text, stretch.places[x][0], stretch.places[y][1]) for x, y in parts)
+            a, b = next((run for run in runs if _plausible(kind, text[run[0] : run[1]])), (a, b))
         if a < b and not any(x < b and a < y for _, x, y in base) and _plausible(kind, text[a:b]):
             out.append((kind, a, b))
     return out
