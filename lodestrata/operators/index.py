@@ -28,6 +28,7 @@ from lodestrata.sources.workspace import materialise
 KEY = "chunk_id"
 PLACE = ["path", "chunk_pos", "chunk_section", "chunk_type"]
 ROW = [KEY, *PLACE, "chunk_content"]
+CODEC = "zstd"  # texts and vectors make up most of what is written
 SCHEMA = (
     "chunk_id string, path string, chunk_pos int, chunk_section string, chunk_type string, "
     "chunk_content string, embedding array<float>, batch int, op string"
@@ -56,7 +57,7 @@ def embed_index(rows: DataFrame, embedder: Embedder) -> DataFrame:
 
 def write_inserts(rows: DataFrame, root: str, batch: int, mode: str = "overwrite") -> None:
     """Write embedded rows with new keys as batch ``batch``; writing the same batch again replaces it."""
-    rows.select(*ROW, "embedding").write.mode(mode).parquet(f"{root}/batch={batch}/op=insert")
+    rows.select(*ROW, "embedding").write.mode(mode).parquet(f"{root}/batch={batch}/op=insert", compression=CODEC)
 
 
 def build_index(chunks: DataFrame, embedder: Embedder, root: str) -> None:
@@ -203,7 +204,7 @@ def _write_changes(changes: DataFrame, texts: DataFrame, current: DataFrame, emb
     delta = delta.unionByName(deleted).withColumnRenamed("change", "op")
     delta.select(*ROW, "embedding", "op").write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
         "op"
-    ).parquet(f"{root}/batch={batch}")
+    ).parquet(f"{root}/batch={batch}", compression=CODEC)
 
 
 def apply_changes(changes: DataFrame, root: str, embedder: Embedder, batch: int) -> None:

@@ -36,6 +36,7 @@ TOOL_K = 3
 OVERSAMPLE = 4
 VISITED_AREAS, VISITED_CELLS = 8, 28  # the vectors hardly cluster
 HISTORY_PAIRS = 2
+INDEX_BATCHES = 4  # micro-batches that bring the gold table into the index
 PAGES_PER_FILE = 500  # keeps the content of one file small
 JUDGE_SHARE = 0.3
 JUDGE = evaluation.overlap_judge(JUDGE_SHARE)
@@ -397,9 +398,12 @@ def stream_chunks(spark: SparkSession, sf: str) -> DataFrame:
 def stream_index(spark: SparkSession, sf: str) -> DataFrame:
     """The gold table streamed into an index in about four micro-batches, copies of a text in any of them."""
     flow = _pipeline(spark, sf)
-    files = max(4, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    flow.chunks(spark).repartition(files, "path").write.parquet(flow.folder("landed"))
-    rows = index_stream.stream_chunk_rows(spark, flow.folder("landed"), max_files=-(-files // 4))
+    gold = flow.chunks(spark)
+    folder, files = flow.folder("gold"), len(gold.inputFiles())
+    if files < INDEX_BATCHES:  # a file is the least that a micro-batch takes
+        folder, files = flow.folder("landed"), max(INDEX_BATCHES, int(spark.conf.get("spark.sql.shuffle.partitions")))
+        gold.repartition(files, "path").write.parquet(folder)
+    rows = index_stream.stream_chunk_rows(spark, folder, max_files=-(-files // INDEX_BATCHES))
     live = index_stream.sync_stream(rows, flow.folder("index"), _embedder(), flow.folder("_checkpoints/index"))
     return _placed(live)
 

@@ -114,6 +114,7 @@ def run_available(stream: DataFrame, path: str, checkpoint: str) -> dict[str, di
     stream.sparkSession.streams.addListener(counts)
     query = (
         stream.writeStream.format("parquet")
+        .option("compression", "zstd")  # these tables hold every text once more
         .option("path", path)
         .option("checkpointLocation", checkpoint)
         .outputMode("append")

@@ -146,3 +146,23 @@ def test_a_deleted_text_can_come_back(spark, tmp_path):
         live = index.sync_index(spark, root, chunks, EMBED, batch)
         assert content(live) == content(index.embed_index(index.index_rows(chunks), EMBED))
         assert content(index.current_index(spark, root, before=1)) == content(index.embed_index(index.index_rows(chunk_df(spark, OLD)), EMBED))
+
+
+def test_index_streams_from_gold_without_landing_it_again(spark, tmp_path):
+    """The stream takes the gold table's own files where there are enough of them, each copy of a text at its lowest place."""
+    import glob
+
+    from lodestrata.plans import catalogue
+
+    texts = [f"Alpha {i % 40} beta gamma.\n\nDelta {i % 7} epsilon." for i in range(200)]
+    docs = [(i, t, "en", f"s{i % 3}", len(t)) for i, t in enumerate(texts)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    df.repartition(40).write.parquet(f"{tmp_path}/documents.parquet")  # four tasks, so four files of every table
+    folder = spark.conf.get("spark.checkpoint.dir") + "/lodestrata/medallion-*"
+    known = set(glob.glob(folder))
+    got = sorted(map(tuple, catalogue.stream_index(spark, str(tmp_path)).collect()))
+    (own,) = set(glob.glob(folder)) - known
+    assert not glob.glob(f"{own}/landed")
+    assert len(glob.glob(f"{own}/index/batch=*")) > 1
+    assert all(f.endswith(".zstd.parquet") for f in glob.glob(f"{own}/gold/*.parquet"))
+    assert got == sorted(map(tuple, catalogue.index_snapshot(spark, str(tmp_path)).collect()))
