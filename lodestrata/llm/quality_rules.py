@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from lodestrata.llm.spread import lowest_hashes
 from lodestrata.llm.words import WordHashes, covered, slices, texts, windows
-from lodestrata.sources.workspace import materialise
+from lodestrata.sources.workspace import TEXT_ROWS, materialise
 
 FIT_ROWS = 8192
 TREES = 128
@@ -203,14 +203,14 @@ def fit(measured: DataFrame, labels: DataFrame) -> Rules:
 
 
 def judged_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    measured = materialise(document_statistics(docs), "statistics")
+    measured = materialise(document_statistics(docs), "statistics", TEXT_ROWS)
     return judge(measured, fit(measured, labels))
 
 
 def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with the columns of ``documents``; texts are not shuffled."""
+    """The documents that are kept, with the columns of ``documents``, as a written table; texts are not shuffled."""
     own = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang", "source", "n_chars")
-    rules = fit(materialise(document_statistics(own), "statistics"), labels)
+    rules = fit(materialise(document_statistics(own), "statistics", TEXT_ROWS), labels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -220,4 +220,4 @@ def kept_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
             values = np.array([f[1] for f in found], np.float64).reshape(-1, len(FEATURES))
             yield batch.filter(pa.array(~base_failed(counts) & (rules.scores(values) < rules.threshold)))
 
-    return own.mapInArrow(run, own.schema)
+    return materialise(own.mapInArrow(run, own.schema), "kept", TEXT_ROWS)
