@@ -3,7 +3,7 @@
 A document's set holds the hashes of its distinct word shingles. Equal sets are one node. Links are found
 exactly, without listing all pairs of a group of near copies:
 
-1. *Leaders.* Nodes that share bands of minimum hashes with a smaller node are compared with it on the full
+1. *Leaders.* Nodes that share bands of minimum hashes with a node of more common bands are compared with it on the full
    sets; if similar (less than a link is enough) it leads them, and what they lack and add is kept.
 2. *Derived answers.* The overlap of two members of one leader is that of both with a centre (the leader as
    most members have it), less its size, plus their common changes. Where the first part proves the link, all such members hang together by
@@ -198,12 +198,20 @@ def _sets(docs: DataFrame, nodes: DataFrame, ids: DataFrame, like: Similarity) -
 
 
 def _heads(nodes: DataFrame) -> DataFrame:
-    """``node, head``: the node that most bands of a node name as their smallest."""
+    """``node, head``: the node that most bands of a node name as their head.
+
+    A band names the one of its nodes whose bands are the most common, of equal ones the smallest. A group of near copies shares
+    nearly all bands with its head then, also where other texts that have a passage in common with it share some.
+    """
     banded = nodes.select("node", F.explode("bands").alias("band"))
-    least = banded.groupBy("band").agg(F.min("node").alias("head"), F.count("*").alias("size")).where("size > 1")
-    votes = banded.join(least, "band").where("node <> head").groupBy("node", "head").agg(F.count("*").alias("votes"))
-    top = votes.groupBy("node").agg(F.max(F.struct("votes", (-F.col("head")).alias("of"))).alias("top"))
-    return materialise(top.select("node", (-F.col("top.of")).alias("head")), "heads")
+    several = banded.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
+    banded = materialise(banded.join(several, "band"), "banded")
+    common = banded.groupBy("node").agg(F.sum(F.floor(16 * F.log2("size"))).alias("common"))
+    place = F.struct((-F.col("common")).alias("order"), F.col("node").alias("of"))
+    named = banded.join(common, "node").groupBy("band").agg(F.min(place).alias("head"))
+    votes = banded.join(named, "band").where("node <> head.of").groupBy("node", "head").agg(F.count("*").alias("votes"))
+    top = votes.groupBy("node").agg(F.min(F.struct((-F.col("votes")).alias("votes"), "head")).alias("top"))
+    return materialise(top.select("node", F.col("top.head.of").alias("head")), "heads")
 
 
 def _similar(docs: DataFrame, nodes: DataFrame, heads: DataFrame, like: Similarity) -> DataFrame:

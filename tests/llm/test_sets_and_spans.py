@@ -170,6 +170,16 @@ def test_profiles_bound_the_overlap():
     assert jaccard.profile(np.zeros(0, np.uint64)) == bytes(jaccard.PROFILE_BUCKETS)
 
 
+def test_near_copies_are_led_by_one_of_them_though_others_share_bands(spark):
+    """Smaller nodes that share four of six bands with a group of near copies, but not each other's rest, lead none of it."""
+    others = [(i, [1, 2, 3, 4, 1000 + 2 * i, 1001 + 2 * i]) for i in range(20)]
+    copies = [(100 + i, [1, 2, 3, 4, 5, 6] if i else [1, 2, 3, 4, 5, 7]) for i in range(12)]
+    nodes = spark.createDataFrame(others + copies, "node long, bands array<long>")
+    heads = {r["node"]: r["head"] for r in jaccard._heads(nodes).collect()}
+    assert all(heads[node] == 101 for node, _ in copies if node != 101)
+    assert {heads[node] for node, _ in others} == {101} and 101 not in heads
+
+
 # substring dedup
 
 
