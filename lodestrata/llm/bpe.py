@@ -393,11 +393,11 @@ def unpacked_rows(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, (offsets - offsets[0]).astype(np.int64)
 
 
-def _half_encoded(docs: DataFrame, shared: Broadcast, pattern: str) -> DataFrame:
+def _half_encoded(docs: DataFrame, known: Broadcast, ranks: Broadcast, pattern: str) -> DataFrame:
     """Per row ``known``, its packed ids with a negative number for each rare word, and those words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(*shared.value, pattern)
+        encoder = Encoder(known.value, ranks.value, pattern)
         for batch in slices(batches, SLICE_ROWS):
             ids, ends, names = encoder.encode(batch.column(1))
             missing = []
@@ -428,21 +428,23 @@ def _filled(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
     return out, np.concatenate([[0], np.cumsum(sizes)])[ends]
 
 
-def _encoded(docs: DataFrame, path: str, pattern: str, words: int) -> tuple[DataFrame, Broadcast]:
-    """``doc_id, known, folded`` per row: rare words are folded where they stand."""
+def _encoded(docs: DataFrame, path: str, pattern: str, words: int) -> tuple[DataFrame, Broadcast, Broadcast]:
+    """``doc_id, known, folded`` per row: rare words are folded where they stand; the dictionary and the ranks, apart, since
+    who decodes needs no dictionary."""
     ranks = load_ranks(path)
     table = rank_table(ranks)
-    shared = docs.sparkSession.sparkContext.broadcast((dictionary(docs, pattern, table, words), ranks))
-    half = _half_encoded(docs, shared, pattern)
-    return half.select("doc_id", "known", F.transform("rare", lambda w: fold(w, table)).alias("folded")), shared
+    session = docs.sparkSession.sparkContext
+    known, shared = session.broadcast(dictionary(docs, pattern, table, words)), session.broadcast(ranks)
+    half = _half_encoded(docs, known, shared, pattern)
+    return half.select("doc_id", "known", F.transform("rare", lambda w: fold(w, table)).alias("folded")), known, shared
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
     """``doc_id, ids, decoded`` per row of ``docs``."""
-    encoded, shared = _encoded(docs, path, pattern, words)
+    encoded, _, ranks = _encoded(docs, path, pattern, words)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(shared.value[1])
+        tokens = Tokens(ranks.value)
         for batch in slices(batches, SLICE_ROWS):
             ids, ends = _filled(batch)
             data, sizes = tokens.decode(ids)
@@ -461,7 +463,7 @@ def encode(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WOR
 
 def digests(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WORDS) -> DataFrame:
     """``doc_id, n_tokens, ids_sha256, decoded_sha256`` per row of ``docs``, as a written table."""
-    encoded, shared = _encoded(docs, path, pattern, words)
+    encoded, known, ranks = _encoded(docs, path, pattern, words)
 
     def hashed(data: np.ndarray, sizes: np.ndarray, ends: np.ndarray, drop: int) -> pa.Array:
         """Digests of each row's bytes, without the last ``drop`` ones."""
@@ -469,12 +471,13 @@ def digests(docs: DataFrame, path: str, pattern: str, words: int = DICTIONARY_WO
         return pa.array([hashlib.sha256(view[a : max(a, b - drop)]).hexdigest() for a, b in zip(at, at[1:])], pa.string())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = Tokens(shared.value[1])
+        tokens = Tokens(ranks.value)
         for batch in slices(batches, SLICE_ROWS):
             ids, ends = _filled(batch)
             columns = [batch.column(0), pa.array(np.diff(ends)), hashed(*tokens.decimals(ids), ends, 1), hashed(*tokens.decode(ids), ends, 0)]
             yield pa.record_batch(columns, ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"])
 
     out = materialise(encoded.mapInArrow(run, "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"), "digests")
-    shared.destroy()
+    known.destroy()
+    ranks.destroy()
     return out

@@ -53,6 +53,11 @@ def test_parts_split_into_the_same_pieces():
             assert [*splitter.pieces(first, False), *(p for word in rest for p in splitter.pieces(word, True))] == splitter.find(text), repr(text)
 
 
+def test_tasks_that_decode_get_the_ranks_without_the_dictionary(spark):
+    _, known, ranks = bpe._encoded(cases.documents(spark), VOCABULARY, PATTERN, bpe.DICTIONARY_WORDS)
+    assert isinstance(known.value, bpe.Dictionary) and ranks.value == bpe.load_ranks(VOCABULARY)
+
+
 def test_slices_of_texts_are_encoded_as_by_the_library(library):
     rng, ranks = random.Random(4), bpe.load_ranks(VOCABULARY)
     known = {w: library._core_bpe.encode_single_piece(w) for w in (b"a", b" a", b" the", "é".encode(), b"!!")}
