@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 
 from lodestrata.llm import components, jaccard, mixing, pii, substring
+from lodestrata.llm.words import WordHashes
 from tests.llm import cases
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -170,6 +171,13 @@ def test_profiles_bound_the_overlap():
     assert jaccard.profile(np.zeros(0, np.uint64)) == bytes(jaccard.PROFILE_BUCKETS)
 
 
+def test_hashes_of_words_stay_equal_when_the_cache_is_emptied():
+    names = [b"w%d" % i for i in range(60_000)]
+    hashes = WordHashes()
+    first = hashes.of(names)
+    assert hashes.of(names[:3]).tolist() == first[:3].tolist() and len(hashes) == 3
+
+
 def test_near_copies_are_led_by_one_of_them_though_others_share_bands(spark):
     """Smaller nodes that share four of six bands with a group of near copies, but not each other's rest, lead none of it."""
     others = [(i, [1, 2, 3, 4, 1000 + 2 * i, 1001 + 2 * i]) for i in range(20)]
