@@ -127,3 +127,86 @@ def test_claims_of_several_writers(spark, tmp_path):
     assert index.claim_batch(spark, root, "one", "1") == 1
     assert index.claim_batch(spark, root, "one", "2") == 3
     assert len(index.listed(spark, f"{root}/_claims")) <= 4
+
+
+class _Held:
+    """A value and a map of a state store that counts its calls."""
+
+    def __init__(self):
+        self.value, self.map, self.calls = None, {}, 0
+
+    def getValueState(self, *_):  # noqa: N802
+        return self
+
+    getMapState = getValueState  # noqa: N815
+
+    def _called(self, result=None):
+        self.calls += 1
+        return result
+
+    def get(self):
+        return self._called(self.value)
+
+    def update(self, value):
+        self.value = self._called(value)
+
+    def clear(self):
+        self.value = self._called()
+
+    def containsKey(self, key):  # noqa: N802
+        return self._called(key in self.map)
+
+    def updateValue(self, key, value):  # noqa: N802
+        self._called(self.map.__setitem__(key, value))
+
+    def removeKey(self, key):  # noqa: N802
+        self._called(self.map.pop(key))
+
+    def keys(self):
+        return self._called(iter(list(self.map)))
+
+
+def test_a_bucket_costs_two_calls_to_the_state_however_many_keys_change():
+    held, processor = _Held(), versions._ChunkPlaces()
+    processor.init(held)
+    rows = [
+        {"chunk_id": f"c{i % 40}", "path": f"p{i:03}", "chunk_pos": 0, "chunk_section": None, "chunk_type": "final", "chunk_content": f"t{i % 40}", "version": 0, "present": True}
+        for i in range(200)
+    ]
+    out = list(processor.handleInputRows((3,), iter(rows), None))
+    assert held.calls == 2 and len(out) == 40
+    assert {(r["chunk_id"], r["change"], r["path"], r["chunk_content"]) for r in out} == {(f"c{i}", "insert", f"p{i:03}", f"t{i}") for i in range(40)}
+    held, processor = _Held(), versions._DocumentChunks()
+    processor.init(held)
+    chunk = {"chunk_id": "c", "chunk_pos": 0, "chunk_section": "s", "chunk_type": "final", "chunk_content": "t"}
+    docs = [{"path": f"p{i}", "version": v, "chunks": [chunk] if v else []} for i in range(30) for v in (1, 0)]
+    assert len(list(processor.handleInputRows((3,), iter(docs), None))) == 30
+    assert held.calls == 2
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_places_of_a_text_follow_plain_code(monkeypatch, seed):
+    """More places than stand with the text, nulls among them, added and removed in any order, also without being there."""
+    monkeypatch.setattr(versions, "LOWEST", 3)
+    rng, held, plain = random.Random(seed), _Held(), {}
+    processor = versions._ChunkPlaces()
+    processor.init(held)
+    for version in range(60):
+        rows, before = [], {c: min(p, key=versions._order) for c, p in plain.items() if p}
+        for chunk in rng.sample("abc", 2):
+            for _ in range(rng.randrange(1, 6)):
+                place = (rng.choice([None, *"mnopqrst"]), rng.randrange(2), None, "final")
+                rows.append({"chunk_id": chunk, **dict(zip(index.PLACE, place)), "chunk_content": chunk, "version": version, "present": rng.random() < 0.5})
+        for row in sorted(rows, key=lambda r: r["present"]):
+            place = tuple(row[c] for c in index.PLACE)
+            (plain.setdefault(row["chunk_id"], set()).add if row["present"] else plain.setdefault(row["chunk_id"], set()).discard)(place)
+        after = {c: min(p, key=versions._order) for c, p in plain.items() if p}
+        got = {r["chunk_id"]: (r["change"], *(r[c] for c in index.PLACE)) for r in processor.handleInputRows((0,), iter(rows), None)}
+        want = {}
+        for c in {*before, *after}:
+            if before.get(c) != after.get(c):
+                want[c] = ("insert" if c not in before else "delete" if c not in after else "update", *after.get(c, (None,) * 4))
+        assert got == want
+        texts = held.value[0] if held.value else []
+        assert {t[0]: len(t[1]) + t[2] for t in texts} == {c: len(p) for c, p in plain.items() if p}
+        assert len(held.map) == sum(t[2] for t in texts)
